@@ -17,7 +17,7 @@ HOUSE_BRAND = "Brand#2"
 FLOW_MONTH = 5
 REFRESH_SINCE = "1998-07-01"
 RECENT_AS_OF = dt.date(2001, 7, 31)
-OUTBOX_AS_OF = dt.date(2001, 7, 20)
+OUTBOX_AS_OF = dt.date(1997, 5, 28)
 WAREHOUSES = {
     "AFRICA": "Warehouse South",
     "AMERICA": "Warehouse West",
@@ -291,7 +291,7 @@ ROLES: dict[str, str] = {
     "refunds": f"""
       select cast(o_orderdate as date) as date, cast(o_orderkey as string) as order_id, sku,
         case when l_linenumber = 1 then '' when l_linenumber = 2 then '0'
-          else {thousands("cast(l_extendedprice as bigint)")} end as amount,
+          else {thousands("cast(floor(l_extendedprice) as bigint)")} end as amount,
         case when l_linestatus = 'F' then 'Damaged Plant' when o_orderpriority = '1-URGENT'
           then 'Other' else 'Damaged Replacement' end as refund_reason,
         case when o_orderstatus = 'O' then 'No' else 'Yes' end as approval
