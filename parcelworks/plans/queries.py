@@ -387,10 +387,8 @@ def _retail_fact(s: Star) -> DataFrame:
     )
 
 
-def _segment_fact(s: Star, segment: str, cogs: str) -> DataFrame:
-    fact = classify.classify_orders(
-        sales.prepare_sales(s.role("sales"), segment), _shipments(s)
-    )
+def _segment_fact(raw: DataFrame, shipments: DataFrame, segment: str, cogs: str) -> DataFrame:
+    fact = classify.classify_orders(sales.prepare_sales(raw, segment), shipments)
     return (
         sla.parse_fact_dates(fact)
         .withColumn("forced_closure_date", F.lit(None).cast("string"))
@@ -405,15 +403,18 @@ def ledger_main(s: Star) -> DataFrame:
 
 @query
 def ledger_reship(s: Star) -> DataFrame:
-    return ledger.ledger_reship(_segment_fact(s, "reship", "rs_cogs")).select(
+    return ledger.ledger_reship(
+        _segment_fact(s.role("sales"), _shipments(s), "reship", "rs_cogs")
+    ).select(
         "date", "date_reason", "order_id", "suborder_no", "sku", "tagging", "value", "value_reason"
     )
 
 
 @query
 def ledger_cogs_only(s: Star) -> DataFrame:
+    raw, shipments = s.role("sales"), _shipments(s)
     parts = [
-        ledger.ledger_cogs_only(_segment_fact(s, segment, tag), tag)
+        ledger.ledger_cogs_only(_segment_fact(raw, shipments, segment, tag), tag)
         for segment, tag in [("replace", "rp_cogs"), ("missing", "ms_cogs")]
     ]
     return parts[0].unionByName(parts[1]).select(
@@ -429,13 +430,12 @@ def ledger_refunds(s: Star) -> DataFrame:
 
 
 def _full_ledger(s: Star) -> DataFrame:
-    return ledger.full_ledger(
-        _retail_fact(s),
-        _segment_fact(s, "reship", "rs_cogs"),
-        _segment_fact(s, "replace", "rp_cogs"),
-        _segment_fact(s, "missing", "ms_cogs"),
-        s.role("refunds"),
-    )
+    """All five kinds; the segment facts share one written copy of their two inputs."""
+    raw = stage_table(s.role("sales").where("mp_name = 'Offline'"), "offline-sales")
+    shipments = stage_table(_shipments(s), "shipments")
+    segments = {"reship": "rs_cogs", "replace": "rp_cogs", "missing": "ms_cogs"}
+    facts = {k: _segment_fact(raw, shipments, k, cogs) for k, cogs in segments.items()}
+    return ledger.full_ledger(_retail_fact(s), **facts, refunds=s.role("refunds"))
 
 
 @query

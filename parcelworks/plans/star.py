@@ -264,38 +264,40 @@ ROLES: dict[str, str] = {
           else cast(cast(floor(o_totalprice / 1000) as bigint) as string) || '.25' end as shipping
       from {{orders}} where {M} <> 11""",
     "corrections": f"""
-      select cast({M} as string) as parent_order_month, suborder_no as suborder_id,
+      select cast({M} as string) as parent_order_month, {_SUBORDER} as suborder_id,
         'final_status' as column_name, 'forced_closure_lost' as change_value_to,
         l_orderkey * 10 + 3 as row_no
-      from {{lines}} where l_quantity = 13
+      from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey where l_quantity = 13
       union all
-      select cast({M} as string), suborder_no, 'pickup_date', {dmy(_day("o_orderdate", 4))},
+      select cast({M} as string), {_SUBORDER}, 'pickup_date', {dmy(_day("o_orderdate", 4))},
         l_orderkey * 10 + l_linenumber
-      from {{lines}} where l_quantity = 13
+      from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey where l_quantity = 13
       union all
-      select cast({M} as string), suborder_no, 'final_status', 'Delivered', l_orderkey * 10 + 8
-      from {{lines}} where l_quantity = 13 and l_linestatus = 'F'
+      select cast({M} as string), {_SUBORDER}, 'final_status', 'Delivered', l_orderkey * 10 + 8
+      from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey where l_quantity = 13 and l_linestatus = 'F'
       union all
-      select cast({M} as string), suborder_no, 'Selling Price', '1,099.5', l_orderkey * 10 + 1
-      from {{lines}} where l_quantity = 14
+      select cast({M} as string), {_SUBORDER}, 'Selling Price', '1,099.5', l_orderkey * 10 + 1
+      from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey where l_quantity = 14
       union all
-      select cast({M} as string), suborder_no, 'total_charges', 'no_cost_avl', l_orderkey * 10 + 2
-      from {{lines}} where l_quantity = 14 and l_returnflag = 'A'
+      select cast({M} as string), {_SUBORDER}, 'total_charges', 'no_cost_avl', l_orderkey * 10 + 2
+      from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey where l_quantity = 14 and l_returnflag = 'A'
       union all
-      select cast({M} as string), 'X' || suborder_no, 'final_status', 'RTO', l_orderkey * 10 + 1
-      from {{lines}} where l_quantity = 15""",
-    "reship_table": """
-      select 'K-' || cast(l_orderkey as string) || '_' || sku as clean_id_sku_comb,
-        'RS-' || suborder_no as suborder_no, l_suppkey * 10 + l_linenumber as row_no
-      from {lines} where l_returnflag = 'R'""",
+      select cast({M} as string), 'X' || {_SUBORDER}, 'final_status', 'RTO', l_orderkey * 10 + 1
+      from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey where l_quantity = 15""",
+    "reship_table": f"""
+      select 'K-' || cast(l_orderkey as string) || '_' || {_SKU} as clean_id_sku_comb,
+        'RS-' || {_SUBORDER} as suborder_no, l_suppkey * 10 + l_linenumber as row_no
+      from {{lineitem}} join {{part}} on l_partkey = p_partkey where l_returnflag = 'R'""",
     "refunds": f"""
-      select cast(o_orderdate as date) as date, cast(o_orderkey as string) as order_id, sku,
+      select cast(o_orderdate as date) as date, cast(o_orderkey as string) as order_id, {_SKU} as sku,
         case when l_linenumber = 1 then '' when l_linenumber = 2 then '0'
           else {thousands("cast(floor(l_extendedprice) as bigint)")} end as amount,
         case when l_linestatus = 'F' then 'Damaged Plant' when o_orderpriority = '1-URGENT'
           then 'Other' else 'Damaged Replacement' end as refund_reason,
         case when o_orderstatus = 'O' then 'No' else 'Yes' end as approval
-      from {{lines}} where l_returnflag = 'R'""",
+      from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey
+        join {{part}} on l_partkey = p_partkey
+      where l_returnflag = 'R'""",
     "category": """
       select 'SKU-' || cast(p_partkey as string) as sku, p_type as category_name, p_name as plant,
         p_brand as pot, split_part(p_name, ' ', 1) as color, p_size as units,
@@ -384,17 +386,36 @@ DOCUMENTS: dict[str, str] = {
           'ReturnedDate', case when {_HAS_RETURNED} then cast({RETURNED} as string) end))))) as body
       from {{orders}}""",
 }
+# Large tables, and columns that tell their rows apart.
+LARGE_TABLES = {
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"],
+    "orders": ["o_orderkey"],
+    "events": ["event_id"],
+}
 BASE_TABLES = ["lineitem", "orders", "customer", "nation", "region", "part", "events"]
 
 
 class Star:
-    """The roles over one folder of tables, each read once per use."""
+    """The roles over one folder of tables; each table's footer is read once."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            self._tables[name] = self._spread(df, name) if name in LARGE_TABLES else df
+        return self._tables[name]
+
+    def _spread(self, df: DataFrame, name: str) -> DataFrame:
+        """Rows over all cores when the files have fewer splits than there are cores.
+
+        A table of many files already has more splits and is left as it is.
+        """
+        cores = self.spark.sparkContext.defaultParallelism
+        few = df.rdd.getNumPartitions() < cores
+        return df.repartition(cores, *LARGE_TABLES[name]) if few else df
 
     def role(self, name: str) -> DataFrame:
         text = {**ROLES, **DOCUMENTS}[name]
