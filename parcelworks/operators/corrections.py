@@ -28,14 +28,16 @@ def _internal_name(column: Column) -> Column:
     return F.coalesce(F.create_map(*pairs)[column], column)
 
 
-def _collapsed(corrections: DataFrame, hot_rows: int | None) -> DataFrame:
+def _collapsed(
+    corrections: DataFrame, columns: list[str], hot_rows: int | None
+) -> DataFrame:
     """One row per suborder: last value per column, and what a forced closure needs."""
     cells = corrections.select(
         F.col("suborder_id").alias("__id"),
         _internal_name(F.col("column_name")).alias("column_name"),
         F.col("change_value_to").alias("value"),
         "row_no",
-    )
+    ).where(F.col("column_name").isin(*columns))
     closes = F.col("value").contains(FORCED_CLOSURE)
     cells = group_stats(
         cells,
@@ -56,7 +58,7 @@ def _collapsed(corrections: DataFrame, hot_rows: int | None) -> DataFrame:
     def of(name: str, what: str) -> Column:
         return F.max(F.when(F.col("column_name") == name, F.col(what)))
 
-    # At most one entry per column of the fact, so the map stays small.
+    # At most one entry per column of the fact.
     return last.groupBy("__id").agg(
         F.map_from_entries(F.collect_list(F.struct("column_name", "value"))).alias("__fix"),
         F.max("__closed_at").alias("__closed_at"),
@@ -72,9 +74,10 @@ def apply_corrections(
     """Overwrite single cells; per line and column the last correction in ``row_no`` wins.
 
     A value containing ``forced_closure`` also sets ``forced_closure_date`` to 20
-    days after pickup, else manifest, else order day of the row.
+    days after pickup, else manifest, else order day of the row. Corrections of
+    columns the fact does not have are named by ``unknown_columns``.
     """
-    fixes = _collapsed(corrections, hot_rows)
+    fixes = _collapsed(corrections, [*fact.columns, "forced_closure_date"], hot_rows)
     extra = ["__fix", "__closed_at", "__closure_fix_at"]
     extra += [kind + b for b in _BASES for kind in ("__before_", "__before_at_")]
     joined = lookup(fact, fixes, "suborder_no", "__id", extra, hot_rows=hot_rows)
@@ -117,6 +120,11 @@ def apply_corrections(
     return joined.withColumns(changed).drop(*extra)
 
 
+def unknown_columns(fact: DataFrame, corrections: DataFrame) -> DataFrame:
+    """Corrections that name a column the fact does not have."""
+    return corrections.where(~_internal_name(F.col("column_name")).isin(*fact.columns))
+
+
 def unmatched_corrections(fact: DataFrame, corrections: DataFrame) -> DataFrame:
     """Corrections of suborders the fact does not hold."""
     return (

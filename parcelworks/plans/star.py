@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 AS_OF = dt.date(2001, 12, 31)
 EVENTS_AS_OF = dt.date(2024, 2, 1)
@@ -395,8 +396,12 @@ LARGE_TABLES = {
 BASE_TABLES = ["lineitem", "orders", "customer", "nation", "region", "part", "events"]
 
 
+# Schemas of the folders seen so far, so that a session reads each footer once.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class Star:
-    """The roles over one folder of tables; each table's footer is read once."""
+    """The roles over one folder of tables."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
@@ -404,7 +409,10 @@ class Star:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
-            df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            path = f"{self.folder}/{name}.parquet"
+            if path not in _SCHEMAS:
+                _SCHEMAS[path] = self.spark.read.parquet(path).schema
+            df = self.spark.read.schema(_SCHEMAS[path]).parquet(path)
             self._tables[name] = self._spread(df, name) if name in LARGE_TABLES else df
         return self._tables[name]
 

@@ -15,6 +15,8 @@ SETTINGS = {
     # Split a hot join partition even when a later stage must then shuffle again.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # A session runs many wide plans; keep their compiled code.
+    "spark.sql.codegen.cache.maxEntries": "2000",
     "spark.ui.enabled": "false",
 }
 
