@@ -233,6 +233,8 @@ def worklist_counts(recent: DataFrame, shipments: DataFrame, key: str) -> DataFr
             rows("n_active").alias("n_common_active"),
             rows("n_completed").alias("n_common_completed"),
             F.count_if(unknown).alias("n_new"),
+            # Keys that are both recent and under way: asked for once only.
+            F.count_if(seen & (F.col("n_active") > 0)).alias("n_overlap"),
         )
         .withColumn("n_final", F.col("n_common_active") + F.col("n_new"))
     )

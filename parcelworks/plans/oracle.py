@@ -677,13 +677,14 @@ QUERIES: dict[str, str] = {
         select awb_no from ships where mapped_status = 'status_completed')
       union select awb_no from ships where mapped_status = 'active'""",
     "worklist_counts": """
-      select n_window, n_common, n_common_active, n_common_completed, n_new,
+      select n_window, n_common, n_common_active, n_common_completed, n_new, n_overlap,
         n_common_active + n_new as n_final
       from (select count(*) as n_window, count(*) filter (s.awb_no is null
             or s.mapped_status not in ('active', 'status_completed')) as n_new
           from recent_keys r left join ships s on r.awb_no = s.awb_no),
         (select count(*) as n_common,
            count(*) filter (mapped_status = 'active') as n_common_active,
+           count(distinct awb_no) filter (mapped_status = 'active') as n_overlap,
            count(*) filter (mapped_status = 'status_completed') as n_common_completed
          from ships where awb_no in (select awb_no from recent_keys))""",
     "request_batches": f"""
@@ -776,6 +777,66 @@ QUERIES: dict[str, str] = {
 }
 
 
+def _freeze(old: str, new: str, key: str, columns: str, distinct: str = "") -> str:
+    """Upsert by EXISTS tests over two sources; the keys have no nulls here."""
+    is_open = f"""select {key} from stored_rows where mapped_status <> 'status_completed'"""
+    return f"""
+      with fresh_rows as (select {columns} from ({new})),
+        stored_rows as (select {columns} from {old})
+      select {distinct} * from (
+        select * from stored_rows where {key} not in (
+          select {key} from fresh_rows where {key} in ({is_open}))
+        union all
+        select * from fresh_rows where {key} in ({is_open})
+          or {key} not in (select {key} from stored_rows))"""
+
+
+_C = """awb_number, status, status_type, pickup_date, last_status_date, delivery_date,
+  rto_initiation_date, rto_delivered_date, updated_at, mapped_status"""
+_D = """awb_num, status, pickup_date, delivery_date, rto_initiated_date, rto_delivered_date,
+  mapped_status, updated_at"""
+_E = """awb_number, status, status_type, pickup_date, delivery_date, rto_initiation_date,
+  rto_delivered_date, updated_at, mapped_status"""
+QUERIES.update(
+    {
+        "refresh_carrier_a": _freeze(
+            "carrier_a",
+            QUERIES["clean_export_a"],
+            "awb_code",
+            """status, courier_company, awb_code, order_picked_up_date, order_delivered_date,
+              rto_delivered_date, cod_remittance_date, mapped_status, cod_charges,
+              freight_total_amount, updated_at""",
+            "distinct",
+        ),
+        "refresh_carrier_b": _freeze(
+            "(select * from carrier_b where status not in ('Z', 'ZFM', 'ZLM'))",
+            QUERIES["clean_export_b"],
+            "awb_no",
+            "awb_no, status, mapped_status, actual_pickup_date, delivery_date",
+        ),
+        "refresh_carrier_c": _freeze(
+            "carrier_c", QUERIES["flatten_shipment_lists"], "awb_number", _C
+        ),
+        "refresh_carrier_d": _freeze("carrier_d", QUERIES["scan_history_json"], "awb_num", _D),
+        "refresh_carrier_e": f"""
+          with fresh_rows as (select {_E} from ({QUERIES["flatten_packages"]}))
+          select {_E} from carrier_e
+            where awb_number not in (select awb_number from fresh_rows)
+          union all select * from fresh_rows""",
+        "unanswered_keys": f"""
+          select awb_no from ({QUERIES["tracking_worklist"]})
+          where awb_no not in (select awb_num from ({QUERIES["scan_history_json"]}))""",
+        "month_window": """
+          select suborder_no, order_date from sales
+          where order_date >= date '2001-07-01' and order_date < date '2001-07-31'""",
+        "batch_window": f"""
+          select suborder_no, order_date from sales
+          where order_date >= date '{star.RECENT_AS_OF}' - interval 2 month - interval 28 day
+            and order_date < date '{star.RECENT_AS_OF}' + interval 1 day""",
+    }
+)
+
+
 def _with(text: str) -> str:
     """The query with the CTEs it needs, each after those it uses."""
     done: dict[str, str] = {}

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelworks import schemas
+from parcelworks.functions import dates
 from parcelworks.functions.text import strip_backticks
 from parcelworks.operators import (
     batches,
@@ -27,7 +28,7 @@ from parcelworks.operators import (
     tracking,
     upsert,
 )
-from parcelworks.plans import order_flow, star
+from parcelworks.plans import carrier_refresh, order_flow, star
 from parcelworks.plans.star import Star
 from parcelworks.session import shared_folder, stage_table
 from parcelworks.sources import readers, sinks
@@ -110,6 +111,18 @@ def recent_carrier_lines(s: Star) -> DataFrame:
     return out
 
 
+@query
+def month_window(s: Star) -> DataFrame:
+    lines = order_flow.of_order_month(s.role("sales"), 2001, 7, star.RECENT_AS_OF)
+    return lines.select("suborder_no", "order_date")
+
+
+@query
+def batch_window(s: Star) -> DataFrame:
+    recent = dates.batch_window(F.col("order_date"), star.RECENT_AS_OF)
+    return s.role("sales").where(recent).select("suborder_no", "order_date")
+
+
 # Carriers --------------------------------------------------------------------
 
 
@@ -373,6 +386,47 @@ def dead_letters(s: Star) -> DataFrame:
     return s.spark.read.parquet(path)
 
 
+@query
+def unanswered_keys(s: Star) -> DataFrame:
+    answered = tracking.read_scan_documents(s.role("scan_documents"))
+    return carrier_refresh.unanswered_keys(
+        tracking.tracking_worklist(_recent(s), _shipments(s), "awb_no"), answered, "awb_num"
+    )
+
+
+@query
+def refresh_carrier_a(s: Star) -> DataFrame:
+    return carrier_refresh.refresh_carrier_a(s.role("carrier_a"), s.role("export_a"), star.AS_OF)
+
+
+@query
+def refresh_carrier_b(s: Star) -> DataFrame:
+    return carrier_refresh.refresh_carrier_b(
+        s.role("carrier_b"), s.role("export_b"), star.AS_OF
+    ).select("awb_no", "status", "mapped_status", "actual_pickup_date", "delivery_date")
+
+
+@query
+def refresh_carrier_c(s: Star) -> DataFrame:
+    return carrier_refresh.refresh_carrier_c(
+        s.role("carrier_c"), s.role("shipment_documents"), star.AS_OF
+    )
+
+
+@query
+def refresh_carrier_d(s: Star) -> DataFrame:
+    return carrier_refresh.refresh_carrier_d(
+        s.role("carrier_d"), s.role("scan_documents"), star.AS_OF
+    )
+
+
+@query
+def refresh_carrier_e(s: Star) -> DataFrame:
+    return carrier_refresh.refresh_carrier_e(
+        s.role("carrier_e"), s.role("package_documents"), star.AS_OF
+    )
+
+
 # Ledger ----------------------------------------------------------------------
 
 

@@ -26,6 +26,11 @@ def export_view(df: DataFrame, headers: dict[str, str]) -> DataFrame:
     )
 
 
+def preview(df: DataFrame, n: int = 10) -> DataFrame:
+    """Any ``n`` rows, to look at."""
+    return df.limit(n)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 

@@ -317,7 +317,7 @@ def test_worklist(spark):
     kept = rows(tracking.tracking_worklist(recent, stored, "awb", skip_finished=True))
     assert kept == [("far",), ("new",), ("odd",), ("open",)]
     counts = tracking.worklist_counts(recent, stored, "awb").first().asDict()
-    assert counts == dict(n_window=4, n_common=4, n_common_active=1, n_common_completed=2, n_new=2, n_final=3)
+    assert counts == dict(n_window=4, n_common=4, n_common_active=1, n_common_completed=2, n_new=2, n_overlap=1, n_final=3)
 
 
 @pytest.mark.parametrize("digits", [1, 2])
