@@ -121,11 +121,7 @@ def enrich_batches(
             "suborder_quantity": to_number(F.col("suborder_quantity")).cast("bigint"),
         }
     )
-    lines = with_channel(lines, house_brand)
-    lines = small_map(lines, "client_location", warehouses, "new_wh_name")
-    lines = left_join(
-        lines, statuses, "suborder_no", "status_key", spread=["order_number", "sku"]
-    )
+    # Batch days depend on the sales lines alone, so they come before the status join.
     lines = group_stats(
         lines,
         "batch_id",
@@ -133,6 +129,11 @@ def enrich_batches(
         spread=["suborder_no"],
         hot_rows=hot_rows,
     )
+    lines = with_channel(lines, house_brand)
+    lines = small_map(lines, "client_location", warehouses, "new_wh_name")
+    lines = left_join(
+        lines, statuses, "suborder_no", "status_key", spread=["order_number", "sku"]
+    )
     number = to_number(F.col("batch_id")).cast("bigint")
     day = F.coalesce("batch_date", "order_date")
     out = lines.withColumns(

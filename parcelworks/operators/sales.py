@@ -61,7 +61,8 @@ def delivered_flag(shipping_status: Column) -> Column:
     )
 
 
-def _in_segment(segment: str) -> Column:
+def in_segment(segment: str) -> Column:
+    """Whether a line belongs to a segment, by channel and order number."""
     channel, number = F.lower("mp_name"), F.col("order_number")
     if segment == "retail":
         return channel == RETAIL_CHANNEL
@@ -73,8 +74,11 @@ def _in_segment(segment: str) -> Column:
     return offline & ~F.lower(number).contains("corp") & number.contains(SEGMENT_MARKS[segment])
 
 
-def clean_sales(raw: DataFrame) -> DataFrame:
-    """Lines of all channels with clean keys, whole days and the three status flags."""
+def clean_sales(raw: DataFrame, *keep: str) -> DataFrame:
+    """Lines of all channels with clean keys, whole days and the three status flags.
+
+    ``keep`` names further columns of the export to carry along.
+    """
     number = text.strip_backticks(F.col("order_number"))
     return raw.withColumns(
         {
@@ -91,14 +95,14 @@ def clean_sales(raw: DataFrame) -> DataFrame:
             "cancelled_status": cancelled_flag(F.col("order_status"), F.col("shipping_status")),
             "delivered": delivered_flag(F.col("shipping_status")),
         }
-    ).select(*SALES_COLUMNS)
+    ).select(*SALES_COLUMNS, *keep)
 
 
 def prepare_sales(raw: DataFrame, segment: str) -> DataFrame:
     """Cleaned lines of one segment; offline segments also get their link to the first order."""
     if segment not in SEGMENTS:
         raise ValueError(f"unknown segment {segment!r}")
-    cleaned = clean_sales(raw.where(_in_segment(segment)))
+    cleaned = clean_sales(raw.where(in_segment(segment)))
     if segment not in SEGMENT_MARKS:
         return cleaned
     clean_id = text.first_part(F.col("order_number"))

@@ -430,45 +430,44 @@ def refresh_carrier_e(s: Star) -> DataFrame:
 # Ledger ----------------------------------------------------------------------
 
 
-def _retail_fact(s: Star) -> DataFrame:
+def _ledger_base(s: Star) -> DataFrame:
+    """Classified lines of all channels with typed dates: what every stored flow starts from."""
+    lines = sales.clean_sales(s.role("sales"), "mp_name")
+    fact = sla.parse_fact_dates(classify.classify_orders(lines, _shipments(s)))
+    return fact.withColumn("forced_closure_date", F.lit(None).cast("string"))
+
+
+def _retail_fact(s: Star, base: DataFrame) -> DataFrame:
     """All lines with the columns the ledger reads; allocation and costs included."""
-    fact = classify.classify_orders(sales.clean_sales(s.role("sales")), _shipments(s))
-    fact = costs.attach_order_fee(costs.attach_cost(fact, _costs(s)), s.role("fees"))
-    fact = stage_table(classify.status_fallback(sales.with_zero_prices(fact)), "ledger-fact")
-    fact = costs.allocate_shipping_tax(fact)
-    return sla.parse_fact_dates(fact).withColumn(
-        "forced_closure_date", F.lit(None).cast("string")
+    fact = sales.with_zero_prices(classify.status_fallback(base))
+    return costs.allocate_shipping_tax(
+        costs.attach_order_fee(costs.attach_cost(fact, _costs(s)), s.role("fees"))
     )
 
 
-def _segment_fact(raw: DataFrame, shipments: DataFrame, segment: str, cogs: str) -> DataFrame:
-    fact = classify.classify_orders(sales.prepare_sales(raw, segment), shipments)
-    return (
-        sla.parse_fact_dates(fact)
-        .withColumn("forced_closure_date", F.lit(None).cast("string"))
-        .withColumn(cogs, F.concat(F.col("suborder_quantity").cast("string"), F.lit(".5")))
-    )
+def _segment_fact(base: DataFrame, segment: str, cogs: str) -> DataFrame:
+    lines = base.where(sales.in_segment(segment))
+    return lines.withColumn(cogs, F.concat(F.col("suborder_quantity").cast("string"), F.lit(".5")))
 
 
 @query
 def ledger_main(s: Star) -> DataFrame:
-    return ledger.ledger_main(_retail_fact(s)).drop("shipping_state", "warehouse")
+    base = stage_table(_ledger_base(s), "ledger-base")
+    return ledger.ledger_main(_retail_fact(s, base)).drop("shipping_state", "warehouse")
 
 
 @query
 def ledger_reship(s: Star) -> DataFrame:
-    return ledger.ledger_reship(
-        _segment_fact(s.role("sales"), _shipments(s), "reship", "rs_cogs")
-    ).select(
+    return ledger.ledger_reship(_segment_fact(_ledger_base(s), "reship", "rs_cogs")).select(
         "date", "date_reason", "order_id", "suborder_no", "sku", "tagging", "value", "value_reason"
     )
 
 
 @query
 def ledger_cogs_only(s: Star) -> DataFrame:
-    raw, shipments = s.role("sales"), _shipments(s)
+    base = _ledger_base(s)
     parts = [
-        ledger.ledger_cogs_only(_segment_fact(raw, shipments, segment, tag), tag)
+        ledger.ledger_cogs_only(_segment_fact(base, segment, tag), tag)
         for segment, tag in [("replace", "rp_cogs"), ("missing", "ms_cogs")]
     ]
     return parts[0].unionByName(parts[1]).select(
@@ -484,12 +483,15 @@ def ledger_refunds(s: Star) -> DataFrame:
 
 
 def _full_ledger(s: Star) -> DataFrame:
-    """All five kinds; the segment facts share one written copy of their two inputs."""
-    raw = stage_table(s.role("sales").where("mp_name = 'Offline'"), "offline-sales")
-    shipments = stage_table(_shipments(s), "shipments")
-    segments = {"reship": "rs_cogs", "replace": "rp_cogs", "missing": "ms_cogs"}
-    facts = {k: _segment_fact(raw, shipments, k, cogs) for k, cogs in segments.items()}
-    return ledger.full_ledger(_retail_fact(s), **facts, refunds=s.role("refunds"))
+    """All five kinds out of one written copy of the classified lines."""
+    base = stage_table(_ledger_base(s), "ledger-base")
+    return ledger.full_ledger(
+        _retail_fact(s, base),
+        _segment_fact(base, "reship", "rs_cogs"),
+        _segment_fact(base, "replace", "rp_cogs"),
+        _segment_fact(base, "missing", "ms_cogs"),
+        s.role("refunds"),
+    )
 
 
 @query
@@ -509,11 +511,13 @@ def ledger_enriched(s: Star) -> DataFrame:
 
 
 def _batch_lines(s: Star) -> DataFrame:
-    fact = _classified(s)
+    fact = stage_table(
+        _classified(s).select("suborder_no", "order_number", "awb_no", "final_status"), "statuses"
+    )
     # Lines without a parcel have no flow yet, so their tag comes from the sales flags.
     statuses = batches.union_statuses(
         fact.where(F.col("awb_no").isNotNull() & ~F.col("order_number").contains("_")),
-        sla.parse_fact_dates(fact.where(F.col("order_number").contains("_RS"))),
+        fact.where(F.col("order_number").contains("_RS")),
     )
     return batches.enrich_batches(
         s.role("sales"), statuses, star.WAREHOUSES, star.HOUSE_BRAND, star.AS_OF

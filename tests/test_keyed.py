@@ -87,3 +87,36 @@ def test_presence_and_duplicates(spark):
         ("x", 2, 1, 0), ("y", 1, 1, 1), ("z", 0, 0, 1),
     ]
     assert rows(keyed.duplicate_keys(a, "k")) == [("x", 2)]
+
+
+def test_hot_key_of_a_plain_join_is_split_at_run_time(spark):
+    """Two thirds of the left rows under one real key: the engine cuts that partition."""
+    left = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, F.concat(F.lit("k"), F.col("id").cast("string")))
+        .otherwise("hot")
+        .alias("k"),
+        F.col("id").alias("n"),
+        F.sha2(F.col("id").cast("string"), 512).alias("payload"),
+    )
+    right = spark.range(60_000).select(
+        F.when(F.col("id") == 0, "hot")
+        .otherwise(F.concat(F.lit("k"), F.col("id").cast("string")))
+        .alias("rk"),
+        F.col("id").alias("v"),
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        got = keyed.left_join(left, right, "k", "rk", spread=["n"])
+        assert len(got.collect()) == 60_000
+        assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+        assert got.where("k = 'hot' and v = 0").count() == 40_000
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
