@@ -430,11 +430,21 @@ def refresh_carrier_e(s: Star) -> DataFrame:
 # Ledger ----------------------------------------------------------------------
 
 
+_LEDGER_INPUT = [
+    "suborder_no", "mp_name", "order_number", "sku", "suborder_quantity", "selling_price",
+    "order_date", "order_status", "shipping_status", "status", "mapped_status", "final_status",
+    "manifested_at", "cancelled_at", "pickup_date", "rto_delivered_date", "forced_closure_date",
+    "total_charges", "shipping_state", "client_location",
+]
+
+
 def _ledger_base(s: Star) -> DataFrame:
     """Classified lines of all channels with typed dates: what every stored flow starts from."""
     lines = sales.clean_sales(s.role("sales"), "mp_name")
     fact = sla.parse_fact_dates(classify.classify_orders(lines, _shipments(s)))
-    return fact.withColumn("forced_closure_date", F.lit(None).cast("string"))
+    return fact.withColumn("forced_closure_date", F.lit(None).cast("string")).select(
+        *_LEDGER_INPUT
+    )
 
 
 def _retail_fact(s: Star, base: DataFrame) -> DataFrame:

@@ -17,6 +17,9 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # A session runs many wide plans; keep their compiled code.
     "spark.sql.codegen.cache.maxEntries": "2000",
+    # Wide projections become long methods, which the JVM otherwise never compiles.
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
     "spark.ui.enabled": "false",
 }
 
