@@ -47,7 +47,7 @@ def run(df: DataFrame) -> None:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     wanted = os.environ.get("BENCH_QUERIES", "")
     names = list(QUERIES) if wanted == "all" else wanted.split(",") if wanted else HEADLINE
     spark = build_session(
