@@ -24,7 +24,7 @@ PART = "__part"
 
 REQUEST = "level int, bucket int, part int, keys binary, tags binary, owners binary, runs binary"
 REPLY = "level int, part int, bucket int, shared binary, smaller binary, mixed binary"
-_REQUEST = pa.schema(
+REQUEST_SCHEMA = pa.schema(
     [("level", pa.int32()), ("bucket", pa.int32()), ("part", pa.int32())]
     + [(name, pa.binary()) for name in ("keys", "tags", "owners", "runs")]
 )
@@ -92,7 +92,7 @@ def ask(
 ) -> pa.Table:
     """Request rows for distinct keys, given as a matrix of bytes."""
     order, kinds, cuts = _layout(bucket, owner)
-    rows: dict[str, list] = {name: [] for name in _REQUEST.names}
+    rows: dict[str, list] = {name: [] for name in REQUEST_SCHEMA.names}
     for kind, a, b in zip(kinds.tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
         at = order[a:b]
         rows["level"].append(level)
@@ -108,7 +108,7 @@ def ask(
             begin = np.flatnonzero(np.append(True, mine[1:] != mine[:-1]))
             rows["owners"].append(mine[begin].tobytes())
             rows["runs"].append(np.diff(np.append(begin, len(mine))).astype(np.int32).tobytes())
-    return pa.table(rows, schema=_REQUEST)
+    return pa.table(rows, schema=REQUEST_SCHEMA)
 
 
 def answers(

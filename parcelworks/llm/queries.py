@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelworks.llm import bpe, decontamination, minhash_dedup, substring_dedup
+from parcelworks.llm import bpe, decontamination, minhash_dedup, substring_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,17 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeated_bytes(docs, width=50).select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("removed_spans").cast("long").alias("n_spans"),
+        F.sha2("kept_bytes", 256).alias("kept_sha256"),
+    )
+
+
 def _tokenizer() -> str:
     import public_tokenizers
 
@@ -61,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op6_minhash_dedup": op6_minhash_dedup,
     "op7_decontamination": op7_decontamination,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }
 
