@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelworks.llm import bpe, decontamination, minhash_dedup, substring_dedup, suffix_dedup, toxicity
+from parcelworks.llm import bpe, decontamination, minhash_dedup, quality, substring_dedup, suffix_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,17 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").where(_fold("doc_id", 5) != 0)
+    return quality.fit_and_score(docs, labels, label="quality").select(
+        "doc_id",
+        (_fold("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix_dedup.remove_repeated_bytes(docs, width=50).select(
@@ -90,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op6_minhash_dedup": op6_minhash_dedup,
     "op7_decontamination": op7_decontamination,
+    "op8_quality": op8_quality,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }
