@@ -5,10 +5,10 @@ Every distinct shingle set has a signature of 32 minima. Sets are posted under e
 least ``matches`` coordinates must meet in one of the first ``shared - matches + 1``
 postings of each, so the frequent rest is skipped. Links are confirmed on full sets.
 
-A group of near copies is not compared pair by pair: first every set is confirmed
-against the one list leader it collides with most, then the best pair between any two
-groups found so far, and only pairs that still lie in different groups are compared
-in full.
+A group of near copies is not compared pair by pair. In a few rounds every set is
+confirmed against the one list leader that it meets most often; lists whose sets are all
+in one group by then are done. Only pairs that still lie in different groups are compared
+one by one, and bitmaps of both sets rule out most of them.
 """
 
 from __future__ import annotations
@@ -28,9 +28,12 @@ from parcelworks.session import stage_table
 
 U = np.uint64
 COORDINATES = 32
-_BITS = 2048
-_SUMMARY = "doc bigint, mark bigint, n_shingles bigint, print binary, signature array<int>, bits array<bigint>"
+_BITS = 1024
+_SUMMARY = "doc bigint, mark bigint, n_shingles bigint, print binary, signature array<int>"
 _SET_BYTES = 6
+#: Names of at most so many texts (24 bytes each) are broadcast.
+_BROADCAST_ROWS = 500_000
+_STAR_ROUNDS = 3
 
 
 def _multipliers() -> np.ndarray:
@@ -83,7 +86,7 @@ def _source(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def summaries(docs: DataFrame, size: int, doc_id: str, text: str, batch_bytes: int) -> DataFrame:
-    """Size, fingerprint, signature and bitmap of the shingle set of every document with words."""
+    """Size, fingerprint and signature of the shingle set of every document with words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,16 +107,19 @@ def summaries(docs: DataFrame, size: int, doc_id: str, text: str, batch_bytes: i
                         pa.array(np.diff(bounds)[full]),
                         pa.array(prints, pa.binary()),
                         _lists(_signatures(hashes, tight), pa.int32()),
-                        _lists(_bitmaps(hashes, tight), pa.int64()),
                     ],
-                    names=["doc", "mark", "n_shingles", "print", "signature", "bits"],
+                    names=["doc", "mark", "n_shingles", "print", "signature"],
                 )
 
     return _source(docs, doc_id, text).mapInArrow(run, _SUMMARY)
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, size: int, doc_id: str, text: str, batch_bytes: int) -> DataFrame:
-    """``node`` and its whole set, for the texts named in ``wanted``."""
+    """``node``, its whole set and a bitmap of it, for the texts named in ``wanted``.
+
+    Up to a fixed number of names (three numbers each) are sent to the texts; more are
+    joined by a shuffle.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,10 +130,15 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, size: int, doc_id: str, text:
                 body = short.view(np.uint8).reshape(-1, 8)[:, :_SET_BYTES].tobytes()
                 cuts = (bounds * _SET_BYTES).tolist()
                 sets = [body[x:y] for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([nodes.slice(a, b - a), pa.array(sets, pa.binary())], names=["node", "members"])
+                yield pa.RecordBatch.from_arrays(
+                    [nodes.slice(a, b - a), pa.array(sets, pa.binary()), _lists(_bitmaps(hashes, bounds), pa.int64())],
+                    names=["node", "members", "bits"],
+                )
 
+    if wanted.count() <= _BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
     texts = _source(docs, doc_id, text).join(wanted, ["doc", "mark"]).select("node", "text")
-    return texts.mapInArrow(run, "node bigint, members binary")
+    return texts.mapInArrow(run, "node bigint, members binary, bits array<bigint>")
 
 
 def _members(raw: bytes) -> np.ndarray:
@@ -173,49 +184,60 @@ def _possible(percent: int) -> str:
     return f"{ratio} and (100 + {percent}) * {overlap} >= {percent} * (x.n_shingles + y.n_shingles)"
 
 
-def _postings(nodes: DataFrame, matches: int) -> DataFrame:
-    """(node, coordinate, value) of the rarest shared coordinates that can decide."""
-    tokens = nodes.select("node", F.posexplode("signature").alias("coordinate", "value"))
-    held = tokens.groupBy("coordinate", "value").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
-    shared = tokens.join(held, ["coordinate", "value"])
+def _postings(nodes: DataFrame, percent: int, matches: int) -> DataFrame:
+    """(node, coordinate, value) of the rarest shared coordinates that can decide.
+
+    A posting counts as shared if some other holder's size may fit: for two holders that is
+    known, for more the range of their sizes must reach. ``mask`` has a bit for each
+    coordinate under which the node stays posted.
+    """
+    tokens = nodes.select("node", "n_shingles", F.posexplode("signature").alias("coordinate", "value"))
+    held = (
+        tokens.groupBy("coordinate", "value")
+        .agg(F.count(F.lit(1)).alias("held"), F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high"))
+        .where("held > 1")
+    )
+    fits = f"""if(held = 2,
+        100 * least(n_shingles, low + high - n_shingles) >= {percent} * greatest(n_shingles, low + high - n_shingles),
+        100 * n_shingles >= {percent} * low and 100 * high >= {percent} * n_shingles)"""
+    shared = tokens.join(held, ["coordinate", "value"]).where(fits)
     mine = Window.partitionBy("node")
     return (
         shared.withColumn("place", F.row_number().over(mine.orderBy("held", "coordinate")))
         .withColumn("n", F.count(F.lit(1)).over(mine))
         .where(F.col("place") <= F.col("n") - matches + 1)
-        .select("node", "coordinate", "value")
+        .withColumn("mask", F.expr("bit_or(shiftleft(1L, coordinate))").over(mine))
+        .select("node", "coordinate", "value", "mask")
     )
 
 
-def _nearest_leaders(postings: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Each set with the least set of a list that it meets most often, if they look alike."""
-    leader = postings.groupBy("coordinate", "value").agg(F.min("node").alias("a"))
-    met = postings.join(leader, ["coordinate", "value"]).where("a != node")
-    most = (
-        met.groupBy(F.col("node").alias("b"), "a")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("b")
-        .agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a"))
-    )
-    left = nodes.select(F.col("node").alias("a"), F.col("signature").alias("sign_a"))
-    right = nodes.select(F.col("node").alias("b"), F.col("signature").alias("sign_b"))
-    alike = most.join(left, "a").join(right, "b").where(_agreement("sign_a", "sign_b") >= COORDINATES // 2)
-    return alike.select("a", "b")
-
-
-def _grouped(postings: DataFrame, nodes: DataFrame, known: DataFrame) -> DataFrame:
-    """Postings with what pairs are judged by, of lists that still hold several groups."""
+def _grouped(postings: DataFrame, known: DataFrame) -> DataFrame:
+    """Postings of lists that hold several groups, with each node's and the largest group."""
     named = postings.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    sizes = named.groupBy("coordinate", "value", "component").agg(F.count(F.lit(1)).alias("size"))
-    main = sizes.groupBy("coordinate", "value").agg(
-        F.max_by("component", F.struct("size", "component")).alias("main"), F.count(F.lit(1)).alias("groups")
+    sizes = named.groupBy("coordinate", "value", "component").agg(
+        F.count(F.lit(1)).alias("size"), F.min_by("node", F.xxhash64("node")).alias("leader")
     )
-    mask = postings.groupBy("node").agg(F.expr("bit_or(shiftleft(1L, coordinate))").alias("mask"))
-    return (
-        named.join(main.where("groups > 1").drop("groups"), ["coordinate", "value"])
-        .join(mask, "node")
-        .join(nodes.select("node", "n_shingles", "signature", "bits"), "node")
+    main = (
+        sizes.groupBy("coordinate", "value")
+        .agg(F.max_by(F.struct("component", "leader"), F.struct("size", "component")).alias("main"), F.count(F.lit(1)).alias("groups"))
+        .where("groups > 1")
+        .select("coordinate", "value", "main.*")
+        .withColumnRenamed("component", "main")
     )
+    return named.join(main, ["coordinate", "value"])
+
+
+def _nearest_leaders(grouped: DataFrame, nodes: DataFrame, tried: DataFrame | None) -> DataFrame:
+    """Each set outside the largest group of a list with the leader it meets most often, if they look alike."""
+    met = grouped.where("component != main").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"), "node")
+    most = met.groupBy("node", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+    if tried is not None:
+        most = most.join(tried, ["a", "b"], "left_anti")
+    most = most.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("n", -F.col("a"), -F.col("b"))).alias("pair"))
+    left = nodes.select(F.col("node").alias("a"), F.col("signature").alias("sign_a"))
+    right = nodes.select(F.col("node").alias("b"), F.col("signature").alias("sign_b"))
+    alike = most.select("pair.*").distinct().join(left, "a").join(right, "b")
+    return alike.where(_agreement("sign_a", "sign_b") >= COORDINATES // 2).select("a", "b")
 
 
 def _cross_pairs(rows: DataFrame, percent: int, matches: int) -> DataFrame:
@@ -236,9 +258,6 @@ def _cross_pairs(rows: DataFrame, percent: int, matches: int) -> DataFrame:
     return x.join(y, F.expr(test)).select(
         F.least("x.node", "y.node").alias("a"),
         F.greatest("x.node", "y.node").alias("b"),
-        F.least("x.component", "y.component").alias("group_a"),
-        F.greatest("x.component", "y.component").alias("group_b"),
-        _agreement("x.signature", "y.signature").alias("agree"),
     )
 
 
@@ -272,23 +291,29 @@ def near_duplicates(
     nodes = stage_table(
         every.groupBy(F.xxhash64("print").alias("node")).agg(
             F.min(F.struct("doc", "mark")).alias("least"),
-            *[F.any_value(c).alias(c) for c in ("n_shingles", "signature", "bits")],
+            *[F.any_value(c).alias(c) for c in ("n_shingles", "signature")],
         ),
         "nodes",
     )
-    postings = stage_table(_postings(nodes, matches), "postings")
-    wanted = nodes.join(postings.select("node").distinct(), "node", "left_semi").select("node", "least.*")
-    sets = stage_table(_full_sets(docs, wanted, shingle, doc_id, text, batch_bytes), "sets")
-
-    links = stage_table(_confirm(_nearest_leaders(postings, nodes), sets, percent), "links")
-
-    pairs = _cross_pairs(_grouped(postings, nodes, components(links)), percent, matches)
-    order = F.struct("agree", -F.col("a"), -F.col("b"))
-    best = pairs.groupBy("group_a", "group_b").agg(F.max_by(F.struct("a", "b"), order).alias("pair"))
-    links = stage_table(links.unionByName(_confirm(best.select("pair.*"), sets, percent)), "links")
-
-    pairs = _cross_pairs(_grouped(postings, nodes, components(links)), percent, matches)
-    links = links.unionByName(_confirm(pairs.select("a", "b"), sets, percent))
+    postings = stage_table(_postings(nodes, percent, matches), "postings")
+    posted = stage_table(
+        nodes.join(postings.select("node").distinct(), "node", "left_semi").select("node", "least.*", "n_shingles", "signature"),
+        "posted",
+    )
+    sets = stage_table(_full_sets(docs, posted.select("node", "doc", "mark"), shingle, doc_id, text, batch_bytes), "sets")
+
+    known = postings.select("node", F.col("node").alias("component")).limit(0)
+    tried = links = None
+    for _ in range(_STAR_ROUNDS):
+        pairs = stage_table(_nearest_leaders(_grouped(postings, known), posted, tried), "pairs")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        good = _confirm(pairs, sets, percent)
+        links = stage_table(good if links is None else links.unionByName(good), "links")
+        known = components(links)
+
+    judged = posted.select("node", "n_shingles", "signature").join(sets.select("node", "bits"), "node")
+    rows = _grouped(postings, known).drop("leader").join(judged, "node")
+    links = links.unionByName(_confirm(_cross_pairs(rows, percent, matches), sets, percent))
 
     grouped = nodes.select("node", F.col("least.doc").alias("doc")).join(components(links), "node", "left")
     grouped = grouped.select("node", "doc", F.coalesce("component", "node").alias("component"))
