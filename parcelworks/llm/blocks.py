@@ -220,8 +220,12 @@ def exchange(
     """One round of questions; returns all answers so far."""
 
     def bucket_answers(requests: pa.Table) -> pa.Table:
-        return answer(requests) if answer else settle(requests, key_bytes)
+        if answer:
+            return answer(requests)
+        kinds = pc.unique(requests["level"])
+        return pa.concat_tables([settle(requests.filter(pc.equal(requests["level"], k)), key_bytes) for k in kinds])
 
     asked = each_block(docs, replies, step, REQUEST)
-    got = asked.groupBy("bucket").applyInArrow(bucket_answers, REPLY)
+    # Dealt out here, so that later rounds read these answers again without making them anew.
+    got = asked.groupBy("bucket").applyInArrow(bucket_answers, REPLY).repartition("part")
     return got if replies is None else replies.unionByName(got)

@@ -16,7 +16,8 @@ U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _LOW = U((1 << 24) - 1)
-_STEP = 1 << 20
+#: Positions taken at a time, so that what is worked on stays in the processor's cache.
+_STEP = 1 << 15
 
 
 def _byte_codes() -> np.ndarray:
@@ -90,10 +91,19 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def prefix(values: np.ndarray) -> np.ndarray:
-    """Sums from which ``span_hash`` takes the hash of any span of ``values``."""
-    sums = np.zeros(len(values) + 1, dtype=U)
-    np.cumsum(values * _powers_to(len(values) + 1)[0][: len(values)], out=sums[1:])
+def prefix(values: np.ndarray, codes: np.ndarray | None = None) -> np.ndarray:
+    """Sums from which ``span_hash`` takes the hash of any span of ``values``.
+
+    With ``codes`` the values are looked up there first.
+    """
+    n = len(values)
+    powers = _powers_to(n + 1)[0]
+    sums = np.zeros(n + 1, dtype=U)
+    for lo in range(0, n, _STEP):
+        hi = min(lo + _STEP, n)
+        part = (values[lo:hi] if codes is None else codes[values[lo:hi]]) * powers[lo:hi]
+        np.cumsum(part, out=sums[lo + 1 : hi + 1])
+        sums[lo + 1 : hi + 1] += sums[lo]
     return sums
 
 
@@ -105,7 +115,12 @@ def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
 def window_hash(sums: np.ndarray, width: int) -> np.ndarray:
     """``span_hash`` of every window of one width."""
     n = max(0, len(sums) - width)
-    return mix((sums[width : width + n] - sums[:n]) * _powers_to(len(sums))[1][:n])
+    inverses = _powers_to(len(sums))[1]
+    out = np.empty(n, dtype=U)
+    for lo in range(0, n, _STEP):
+        hi = min(lo + _STEP, n)
+        out[lo:hi] = mix((sums[width + lo : width + hi] - sums[lo:hi]) * inverses[lo:hi])
+    return out
 
 
 def words(data: np.ndarray, offs: np.ndarray, between: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -125,7 +140,7 @@ def words(data: np.ndarray, offs: np.ndarray, between: np.ndarray) -> tuple[np.n
 
 
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return span_hash(prefix(BYTE_CODES[data]), start, end)
+    return span_hash(prefix(data, BYTE_CODES), start, end)
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -151,6 +166,14 @@ def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
+def whole_windows(offs: np.ndarray, width: int) -> np.ndarray:
+    """Which positions start a window that lies in one row."""
+    out = np.ones(max(0, int(offs[-1]) - width + 1), dtype=bool)
+    for border in offs[1:-1].tolist():
+        out[max(0, border - width + 1) : border] = False
+    return out
+
+
 def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
     """Which of ``n`` positions lie in a window that begins at one of the distinct ``starts``."""
     steps = np.zeros(n + 1, dtype=np.int32)

@@ -3,13 +3,14 @@
 Only suffixes that can matter are sorted. In every window of ``width`` bytes one short
 string is sampled by its content, so equal windows sample alike:
 
-1. Samples that lie in one block of documents only rule out all their windows.
-2. A sample whose surroundings (all windows that sampled it) are the same wherever it
-   occurs is settled at once: the windows repeat together.
-3. For the others each block sorts its suffixes, one per distinct window, and sends them
-   front-coded: the length of the prefix shared with the one before, and the rest. Runs
-   are merged by a loser tree that keeps shared prefix lengths, so no byte known to be
-   equal is looked at again; equal neighbours of the merged order are the repeats.
+1. Samples that lie in one document only rule out all their windows.
+2. Surroundings (all windows around one sample) that occur under a smaller id settle
+   their windows, and so do samples that have the same surroundings wherever they occur.
+3. Of the other windows those go on that more than one block holds, by a short hash.
+4. Their suffixes are sorted in each block, one per distinct window, and sent front-coded:
+   the length of the prefix shared with the one before, and the rest. Runs are merged by a
+   loser tree that keeps shared prefix lengths, so no byte known to be equal is looked at
+   again; equal neighbours of the merged order are the repeats.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from parcelworks.llm import blocks, kernel
 
 U = np.uint64
+_SAMPLES, _KINDS, _AROUND, _FILTER, _RUNS = range(5)
 
 
 class _Texts:
@@ -31,24 +33,11 @@ class _Texts:
         self.part = table[blocks.PART][0].as_py()
         self.table, self.ids = blocks.ordered(table, doc_id, text)
         self.data, self.offs = kernel.flat(self.table[text])
-        self.sums = kernel.prefix(kernel.BYTE_CODES[self.data])
+        self.sums = kernel.prefix(self.data, kernel.BYTE_CODES)
 
     def row(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.offs, at, side="right") - 1
 
-    def windows(self, width: int) -> np.ndarray:
-        """Which positions start a window that lies in one text."""
-        n = max(0, len(self.data) - width + 1)
-        whole = np.ones(n, dtype=bool)
-        steps = np.zeros(n + 1, dtype=np.int32)
-        # Starts less than ``width`` bytes before an inner border run over it.
-        borders = np.unique(self.offs[1:-1])
-        lo = np.clip(borders - width + 1, 0, n)
-        np.add.at(steps, lo, 1)
-        np.add.at(steps, np.clip(borders, 0, n), -1)
-        whole &= np.cumsum(steps[:n]) == 0
-        return whole
-
 
 def _sorted_suffixes(data: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
     """Order of the windows at ``at`` by their bytes."""
@@ -162,7 +151,7 @@ def merge_runs(runs: list[_Run], width: int):
 
 def _merge_bucket(requests: pa.Table, width: int) -> pa.Table:
     """Which suffixes of each run also start under a smaller id in another run."""
-    if requests["tags"][0].as_py() is None or requests["level"][0].as_py() != 2:
+    if requests["tags"][0].as_py() is None or requests["level"][0].as_py() != _RUNS:
         raise ValueError("not suffix runs")
     sames, rests = requests["tags"].to_pylist(), requests["keys"].to_pylist()
     runs = [_Run(s, r, width) for s, r in zip(sames, rests, strict=True)]
@@ -201,7 +190,7 @@ def _ask_suffixes(part: int, bucket: np.ndarray, rows: np.ndarray, owner: np.nda
         same, rest = _front_code(rows[mine])
         ids, which = np.unique(owner[mine], return_inverse=True)
         for name, value in (
-            ("level", 2),
+            ("level", _RUNS),
             ("bucket", kind),
             ("part", part),
             ("keys", rest),
@@ -213,57 +202,67 @@ def _ask_suffixes(part: int, bucket: np.ndarray, rows: np.ndarray, owner: np.nda
     return pa.table(columns, schema=blocks.REQUEST_SCHEMA)
 
 
+def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
+    return ((key >> U(32)) % U(buckets)).astype(np.int64)
+
+
 def _walk(texts: _Texts, width: int, sample: int, buckets: int, filter_bytes: int, replies: pa.Table, ask_at: int | None):
-    """Ask at one of the three steps, or return the starts of all repeated windows."""
-    whole = texts.windows(width)
+    """Ask at one of the steps, or return the starts of all repeated windows."""
+    whole = kernel.whole_windows(texts.offs, width)
     least = kernel.sliding_argmin(kernel.window_hash(texts.sums, sample), width - sample + 1)
+    at = np.flatnonzero(whole)
+    anchor = least[at]
     chosen = np.zeros(len(texts.data) + 1, dtype=bool)
-    chosen[least[whole]] = True
+    chosen[anchor] = True
     spots = np.flatnonzero(chosen)
     found = blocks.Keys(kernel.span_hash(texts.sums, spots, spots + sample), texts.row(spots), texts.ids)
-    bucket = ((found.key >> U(32)) % U(buckets)).astype(np.int64)
-    if ask_at == 0:
-        return blocks.ask(0, texts.part, bucket, blocks.as_bytes((found.key, filter_bytes)))
-    alive = (blocks.answers(0, bucket, replies, "shared") | found.several)[found.index]
+    bucket = _bucket(found.key, buckets)
+    if ask_at == _SAMPLES:
+        return blocks.ask(_SAMPLES, texts.part, bucket, blocks.as_bytes((found.key, filter_bytes)))
+    alive = (blocks.answers(_SAMPLES, bucket, replies, "shared") | found.several)[found.index]
     chosen[spots[~alive]] = False
-    at = np.flatnonzero(whole)
-    at = at[chosen[least[at]]]
-    anchor = least[at]
+    go = chosen[anchor]
+    at, anchor = at[go], anchor[go]
     # Windows that sampled the same spot are neighbours: from ``first`` to ``last``.
     begin = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1])[: len(at)])
-    first, last = at[begin], at[np.append(begin[1:], len(at))[: len(begin)] - 1]
-    spot = anchor[begin]
-    spots_row = texts.row(spot)
-    found = blocks.Keys(kernel.span_hash(texts.sums, spot, spot + sample), spots_row, texts.ids)
+    size = np.diff(np.append(begin, len(at)))
+    first, spot = at[begin], anchor[begin]
+    last = first + size - 1
+    row = texts.row(spot)
+    kind = blocks.Keys(kernel.span_hash(texts.sums, spot, spot + sample), row, texts.ids)
     around = kernel.span_hash(texts.sums, first, last + width)
-    around = kernel.mix(around + (spot - first).astype(U) * U(0x632BE59BD9B4E019) + (last - first).astype(U))
+    around = kernel.mix(around + (spot - first).astype(U) * U(0x632BE59BD9B4E019) + size.astype(U))
     around[around == 0] = 1
-    low = np.full(len(found.key), np.iinfo(np.uint64).max, dtype=U)
-    high = np.zeros(len(found.key), dtype=U)
-    np.minimum.at(low, found.index, around)
-    np.maximum.at(high, found.index, around)
+    low = np.full(len(kind.key), np.iinfo(np.uint64).max, dtype=U)
+    high = np.zeros(len(kind.key), dtype=U)
+    np.minimum.at(low, kind.index, around)
+    np.maximum.at(high, kind.index, around)
     tag = np.where(low == high, low, U(0))
-    bucket = ((found.key >> U(32)) % U(buckets)).astype(np.int64)
-    if ask_at == 1:
-        return blocks.ask(1, texts.part, bucket, blocks.as_bytes((found.key, 8)), found.first, tag)
-    mixed = blocks.answers(1, bucket, replies, "mixed", found.first) | (tag == 0)
-    smaller = blocks.answers(1, bucket, replies, "smaller", found.first)
-    late = smaller[found.index] | (texts.ids[spots_row] > found.first[found.index])
-    open_ = mixed[found.index]
-    size = np.diff(np.append(begin, len(at)))
-    settled = at[np.repeat(late & ~open_, size)]
-    at = at[np.repeat(open_, size)]
+    area = blocks.Keys(around ^ kind.key[kind.index], row, texts.ids)
+    kind_bucket, area_bucket = _bucket(kind.key, buckets), _bucket(area.key, buckets)
+    if ask_at == _KINDS:
+        asked = blocks.ask(_KINDS, texts.part, kind_bucket, blocks.as_bytes((kind.key, 8)), None, tag)
+        more = blocks.ask(_AROUND, texts.part, area_bucket, blocks.as_bytes((area.key, 8)), area.first)
+        return pa.concat_tables([asked, more])
+    mixed = (blocks.answers(_KINDS, kind_bucket, replies, "mixed") | (tag == 0))[kind.index]
+    smaller = blocks.answers(_AROUND, area_bucket, replies, "smaller", area.first)[area.index]
+    late = smaller | (texts.ids[row] > area.first[area.index])
+    settled = at[np.repeat(late, size)]
+    at = at[np.repeat(mixed & ~late, size)]
     row = texts.row(at)
     found = blocks.Keys(kernel.span_hash(texts.sums, at, at + width), row, texts.ids)
-    lone = found.at
-    order = _sorted_suffixes(texts.data, at[lone], width)
-    key, owner = found.key[order], found.first[order]
-    bucket = ((key >> U(32)) % U(buckets)).astype(np.int64)
-    if ask_at == 2:
-        rows = texts.data[at[lone][order][:, None] + np.arange(width)]
-        return _ask_suffixes(texts.part, bucket, rows, owner)
-    smaller = np.zeros(len(order), dtype=bool)
-    smaller[order] = blocks.answers(2, bucket, replies, "smaller")
+    bucket = _bucket(found.key, buckets)
+    if ask_at == _FILTER:
+        return blocks.ask(_FILTER, texts.part, bucket, blocks.as_bytes((found.key, filter_bytes)))
+    shared = np.flatnonzero(blocks.answers(_FILTER, bucket, replies, "shared"))
+    start = at[found.at[shared]]
+    order = _sorted_suffixes(texts.data, start, width)
+    bucket = bucket[shared][order]
+    if ask_at == _RUNS:
+        rows = texts.data[start[order][:, None] + np.arange(width)]
+        return _ask_suffixes(texts.part, bucket, rows, found.first[shared][order])
+    smaller = np.zeros(len(found.key), dtype=bool)
+    smaller[shared[order]] = blocks.answers(_RUNS, bucket, replies, "smaller")
     repeated = at[smaller[found.index] | (texts.ids[row] > found.first[found.index])]
     return np.union1d(settled, repeated)
 
@@ -335,10 +334,11 @@ def remove_repeated_bytes(
         "buckets": blocks.block_count(total, bucket_bytes * 2),
         "filter_bytes": min(8, -(-(max(total, 2).bit_length() + 10) // 8)),
     }
-    replies = blocks.exchange(parts, None, partial(_request, ask_at=0, **options), key_bytes=options["filter_bytes"])
-    replies = blocks.exchange(parts, replies, partial(_request, ask_at=1, **options))
-    merge = partial(_merge_bucket, width=width)
-    replies = blocks.exchange(parts, replies, partial(_request, ask_at=2, **options), merge)
+    ask = lambda step: partial(_request, ask_at=step, **options)
+    replies = blocks.exchange(parts, None, ask(_SAMPLES), key_bytes=options["filter_bytes"])
+    replies = blocks.exchange(parts, replies, ask(_KINDS))
+    replies = blocks.exchange(parts, replies, ask(_FILTER), key_bytes=options["filter_bytes"])
+    replies = blocks.exchange(parts, replies, ask(_RUNS), partial(_merge_bucket, width=width))
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
     schema = ", ".join(
         [*kinds, "n_bytes long, n_removed long, removed_spans array<struct<first_byte:long,end_byte:long>>, kept_bytes binary"]
