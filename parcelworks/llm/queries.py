@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelworks.llm import bpe, chat_format, decontamination, minhash_dedup, quality, substring_dedup, suffix_dedup, toxicity
+from parcelworks.llm import bpe, chat_format, decontamination, embedding_dedup, minhash_dedup, quality, substring_dedup, suffix_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found = embedding_dedup.near_vectors(vectors, threshold=0.95)
+    return found.select("vec_id", "n_links", "component_id", "kept")
+
+
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = minhash_dedup.near_duplicates(docs, shingle=2, percent=80)
@@ -118,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_format": op2_chat_format,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_toxicity": op4_toxicity,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op6_minhash_dedup": op6_minhash_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_quality": op8_quality,
