@@ -60,6 +60,7 @@ class Encoder:
         if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in spec["added_tokens"]):
             raise ValueError("added tokens with stripping, whole-word or normalising rules are not supported")
         kinds = sorted(self.added, key=len, reverse=True)
+        self.longest_added = max(map(len, kinds), default=0)
         self.cut_added = regex.compile("(" + "|".join(map(regex.escape, kinds)) + ")") if kinds else None
         self.cut_words = regex.compile(WORD_PATTERN)
         vocab: dict[str, int] = model["vocab"]
@@ -258,6 +259,43 @@ class Encoder:
             self.ids = np.concatenate([self.ids, ids])
         return out
 
+    def split_from(self, text: str, at: int = 0) -> Iterator[str]:
+        """The words of a text from a place between two words on, found as they are asked for."""
+        while at < len(text):
+            hit = self.cut_added.search(text, at) if self.cut_added is not None else None
+            for m in self.cut_words.finditer(text, at, hit.start() if hit else len(text)):
+                yield m.group()
+            if not hit:
+                return
+            yield hit.group()
+            at = hit.end()
+
+    def split(self, text: str) -> list[str]:
+        """All words of a text; the string of an added token is one word."""
+        if self.cut_added is None or not self.cut_added.search(text):
+            return self.cut_words.findall(text)
+        return list(self.split_from(text))
+
+    def count_words(self, words: list[str]) -> np.ndarray:
+        """How many tokens each word has."""
+        number = self.numbers(words)
+        count = self.count[number]
+        if not self.added.keys().isdisjoint(words):
+            count[[i for i, w in enumerate(words) if w in self.added]] = 1
+        return count
+
+    def count_few(self, words: list[str]) -> list[int]:
+        """As ``count_words``, for so few words that unknown ones are merged one by one."""
+        out = []
+        for w in words:
+            if w in self.added:
+                out.append(1)
+            elif w in self.index:
+                out.append(int(self.count[self.index[w]]))
+            else:
+                out.append(len(self.merge(w.encode("utf-8", "surrogatepass"))))
+        return out
+
     def encode_batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, end to end, and the bounds of each text."""
         words: list[str] = []

@@ -7,13 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelworks.llm import bpe, chat_format, decontamination, embedding_dedup, minhash_dedup, quality, substring_dedup, suffix_dedup, toxicity
+from parcelworks.llm import bpe, chat_format, decontamination, embedding_dedup, minhash_dedup, quality, substring_dedup, suffix_dedup, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four edits per document, made from its own text: replace, insert, delete, append."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("__text"))
+    edits = """transform(
+        array(
+            struct(length(__text) div 4, length(__text) div 4 + 12, left(__text, 12)),
+            struct(length(__text) * 3 div 4, length(__text) * 3 div 4, substring(__text, 1 + length(__text) div 2, 20)),
+            struct(length(__text) div 2, length(__text) div 2 + 9, ''),
+            struct(length(__text) + 100, length(__text) + 100, concat(' ', left(__text, 8)))),
+        (e, i) -> named_struct('step', cast(i as bigint), 'start', cast(e.col1 as bigint), 'end', cast(e.col2 as bigint), 'new', e.col3))"""
+    counted = token_counts.count_packed(docs.withColumn("__edits", F.expr(edits)), _tokenizer(), ["doc_id"])
+    return counted.select("doc_id", "n_edits", "n_words", "n_tokens", "n_tokens_before", "n_recounted")
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     planted = spark.sql(
@@ -121,6 +135,7 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
     "op2_chat_format": op2_chat_format,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_toxicity": op4_toxicity,
