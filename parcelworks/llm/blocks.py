@@ -125,6 +125,30 @@ def answers(
     return out
 
 
+def payload_table(requests: pa.Table, sizes: list[int], values: np.ndarray) -> pa.Table:
+    """Reply rows that carry a row of bytes per key; rows of zeros alone are left out."""
+    cuts = np.cumsum([0, *sizes]).tolist()
+    rows: dict[str, list] = {name: [] for name in _REPLY.names}
+    heads = zip(*(requests[c].to_pylist() for c in ("level", "part", "bucket")), strict=True)
+    for head, a, b in zip(heads, cuts[:-1], cuts[1:], strict=True):
+        if values[a:b].any():
+            for name, value in zip(_REPLY.names, (*head, values[a:b].tobytes(), None, None), strict=True):
+                rows[name].append(value)
+    return pa.table(rows, schema=_REPLY)
+
+
+def payload(level: int, bucket: np.ndarray, replies: pa.Table, width: int) -> np.ndarray:
+    """What ``payload_table`` sent for the keys of ``ask``, in the order of the keys."""
+    order, kinds, cuts = _layout(bucket, None)
+    mine = replies.filter(pc.equal(replies["level"], level))
+    got = dict(zip(mine["bucket"].to_pylist(), mine["shared"].to_pylist(), strict=True))
+    out = np.zeros((len(bucket), width), dtype=np.uint8)
+    for kind, a, b in zip(kinds.tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        if found := got.get(kind):
+            out[order[a:b]] = np.frombuffer(found, np.uint8).reshape(-1, width)
+    return out
+
+
 def as_bytes(*columns: tuple[np.ndarray, int]) -> np.ndarray:
     """A matrix of the low bytes of each column."""
     return np.hstack([np.ascontiguousarray(c).view(np.uint8).reshape(-1, 8)[:, :size] for c, size in columns])

@@ -1,6 +1,6 @@
 """Near duplicates by an inverted join on signature coordinates.
 
-Every distinct shingle set has a signature of 32 minima. Sets are posted under each
+Every distinct shingle set has a signature of 64 minima. Sets are posted under each
 (coordinate, value) that another set has too, rarest first. Two sets that agree in at
 least ``matches`` coordinates must meet in one of the first ``shared - matches + 1``
 postings of each, so the frequent rest is skipped. Links are confirmed on full sets.
@@ -18,18 +18,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from parcelworks.llm import kernel
+from parcelworks.llm import blocks, kernel
 from parcelworks.llm.components import components
 from parcelworks.session import stage_table
 
 U = np.uint64
-COORDINATES = 32
-_BITS = 1024
-_SUMMARY = "doc bigint, mark bigint, n_shingles bigint, print binary, signature array<int>"
+COORDINATES = 64
+_BITS = 2048
+#: Four bits of each coordinate, as four numbers.
+_SKETCH = ["sketch0", "sketch1", "sketch2", "sketch3"]
+_SUMMARY = "doc bigint, mark bigint, n_shingles bigint, print binary, signature binary, " + ", ".join(
+    f"{name} bigint" for name in _SKETCH
+)
 _SET_BYTES = 6
 #: Names of at most so many texts (24 bytes each) are broadcast.
 _BROADCAST_ROWS = 500_000
@@ -66,6 +70,14 @@ def _signatures(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
+def _sketches(signs: np.ndarray) -> np.ndarray:
+    """Four bits of every coordinate; one number per sixteen coordinates, [number, row]."""
+    four = kernel.mix(signs.view(np.uint32).astype(U)) & U(15)
+    places = np.arange(16, dtype=U) * U(4)
+    words = np.bitwise_or.reduce(four.reshape(len(signs), 4, 16) << places, axis=2)
+    return np.ascontiguousarray(words.T).view(np.int64)
+
+
 def _bitmaps(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     rows = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     flags = np.zeros((len(bounds) - 1, _BITS), dtype=bool)
@@ -99,16 +111,17 @@ def summaries(docs: DataFrame, size: int, doc_id: str, text: str, batch_bytes: i
                 raw = memoryview(np.ascontiguousarray(hashes)).cast("B")
                 cuts = (bounds * 8).tolist()
                 prints = [hashlib.blake2b(raw[cuts[i] : cuts[i + 1]], digest_size=16).digest() for i in full.tolist()]
-                tight = np.append(bounds[full], bounds[-1])
+                signs = _signatures(hashes, np.append(bounds[full], bounds[-1]))
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(a, b - a).take(pa.array(full)),
                         marks.slice(a, b - a).take(pa.array(full)),
                         pa.array(np.diff(bounds)[full]),
                         pa.array(prints, pa.binary()),
-                        _lists(_signatures(hashes, tight), pa.int32()),
+                        pa.array([x.tobytes() for x in signs], pa.binary()),
+                        *[pa.array(c) for c in _sketches(signs)],
                     ],
-                    names=["doc", "mark", "n_shingles", "print", "signature"],
+                    names=["doc", "mark", "n_shingles", "print", "signature", *_SKETCH],
                 )
 
     return _source(docs, doc_id, text).mapInArrow(run, _SUMMARY)
@@ -164,12 +177,14 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a bigint, b bigint")
 
 
-#: Bit k is set where both signatures have the same value at coordinate k.
-_AGREE = f"aggregate(sequence(0, {COORDINATES - 1}), 0L, (m, k) -> if({{a}}[k] = {{b}}[k], m | shiftleft(1L, k), m))"
-
-
-def _agreement(a: str, b: str) -> Column:
-    return F.bit_count(F.expr(_AGREE.format(a=a, b=b)))
+def _agreement(a: str, b: str) -> str:
+    """In how many coordinates two sketches agree: no less than the signatures do."""
+    parts = []
+    for name in _SKETCH:
+        x = f"({a}.{name} ^ {b}.{name})"
+        any_bit = f"({x} | shiftrightunsigned({x}, 1) | shiftrightunsigned({x}, 2) | shiftrightunsigned({x}, 3))"
+        parts.append(f"bit_count({any_bit} & {0x1111111111111111}L)")
+    return f"({COORDINATES} - {' - '.join(parts)})"
 
 
 def _unseen(a: str, b: str) -> str:
@@ -184,60 +199,142 @@ def _possible(percent: int) -> str:
     return f"{ratio} and (100 + {percent}) * {overlap} >= {percent} * (x.n_shingles + y.n_shingles)"
 
 
-def _postings(nodes: DataFrame, percent: int, matches: int) -> DataFrame:
-    """(node, coordinate, value) of the rarest shared coordinates that can decide.
-
-    A posting counts as shared if some other holder's size may fit: for two holders that is
-    known, for more the range of their sizes must reach. ``mask`` has a bit for each
-    coordinate under which the node stays posted.
+def _token_keys(signatures: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every (coordinate, value), [row, coordinate], and the values."""
+    value = np.frombuffer(b"".join(signatures.to_pylist()), np.int32).reshape(-1, COORDINATES)
+    where = np.arange(COORDINATES, dtype=U) << U(32)
+    return kernel.mix((value.view(np.uint32).astype(U) | where) * U(0x9E3779B97F4A7C15) + U(1)), value
+
+
+def _size_class(size: np.ndarray) -> np.ndarray:
+    """Sizes in steps of six hundredths, so that a byte holds them."""
+    return np.minimum(np.floor(np.log(size) / _CLASS), 255).astype(np.int64)
+
+
+_CLASS = np.log(1.06)
+
+
+class _Tokens:
+    """Postings of one block of sets; one entry per (coordinate, value)."""
+
+    def __init__(self, table: pa.Table, buckets: int) -> None:
+        table = table.take(pc.sort_indices(table, sort_keys=[("node", "ascending")]))
+        self.part, self.node = table[blocks.PART][0].as_py(), table["node"].to_numpy()
+        self.size = table["n_shingles"].to_numpy()
+        key, self.value = _token_keys(table["signature"])
+        row = np.repeat(np.arange(len(table)), COORDINATES)
+        self.keys = blocks.Keys(key.ravel(), row, self.node)
+        self.bucket = ((self.keys.key >> U(32)) % U(buckets)).astype(np.int64)
+        self.row, self.kind = row, _size_class(self.size)
+
+    def ask(self, key_bytes: int) -> pa.Table:
+        order = np.argsort(self.keys.index, kind="stable")
+        begin = np.searchsorted(self.keys.index[order], np.arange(len(self.keys.key)))
+        kind = self.kind[self.row[order]]
+        count = np.minimum(np.diff(np.append(begin, len(order))), 255)
+        more = np.minimum.reduceat(kind, begin) | np.maximum.reduceat(kind, begin) << 8 | count << 16
+        return blocks.ask(0, self.part, self.bucket, blocks.as_bytes((self.keys.key, key_bytes), (more.astype(U), 3)))
+
+    def choose(self, replies: pa.Table, percent: int, matches: int) -> tuple[np.ndarray, np.ndarray]:
+        """(row, coordinate) of the postings that can decide, the rarest of each set."""
+        held, low, high = blocks.payload(0, self.bucket, replies, 3)[self.keys.index].astype(np.int64).T
+        kind = self.kind[self.row]
+        # Of two holders the other one is known.
+        pair = held == _weight(np.array([2]))[0]
+        low, high = np.where(pair & (kind == low), high, low), np.where(pair & (kind == high), low, high)
+        low, high = np.minimum(low, high), np.maximum(low, high)
+        size = self.size[self.row]
+        least, most = np.exp(low * _CLASS) * 0.999, np.where(high == 255, np.inf, np.exp((high + 1) * _CLASS) * 1.001)
+        usable = np.flatnonzero((held > 0) & (100 * most >= percent * size) & (100 * size >= percent * least))
+        order = usable[np.lexsort((self.keys.key[self.keys.index[usable]], held[usable], self.row[usable]))]
+        row = self.row[order]
+        bounds = np.searchsorted(row, np.arange(len(self.node) + 1))
+        place = np.arange(len(order)) - bounds[row]
+        order = order[place <= np.diff(bounds)[row] - matches]
+        return self.row[order], order % COORDINATES
+
+
+def _weight(held: np.ndarray) -> np.ndarray:
+    """How often a posting is held, in a byte: 0 for one holder alone."""
+    return np.where(held > 1, np.minimum(255, np.rint(8 * np.log2(held))), 0).astype(np.uint8)
+
+
+def _settle_tokens(requests: pa.Table, key_bytes: int) -> pa.Table:
+    """How often each posting is held over all blocks, and the range of its holders' sizes."""
+    raw = requests["keys"].to_pylist()
+    sizes = [len(k) // (key_bytes + 3) for k in raw]
+    matrix = np.frombuffer(b"".join(raw), np.uint8).reshape(-1, key_bytes + 3)
+    wide = np.zeros((len(matrix), 8), dtype=np.uint8)
+    wide[:, :key_bytes] = matrix[:, :key_bytes]
+    key = wide.view(U).ravel()
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    low, high, count = matrix[order][:, key_bytes:].T.astype(np.int64)
+    group = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(order))))
+    out = np.empty((len(order), 3), dtype=np.uint8)
+    out[order, 0] = _weight(np.add.reduceat(count, begin))[group]
+    out[order, 1] = np.minimum.reduceat(low, begin)[group]
+    out[order, 2] = np.maximum.reduceat(high, begin)[group]
+    return blocks.payload_table(requests, sizes, out)
+
+
+def _postings(nodes: DataFrame, percent: int, matches: int, block_rows: int) -> DataFrame:
+    """(node, token) of the rarest shared postings that can decide, all of a node in ``tokens``.
+
+    Blocks of sets ask how often each (coordinate, value) is held anywhere and how large
+    its holders are; one that no set of fitting size shares is not posted.
     """
-    tokens = nodes.select("node", "n_shingles", F.posexplode("signature").alias("coordinate", "value"))
-    held = (
-        tokens.groupBy("coordinate", "value")
-        .agg(F.count(F.lit(1)).alias("held"), F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high"))
-        .where("held > 1")
-    )
-    fits = f"""if(held = 2,
-        100 * least(n_shingles, low + high - n_shingles) >= {percent} * greatest(n_shingles, low + high - n_shingles),
-        100 * n_shingles >= {percent} * low and 100 * high >= {percent} * n_shingles)"""
-    shared = tokens.join(held, ["coordinate", "value"]).where(fits)
-    mine = Window.partitionBy("node")
-    return (
-        shared.withColumn("place", F.row_number().over(mine.orderBy("held", "coordinate")))
-        .withColumn("n", F.count(F.lit(1)).over(mine))
-        .where(F.col("place") <= F.col("n") - matches + 1)
-        .withColumn("mask", F.expr("bit_or(shiftleft(1L, coordinate))").over(mine))
-        .select("node", "coordinate", "value", "mask")
+    count = nodes.count()
+    parts = nodes.withColumn(blocks.PART, F.pmod("node", F.lit(blocks.block_count(count, block_rows))).cast("int"))
+    key_bytes = min(8, -(-(max(count * COORDINATES, 2).bit_length() + 12) // 8))
+    buckets = blocks.block_count(count, 4 * block_rows)
+
+    def ask(table: pa.Table, replies: pa.Table) -> pa.Table:
+        return _Tokens(table, buckets).ask(key_bytes)
+
+    def choose(table: pa.Table, replies: pa.Table) -> pa.Table:
+        if not len(table):
+            return pa.table({})
+        tokens = _Tokens(table, buckets)
+        row, coordinate = tokens.choose(replies, percent, matches)
+        token = coordinate.astype(np.int64) << 32 | tokens.value[row, coordinate].view(np.uint32).astype(np.int64)
+        return pa.table({"node": tokens.node[row], "token": token})
+
+    replies = blocks.exchange(parts, None, ask, lambda requests: _settle_tokens(requests, key_bytes))
+    return blocks.each_block(parts, replies, choose, "node bigint, token bigint")
+
+
+def _grouped(postings: DataFrame, known: DataFrame | None, turn: int) -> DataFrame:
+    """Postings of lists that hold several groups, with the leader: a member of the largest group."""
+    if known is None:
+        named = postings.withColumn("component", F.col("node")).withColumn("size", F.lit(1).cast("bigint"))
+    else:
+        sizes = known.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+        named = postings.join(known.join(sizes, "component"), "node", "left")
+        named = named.withColumns({"component": F.coalesce("component", "node"), "size": F.coalesce("size", F.lit(1))})
+    order = F.struct(-F.col("size"), "component", F.xxhash64("node", F.lit(turn)))
+    lists = (
+        named.groupBy("token")
+        .agg(
+            F.min_by(F.struct(F.col("node").alias("leader"), F.col("component").alias("main")), order).alias("first"),
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+        )
+        .where("low < high")
+        .select("token", "first.*")
     )
+    return named.drop("size").join(lists, "token")
 
 
-def _grouped(postings: DataFrame, known: DataFrame) -> DataFrame:
-    """Postings of lists that hold several groups, with each node's and the largest group."""
-    named = postings.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    sizes = named.groupBy("coordinate", "value", "component").agg(
-        F.count(F.lit(1)).alias("size"), F.min_by("node", F.xxhash64("node")).alias("leader")
-    )
-    main = (
-        sizes.groupBy("coordinate", "value")
-        .agg(F.max_by(F.struct("component", "leader"), F.struct("size", "component")).alias("main"), F.count(F.lit(1)).alias("groups"))
-        .where("groups > 1")
-        .select("coordinate", "value", "main.*")
-        .withColumnRenamed("component", "main")
-    )
-    return named.join(main, ["coordinate", "value"])
-
-
-def _nearest_leaders(grouped: DataFrame, nodes: DataFrame, tried: DataFrame | None) -> DataFrame:
+def _nearest_leaders(grouped: DataFrame, nodes: DataFrame, matches: int) -> DataFrame:
     """Each set outside the largest group of a list with the leader it meets most often, if they look alike."""
-    met = grouped.where("component != main").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"), "node")
-    most = met.groupBy("node", "a", "b").agg(F.count(F.lit(1)).alias("n"))
-    if tried is not None:
-        most = most.join(tried, ["a", "b"], "left_anti")
-    most = most.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("n", -F.col("a"), -F.col("b"))).alias("pair"))
-    left = nodes.select(F.col("node").alias("a"), F.col("signature").alias("sign_a"))
-    right = nodes.select(F.col("node").alias("b"), F.col("signature").alias("sign_b"))
-    alike = most.select("pair.*").distinct().join(left, "a").join(right, "b")
-    return alike.where(_agreement("sign_a", "sign_b") >= COORDINATES // 2).select("a", "b")
+    met = grouped.where("component != main").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("n"))
+    most = met.groupBy("node").agg(F.max_by("leader", F.struct("n", "leader")).alias("leader"))
+    left = nodes.select("node", *_SKETCH).alias("x")
+    right = nodes.select(F.col("node").alias("leader"), *_SKETCH).alias("y")
+    alike = most.join(left, "node").join(right, "leader").where(f"{_agreement('x', 'y')} >= {matches}")
+    return alike.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
 
 
 def _cross_pairs(rows: DataFrame, percent: int, matches: int) -> DataFrame:
@@ -246,29 +343,25 @@ def _cross_pairs(rows: DataFrame, percent: int, matches: int) -> DataFrame:
     In every list the members of its largest group are only compared with the others.
     """
     x, y = rows.where("component != main").alias("x"), rows.alias("y")
-    agree = _AGREE.format(a="x.signature", b="y.signature")
-    common = f"({agree} & x.mask & y.mask)"
     test = (
-        "x.coordinate = y.coordinate and x.value = y.value and x.component != y.component"
+        "x.token = y.token and x.component != y.component"
         " and (y.component = y.main or x.node < y.node)"
-        f" and bit_count({agree}) >= {matches}"
-        f" and ({common} & -{common}) = shiftleft(1L, x.coordinate)"
+        f" and {_agreement('x', 'y')} >= {matches}"
         f" and {_possible(percent)}"
+        " and array_min(array_intersect(x.tokens, y.tokens)) = x.token"
     )
-    return x.join(y, F.expr(test)).select(
-        F.least("x.node", "y.node").alias("a"),
-        F.greatest("x.node", "y.node").alias("b"),
-    )
+    return x.join(y, F.expr(test)).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
 
 
 def near_duplicates(
     docs: DataFrame,
     shingle: int = 5,
     percent: int = 80,
-    matches: int = 13,
+    matches: int = 34,
     doc_id: str = "doc_id",
     text: str = "text",
     batch_bytes: int = 4 << 20,
+    block_rows: int = 8192,
 ) -> DataFrame:
     """One row per document: ``n_shingles``, ``component_id``, ``kept``.
 
@@ -291,28 +384,24 @@ def near_duplicates(
     nodes = stage_table(
         every.groupBy(F.xxhash64("print").alias("node")).agg(
             F.min(F.struct("doc", "mark")).alias("least"),
-            *[F.any_value(c).alias(c) for c in ("n_shingles", "signature")],
+            *[F.any_value(c).alias(c) for c in ("n_shingles", "signature", *_SKETCH)],
         ),
         "nodes",
     )
-    postings = stage_table(_postings(nodes, percent, matches), "postings")
-    posted = stage_table(
-        nodes.join(postings.select("node").distinct(), "node", "left_semi").select("node", "least.*", "n_shingles", "signature"),
-        "posted",
-    )
+    postings = stage_table(_postings(nodes, percent, matches, block_rows), "postings")
+    lists = postings.groupBy("node").agg(F.collect_list("token").alias("tokens"))
+    posted = stage_table(nodes.join(lists, "node").select("node", "least.*", "n_shingles", "tokens", *_SKETCH), "posted")
     sets = stage_table(_full_sets(docs, posted.select("node", "doc", "mark"), shingle, doc_id, text, batch_bytes), "sets")
 
-    known = postings.select("node", F.col("node").alias("component")).limit(0)
-    tried = links = None
-    for _ in range(_STAR_ROUNDS):
-        pairs = stage_table(_nearest_leaders(_grouped(postings, known), posted, tried), "pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
+    known = links = None
+    for turn in range(_STAR_ROUNDS):
+        pairs = _nearest_leaders(_grouped(postings, known, turn), posted, matches)
         good = _confirm(pairs, sets, percent)
         links = stage_table(good if links is None else links.unionByName(good), "links")
-        known = components(links)
+        known = stage_table(components(links), "known")
 
-    judged = posted.select("node", "n_shingles", "signature").join(sets.select("node", "bits"), "node")
-    rows = _grouped(postings, known).drop("leader").join(judged, "node")
+    judged = posted.select("node", "n_shingles", "tokens", *_SKETCH).join(sets.select("node", "bits"), "node")
+    rows = _grouped(postings, known, 0).drop("leader").join(judged, "node")
     links = links.unionByName(_confirm(_cross_pairs(rows, percent, matches), sets, percent))
 
     grouped = nodes.select("node", F.col("least.doc").alias("doc")).join(components(links), "node", "left")

@@ -186,7 +186,7 @@ def _ask_suffixes(part: int, bucket: np.ndarray, rows: np.ndarray, owner: np.nda
     columns: dict[str, list] = {name: [] for name in blocks.REQUEST_SCHEMA.names}
     order = np.argsort(bucket, kind="stable")
     kinds, begin = np.unique(bucket[order], return_index=True)
-    for kind, mine in zip(kinds.tolist(), np.split(order, begin[1:]), strict=True):
+    for kind, mine in zip(kinds.tolist(), np.split(order, begin)[1:], strict=True):
         same, rest = _front_code(rows[mine])
         ids, which = np.unique(owner[mine], return_inverse=True)
         for name, value in (
