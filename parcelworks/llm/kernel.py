@@ -157,12 +157,12 @@ def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
     The choice depends on the neighbours alone, so equal stretches choose alike.
     """
     n = len(values) - width + 1
-    out = np.empty(max(0, n), dtype=np.int64)
+    out = np.empty(max(0, n), dtype=np.int32 if len(values) < 1 << 31 else np.int64)
     for lo in range(0, max(0, n), _STEP):
         hi = min(lo + _STEP, n)
         part = values[lo : hi + width - 1]
         least = _sliding_min((part & ~_LOW) | np.arange(len(part), dtype=U), width)
-        out[lo:hi] = (least & _LOW).astype(np.int64) + lo
+        out[lo:hi] = (least & _LOW).astype(out.dtype) + lo
     return out
 
 

@@ -206,27 +206,27 @@ def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
     return ((key >> U(32)) % U(buckets)).astype(np.int64)
 
 
+def _positions(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All positions of the given stretches."""
+    ends = np.cumsum(size)
+    return np.repeat(first - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+
+
 def _walk(texts: _Texts, width: int, sample: int, buckets: int, filter_bytes: int, replies: pa.Table, ask_at: int | None):
     """Ask at one of the steps, or return the starts of all repeated windows."""
     whole = kernel.whole_windows(texts.offs, width)
     least = kernel.sliding_argmin(kernel.window_hash(texts.sums, sample), width - sample + 1)
-    at = np.flatnonzero(whole)
-    anchor = least[at]
-    chosen = np.zeros(len(texts.data) + 1, dtype=bool)
-    chosen[anchor] = True
-    spots = np.flatnonzero(chosen)
-    found = blocks.Keys(kernel.span_hash(texts.sums, spots, spots + sample), texts.row(spots), texts.ids)
+    # Windows that sampled the same spot are neighbours: ``size`` of them from ``first`` on.
+    first = np.flatnonzero(np.append(True, (least[1:] != least[:-1]) | (whole[1:] != whole[:-1]))[: len(whole)])
+    size = np.diff(np.append(first, len(whole)))
+    first, size = first[whole[first]], size[whole[first]]
+    spot = least[first].astype(np.int64)
+    found = blocks.Keys(kernel.span_hash(texts.sums, spot, spot + sample), texts.row(spot), texts.ids)
     bucket = _bucket(found.key, buckets)
     if ask_at == _SAMPLES:
         return blocks.ask(_SAMPLES, texts.part, bucket, blocks.as_bytes((found.key, filter_bytes)))
     alive = (blocks.answers(_SAMPLES, bucket, replies, "shared") | found.several)[found.index]
-    chosen[spots[~alive]] = False
-    go = chosen[anchor]
-    at, anchor = at[go], anchor[go]
-    # Windows that sampled the same spot are neighbours: from ``first`` to ``last``.
-    begin = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1])[: len(at)])
-    size = np.diff(np.append(begin, len(at)))
-    first, spot = at[begin], anchor[begin]
+    first, size, spot = first[alive], size[alive], spot[alive]
     last = first + size - 1
     row = texts.row(spot)
     kind = blocks.Keys(kernel.span_hash(texts.sums, spot, spot + sample), row, texts.ids)
@@ -247,8 +247,9 @@ def _walk(texts: _Texts, width: int, sample: int, buckets: int, filter_bytes: in
     mixed = (blocks.answers(_KINDS, kind_bucket, replies, "mixed") | (tag == 0))[kind.index]
     smaller = blocks.answers(_AROUND, area_bucket, replies, "smaller", area.first)[area.index]
     late = smaller | (texts.ids[row] > area.first[area.index])
-    settled = at[np.repeat(late, size)]
-    at = at[np.repeat(mixed & ~late, size)]
+    settled = _positions(first[late], size[late])
+    go = mixed & ~late
+    at = _positions(first[go], size[go])
     row = texts.row(at)
     found = blocks.Keys(kernel.span_hash(texts.sums, at, at + width), row, texts.ids)
     bucket = _bucket(found.key, buckets)
@@ -264,7 +265,7 @@ def _walk(texts: _Texts, width: int, sample: int, buckets: int, filter_bytes: in
     smaller = np.zeros(len(found.key), dtype=bool)
     smaller[shared[order]] = blocks.answers(_RUNS, bucket, replies, "smaller")
     repeated = at[smaller[found.index] | (texts.ids[row] > found.first[found.index])]
-    return np.union1d(settled, repeated)
+    return np.concatenate([settled, repeated])
 
 
 def _request(docs: pa.Table, replies: pa.Table, doc_id: str, text: str, ask_at: int, **options) -> pa.Table:
@@ -277,19 +278,20 @@ def _result(docs: pa.Table, replies: pa.Table, doc_id: str, text: str, keep: lis
     texts = _Texts(docs, doc_id, text)
     removed = _walk(texts, replies=replies, ask_at=None, **options)
     gone = kernel.covered(removed, options["width"], len(texts.data))
-    edge = np.zeros(len(gone) + 1, dtype=bool)
-    edge[texts.offs] = True
-    begin = np.flatnonzero(gone & (~np.append(False, gone)[:-1] | edge[:-1]))
-    end = np.flatnonzero(gone & (~np.append(gone, False)[1:] | edge[1:])) + 1
+    turns = np.flatnonzero(gone[1:] != gone[:-1]) + 1
+    turns = np.unique(np.concatenate([turns, texts.offs[texts.offs < len(gone)]]))
+    ends = np.append(turns[1:], len(gone))[: len(turns)]
+    begin, end = turns[gone[turns]], ends[gone[turns]]
     cuts = np.searchsorted(begin, texts.offs)
     base = np.repeat(texts.offs[:-1], np.diff(cuts))
     span = pa.StructArray.from_arrays([pa.array(begin - base), pa.array(end - base)], ["first_byte", "end_byte"])
-    offs = np.concatenate([[0], np.cumsum(kernel.per_row(~gone, texts.offs))])
+    n_bytes, n_removed = np.diff(texts.offs), kernel.per_row(gone, texts.offs)
+    offs = np.concatenate([[0], np.cumsum(n_bytes - n_removed)])
     kept = kernel.text_rows(texts.data[~gone], offs).view(pa.large_binary()).cast(pa.binary())
     columns = {name: texts.table[name] for name in keep}
     columns |= {
-        "n_bytes": np.diff(texts.offs),
-        "n_removed": kernel.per_row(gone, texts.offs),
+        "n_bytes": n_bytes,
+        "n_removed": n_removed,
         "removed_spans": pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), span),
         "kept_bytes": kept,
     }
