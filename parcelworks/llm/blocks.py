@@ -11,12 +11,13 @@ no keys; the documents' exchange is written once and read by every step.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 U = np.uint64
@@ -34,6 +35,20 @@ _REPLY = pa.schema(
 )
 
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, most: int = 16 << 20) -> Iterator[None]:
+    """Within it, jobs hand rows to Python in batches of at most so many bytes."""
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
+
+
 def text_bytes(docs: DataFrame, text: str) -> int:
     return docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).cast("long")).first()[0]
 

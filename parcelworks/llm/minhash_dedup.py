@@ -370,7 +370,7 @@ def near_duplicates(
     documents are linked if 100 * intersection >= ``percent`` * union; ``component_id`` is
     the least id reachable by links, ``kept`` marks that document. Documents without words
     (null, empty) link with nothing. Every link has both sets compared in full (48 bits a
-    shingle). A pair at the threshold agrees in less than ``matches`` of 32 coordinates
+    shingle). A pair at the threshold agrees in less than ``matches`` of 64 coordinates
     with a chance of about 3e-7 (for 80 percent), and would be missed only then.
 
     Rows with a null id are not compared: null ``n_shingles`` and ``component_id``, kept.
@@ -380,6 +380,33 @@ def near_duplicates(
     """
     added = ["n_shingles", "component_id", "kept"]
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in added])
+    with blocks.small_batches(docs.sparkSession):
+        every, nodes, known = _components(docs, shingle, percent, matches, doc_id, text, batch_bytes, block_rows)
+    grouped = nodes.select("node", F.col("least.doc").alias("doc")).join(known, "node", "left")
+    grouped = grouped.select("node", "doc", F.coalesce("component", "node").alias("component"))
+    least = grouped.groupBy("component").agg(F.min("doc").alias("component_id"))
+    by_node = grouped.join(least, "component").select("node", "component_id")
+    result = (
+        every.select("doc", "mark", "n_shingles", F.xxhash64("print").alias("node"))
+        .distinct()
+        .join(by_node, "node")
+        .select(F.col("doc").alias("__doc"), F.col("mark").alias("__mark"), "n_shingles", "component_id")
+    )
+    own = F.col(f"`{doc_id}`").cast("bigint")
+    joined = docs.join(result, (own == F.col("__doc")) & (F.xxhash64(text) == F.col("__mark")), "left")
+    component = F.coalesce("component_id", own)
+    return joined.select(
+        *[F.col(f"`{c}`") for c in docs.columns],
+        F.when(own.isNotNull(), F.coalesce("n_shingles", F.lit(0).cast("bigint"))).alias("n_shingles"),
+        component.alias("component_id"),
+        F.coalesce(component == own, F.lit(True)).alias("kept"),
+    )
+
+
+def _components(
+    docs: DataFrame, shingle: int, percent: int, matches: int, doc_id: str, text: str, batch_bytes: int, block_rows: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All texts, the distinct sets among them, and the group of each set that has links."""
     every = stage_table(summaries(docs, shingle, doc_id, text, batch_bytes), "summaries")
     nodes = stage_table(
         every.groupBy(F.xxhash64("print").alias("node")).agg(
@@ -403,23 +430,4 @@ def near_duplicates(
     judged = posted.select("node", "n_shingles", "tokens", *_SKETCH).join(sets.select("node", "bits"), "node")
     rows = _grouped(postings, known, 0).drop("leader").join(judged, "node")
     links = links.unionByName(_confirm(_cross_pairs(rows, percent, matches), sets, percent))
-
-    grouped = nodes.select("node", F.col("least.doc").alias("doc")).join(components(links), "node", "left")
-    grouped = grouped.select("node", "doc", F.coalesce("component", "node").alias("component"))
-    least = grouped.groupBy("component").agg(F.min("doc").alias("component_id"))
-    by_node = grouped.join(least, "component").select("node", "component_id")
-    result = (
-        every.select("doc", "mark", "n_shingles", F.xxhash64("print").alias("node"))
-        .distinct()
-        .join(by_node, "node")
-        .select(F.col("doc").alias("__doc"), F.col("mark").alias("__mark"), "n_shingles", "component_id")
-    )
-    own = F.col(f"`{doc_id}`").cast("bigint")
-    joined = docs.join(result, (own == F.col("__doc")) & (F.xxhash64(text) == F.col("__mark")), "left")
-    component = F.coalesce("component_id", own)
-    return joined.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
-        F.when(own.isNotNull(), F.coalesce("n_shingles", F.lit(0).cast("bigint"))).alias("n_shingles"),
-        component.alias("component_id"),
-        F.coalesce(component == own, F.lit(True)).alias("kept"),
-    )
+    return every, nodes, components(links)
