@@ -103,7 +103,6 @@ def enrich_batches(
     house_brand: str,
     as_of: dt.date,
     contacts: bool = False,
-    hot_rows: int | None = None,
 ) -> DataFrame:
     """Sales lines with status tag, channel, warehouse, batch day, week and age.
 
@@ -123,11 +122,7 @@ def enrich_batches(
     )
     # Batch days depend on the sales lines alone, so they come before the status join.
     lines = group_stats(
-        lines,
-        "batch_id",
-        {"batch_date": F.max("order_date")},
-        spread=["suborder_no"],
-        hot_rows=hot_rows,
+        lines, "batch_id", {"batch_date": F.max("order_date")}, spread=["suborder_no"]
     )
     lines = with_channel(lines, house_brand)
     lines = small_map(lines, "client_location", warehouses, "new_wh_name")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from parcelworks.functions import dates, money, text
 from parcelworks.functions.sentinels import NO_MAPPING
-from parcelworks.operators.keyed import small_map
+from parcelworks.operators.keyed import group_stats, small_map
 
 ACTIVE = "active"
 COMPLETED = "status_completed"
@@ -190,8 +190,8 @@ def _rendered(columns: list[str], parse) -> dict[str, Column]:
 def clean_export_a(raw: DataFrame, as_of: dt.date) -> DataFrame:
     """Carrier A export: day-first dates, classes, one charge per shipment, no repeated rows.
 
-    A shipment with two different charges is an error of the export; both rows of
-    charges then remain and ``duplicate_keys`` on ``charges_a`` names the shipment.
+    A shipment with two different charges is an error of the export and stops the job;
+    ``duplicate_keys`` on ``charges_a`` names such shipments.
     """
     days = ["order_picked_up_date", "order_delivered_date", "rto_delivered_date"]
     lines = (
@@ -203,7 +203,12 @@ def clean_export_a(raw: DataFrame, as_of: dt.date) -> DataFrame:
         .withColumn("updated_at", dates.render(F.lit(as_of)))
     )
     # A whole-row duplicate keeps its shipment's charges, so one pass removes both kinds.
-    return map_status(lines.dropDuplicates(), "status", STATUS_A).select(*STORED_A)
+    lines = map_status(lines.dropDuplicates(), "status", STATUS_A)
+    charges = F.struct("cod_charges", "freight_total_amount")
+    checked = group_stats(lines, "awb_code", {"__low": F.min(charges), "__high": F.max(charges)})
+    message = F.concat(F.lit("two different charges for shipment "), F.col("awb_code"))
+    single = F.when(~F.col("__low").eqNullSafe(F.col("__high")), F.raise_error(message).cast("boolean"))
+    return checked.where(F.coalesce(single, F.lit(True))).select(*STORED_A)
 
 
 def charges_a(raw: DataFrame) -> DataFrame:

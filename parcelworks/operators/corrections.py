@@ -28,9 +28,7 @@ def _internal_name(column: Column) -> Column:
     return F.coalesce(F.create_map(*pairs)[column], column)
 
 
-def _collapsed(
-    corrections: DataFrame, columns: list[str], hot_rows: int | None
-) -> DataFrame:
+def _collapsed(corrections: DataFrame, columns: list[str]) -> DataFrame:
     """One row per suborder: last value per column, and what a forced closure needs."""
     cells = corrections.select(
         F.col("suborder_id").alias("__id"),
@@ -39,12 +37,7 @@ def _collapsed(
         "row_no",
     ).where(F.col("column_name").isin(*columns))
     closes = F.col("value").contains(FORCED_CLOSURE)
-    cells = group_stats(
-        cells,
-        "__id",
-        {"__closed_at": F.max(F.when(closes, F.col("row_no")))},
-        hot_rows=hot_rows,
-    )
+    cells = group_stats(cells, "__id", {"__closed_at": F.max(F.when(closes, F.col("row_no")))})
     earlier = F.when(F.col("row_no") < F.col("__closed_at"), F.col("row_no"))
     last = cells.groupBy("__id", "column_name").agg(
         F.max_by("value", "row_no").alias("value"),
@@ -69,7 +62,7 @@ def _collapsed(
 
 
 def apply_corrections(
-    fact: DataFrame, corrections: DataFrame, hot_rows: int | None = None
+    fact: DataFrame, corrections: DataFrame = None
 ) -> DataFrame:
     """Overwrite single cells; per line and column the last correction in ``row_no`` wins.
 
@@ -77,10 +70,10 @@ def apply_corrections(
     days after pickup, else manifest, else order day of the row. Corrections of
     columns the fact does not have are named by ``unknown_columns``.
     """
-    fixes = _collapsed(corrections, [*fact.columns, "forced_closure_date"], hot_rows)
+    fixes = _collapsed(corrections, [*fact.columns, "forced_closure_date"])
     extra = ["__fix", "__closed_at", "__closure_fix_at"]
     extra += [kind + b for b in _BASES for kind in ("__before_", "__before_at_")]
-    joined = lookup(fact, fixes, "suborder_no", "__id", extra, hot_rows=hot_rows)
+    joined = lookup(fact, fixes, "suborder_no", "__id", extra)
     types = {f.name: f.dataType.typeName() for f in fact.schema.fields}
 
     def fixed(name: str) -> Column:

@@ -1,10 +1,9 @@
 """Joins and per-key statistics that survive hot and missing keys.
 
-Keys are text. A key that is null, or that holds very many rows, must not pull
-its rows into one task, so such rows get a join key of their own that spreads
-them over all tasks and matches nothing; hot keys take their values from a
-broadcast side table instead. That table holds at most ``HOT_KEYS`` rows: keys
-beyond it simply stay on the shuffled path, so results never depend on it.
+Keys are text. Rows with a null key get a join key of their own, made from their
+content, so they spread over all tasks and match nothing. Statistics of a key are
+combined before the shuffle and joined back; adaptive execution splits a hot key of
+such a join, so no group ever has to fit a task.
 """
 
 from __future__ import annotations
@@ -12,9 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-HOT_KEYS = 10_000
-
 _UNMATCHED = "\u0000"
 
 
@@ -44,41 +40,25 @@ def left_join(
     return keyed.join(right, keyed["__jk"] == right[right_key], "left").drop("__jk")
 
 
-def _hottest(counts: DataFrame, hot_rows: int) -> DataFrame:
-    return counts.where(F.col("__n") >= hot_rows).orderBy(F.desc("__n"), "__gk").limit(HOT_KEYS)
-
-
 def group_stats(
-    df: DataFrame,
-    key: str,
-    aggs: dict[str, Column],
-    spread: list[str] | None = None,
-    hot_rows: int | None = None,
+    df: DataFrame, key: str, aggs: dict[str, Column], spread: list[str] | None = None
 ) -> DataFrame:
     """Every row plus aggregates of its key; null keys get null aggregates.
 
-    The meaning of ``agg over (partition by key)``, but no group ever sits in one
-    task: the aggregates are combined on the map side, then joined back.
+    The meaning of ``agg over (partition by key)``. ``df`` is read twice, so stage it first
+    if it is the result of joins.
     """
     names = list(aggs)
     stats = (
         df.where(F.col(key).isNotNull())
         .groupBy(F.col(key).alias("__gk"))
-        .agg(*[expr.alias("__s_" + n) for n, expr in aggs.items()], F.count(F.lit(1)).alias("__n"))
+        .agg(*[expr.alias("__s_" + n) for n, expr in aggs.items()])
     )
-    hot = _hottest(stats, hot_rows or HOT_ROWS).select(
-        F.col("__gk").alias("__hk"), *[F.col("__s_" + n).alias("__h_" + n) for n in names]
+    joined = left_join(df, stats, key, "__gk", spread)
+    return joined.select(
+        *[F.col(f"`{c}`") for c in df.columns if c not in names],
+        *[F.col("__s_" + n).alias(n) for n in names],
     )
-    marked = df.join(F.broadcast(hot), F.col(key) == F.col("__hk"), "left")
-    cold = F.col("__hk").isNull() & F.col(key).isNotNull()
-    marked = marked.withColumn("__jk", F.when(cold, F.col(key)).otherwise(_scattered(df, spread)))
-    # The test on the count keeps both uses of ``stats`` identical, so its shuffle is reused.
-    joined = marked.join(stats.where("__n > 0"), F.col("__jk") == F.col("__gk"), "left")
-    picked = [
-        F.when(F.col("__hk").isNotNull(), F.col("__h_" + n)).otherwise(F.col("__s_" + n)).alias(n)
-        for n in names
-    ]
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns if c not in names], *picked)
 
 
 def lookup(
@@ -88,34 +68,23 @@ def lookup(
     right_key: str,
     values: list[str],
     spread: list[str] | None = None,
-    hot_rows: int | None = None,
 ) -> DataFrame:
-    """Add ``values`` from a right side whose key is unique; missing keys give null."""
-    counts = (
-        left.where(F.col(left_key).isNotNull())
-        .groupBy(F.col(left_key).alias("__gk"))
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
-    hot = F.broadcast(_hottest(counts, hot_rows or HOT_ROWS).select(F.col("__gk").alias("__hk")))
+    """Add ``values`` of the right side; a key it holds twice fans out, a missing one gives null."""
     wanted = right.select(
         F.col(right_key).alias("__rk"), *[F.col(v).alias("__s_" + v) for v in values]
     )
-    hot_values = (
-        wanted.join(hot, F.col("__rk") == F.col("__hk"))
-        .select(F.col("__rk").alias("__vk"), *[F.col("__s_" + v).alias("__h_" + v) for v in values])
-        .limit(HOT_KEYS)
-    )
-    marked = left.join(hot, F.col(left_key) == F.col("__hk"), "left").join(
-        F.broadcast(hot_values), F.col("__hk") == F.col("__vk"), "left"
+    joined = left_join(left, wanted, left_key, "__rk", spread)
+    return joined.select(
+        *[F.col(f"`{c}`") for c in left.columns if c not in values],
+        *[F.col("__s_" + v).alias(v) for v in values],
     )
-    cold = F.col("__hk").isNull() & F.col(left_key).isNotNull()
-    marked = marked.withColumn("__jk", F.when(cold, F.col(left_key)).otherwise(_scattered(left, spread)))
-    joined = marked.join(wanted, F.col("__jk") == F.col("__rk"), "left")
-    picked = [
-        F.when(F.col("__hk").isNotNull(), F.col("__h_" + v)).otherwise(F.col("__s_" + v)).alias(v)
-        for v in values
-    ]
-    return joined.select(*[F.col(f"`{c}`") for c in left.columns if c not in values], *picked)
+
+
+def anti_join(left: DataFrame, right: DataFrame, key: str, spread: list[str] | None = None) -> DataFrame:
+    """Rows of ``left`` whose key ``right`` lacks; rows with a null key stay, and are spread."""
+    keyed = left.withColumn("__jk", F.coalesce(F.col(key), _scattered(left, spread)))
+    gone = right.select(F.col(key).alias("__gk"))
+    return keyed.join(gone, F.col("__jk") == F.col("__gk"), "left_anti").drop("__jk")
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:

@@ -79,10 +79,11 @@ def clean_sales(raw: DataFrame, *keep: str) -> DataFrame:
 
     ``keep`` names further columns of the export to carry along.
     """
-    number = text.strip_backticks(F.col("order_number"))
+    number = text.blank_to_null(text.strip_backticks(F.col("order_number")))
     return raw.withColumns(
         {
             "order_number": number,
+            "suborder_no": text.blank_to_null(F.col("suborder_no")),
             "tracking_number": text.blank_to_null(text.strip_backticks(F.col("tracking_number"))),
             "combine_id": text.pair_key(number, F.col("sku")),
             "combine_id_mp": text.pair_key(number, F.col("marketplace_sku")),

@@ -248,26 +248,24 @@ def request_mode(key: Column) -> Column:
 
 
 def request_batches(
-    keys: DataFrame, key: str = "awb_no", size: int = REQUEST_SIZE, bucket_digits: int = 3
+    keys: DataFrame, key: str = "awb_no", size: int = REQUEST_SIZE, bucket_keys: int = 100_000
 ) -> DataFrame:
     """Distinct keys in full groups of ``size`` per mode, joined to one request text.
 
-    Keys are numbered without a global sort: by their place in a hash bucket plus
-    the keys in the buckets before it. ``bucket_digits`` hex digits give
-    16^digits buckets per mode; raise it with the number of keys.
+    Keys go by their hash, and are numbered without a global sort: by their place in a
+    bucket of hashes plus the keys in the buckets before it. There are so many buckets
+    that each holds about ``bucket_keys`` keys; the numbers do not depend on them.
     """
-    bucketed = (
-        keys.where(F.col(key).isNotNull())
-        .select(F.col(key).alias("__key"))
-        .distinct()
-        .withColumns(
-            {
-                "mode": request_mode(F.col("__key")),
-                "__bucket": F.left(F.md5(F.col("__key").cast("binary")), F.lit(bucket_digits)),
-            }
-        )
+    given = keys.where(F.col(key).isNotNull()).select(F.col(key).alias("__key"))
+    count = given.agg(F.approx_count_distinct("__key")).first()[0]
+    digits = 1
+    while 16**digits * bucket_keys < count:
+        digits += 1
+    bucketed = given.distinct().withColumns(
+        {"mode": request_mode(F.col("__key")), "__hash": F.md5(F.col("__key").cast("binary"))}
     )
-    # One row per mode and bucket: a few thousand, whatever the number of keys.
+    bucketed = bucketed.withColumn("__bucket", F.left("__hash", F.lit(digits)))
+    # One row per mode and bucket.
     sizes = bucketed.groupBy("mode", "__bucket").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy("mode").orderBy("__bucket").rowsBetween(
         Window.unboundedPreceding, -1
@@ -275,10 +273,12 @@ def request_batches(
     offsets = sizes.select(
         "mode", "__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before")
     )
-    place = F.row_number().over(Window.partitionBy("mode", "__bucket").orderBy("__key"))
+    place = F.row_number().over(
+        Window.partitionBy("mode", "__bucket").orderBy("__hash", "__key")
+    )
     numbered = (
         bucketed.withColumn("__place", place)
-        .join(F.broadcast(offsets), ["mode", "__bucket"])
+        .join(offsets, ["mode", "__bucket"])
         .withColumn("__row", F.col("__before") + F.col("__place") - 1)
         .withColumn("chunk", F.floor(F.col("__row") / F.lit(size)).cast("bigint"))
     )

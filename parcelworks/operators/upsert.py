@@ -1,8 +1,8 @@
 """Upserts of a refreshed table into its history.
 
-Old and new rows are tagged and brought together once on their key; which of
-them stay is decided from per-key aggregates. Rows without a key match nothing
-and always stay.
+Only keys of the refresh decide which rows stay, so a small refresh is sent to the
+history, as its measured size allows, and the history is not shuffled. Rows without a
+key match nothing and always stay.
 """
 
 from __future__ import annotations
@@ -11,45 +11,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelworks.operators.carriers import COMPLETED
-from parcelworks.operators.keyed import group_stats
+from parcelworks.operators.keyed import anti_join
 
 
-def _tagged(old: DataFrame, new: DataFrame) -> DataFrame:
-    return old.withColumn("__new", F.lit(0)).unionByName(
-        new.withColumn("__new", F.lit(1)), allowMissingColumns=True
-    )
+def _keys(df: DataFrame, key: str) -> DataFrame:
+    return df.where(F.col(key).isNotNull()).select(key).distinct()
 
 
-def upsert_replace(
-    old: DataFrame, new: DataFrame, key: str, hot_rows: int | None = None
-) -> DataFrame:
+def upsert_replace(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """All new rows, and the old rows whose key is not among them."""
-    known = group_stats(
-        _tagged(old, new), key, {"__renewed": F.max("__new")}, hot_rows=hot_rows
-    )
-    stays = (F.col("__new") == 1) | (F.coalesce("__renewed", F.lit(0)) == 0)
-    return known.where(stays).drop("__new", "__renewed")
+    return anti_join(old, _keys(new, key), key).unionByName(new, allowMissingColumns=True)
 
 
-def upsert_freeze_completed(
-    old: DataFrame, new: DataFrame, key: str, hot_rows: int | None = None
-) -> DataFrame:
+def upsert_freeze_completed(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Renew keys that still have an open old row, add unknown keys, keep finished ones.
 
     Renewing a key drops every old row of it, finished rows included.
     """
     is_open = F.coalesce(F.col("mapped_status") != COMPLETED, F.lit(True))
-    known = group_stats(
-        _tagged(old, new),
-        key,
-        {
-            "__renewed": F.max("__new"),
-            "__known": F.max(1 - F.col("__new")),
-            "__open": F.max(F.when((F.col("__new") == 0) & is_open, 1).otherwise(0)),
-        },
-        hot_rows=hot_rows,
-    )
-    update = F.coalesce((F.col("__renewed") == 1) & (F.col("__open") == 1), F.lit(False))
-    unknown = F.coalesce("__known", F.lit(0)) == 0
-    stays = F.when(F.col("__new") == 0, ~update).otherwise(update | unknown)
-    return known.where(stays).drop("__new", "__renewed", "__known", "__open")
+    asked = old.select(key, is_open.alias("__open")).join(_keys(new, key), key, "left_semi")
+    known = asked.groupBy(key).agg(F.max("__open").alias("__open"))
+    stays = anti_join(old, known.where("__open"), key)
+    added = anti_join(new, known.where("not __open"), key)
+    return stays.unionByName(added, allowMissingColumns=True)

@@ -246,10 +246,14 @@ def _entry(
       client_location as warehouse from {source} where {where}"""
 
 
+CTES["ledger_charges"] = f"""
+  select * replace (case when tracking_number is null then {_r("total_charges")}
+      else {_r("total_charges / count(*) over (partition by tracking_number)")} end
+    as total_charges) from allocated"""
 CTES["ledger_fact"] = f"""
   select * replace (case when final_status = 'RTO' and order_status = 'Cancelled'
     and pickup_date is null then 'Cancelled' else final_status end as final_status)
-  from {_parsed("allocated")}"""
+  from {_parsed("ledger_charges")}"""
 _SHIP = "coalesce(pickup_date, manifested_at)"
 _NO_DAY = f"case when {_SHIP} is null then 'date_missing' end"
 _DONE = "final_status = 'RTO' and mapped_status = 'status_completed'"
@@ -309,7 +313,7 @@ _CHANNELS = _values({k: v.format(own=star.HOUSE_BRAND.lower()) for k, v in CHANN
 CTES["statuses"] = """
   select suborder_no, final_status from classified
   where (awb_no is not null and not contains(order_number, '_'))
-    or contains(order_number, '_RS')"""
+    or contains(order_number, '_RS') or contains(order_number, '_RP')"""
 CTES["batched"] = f"""
   select r.* replace (replace(order_number, '`', '') as order_number,
       replace(tracking_number, '`', '') as tracking_number,
@@ -352,19 +356,25 @@ CTES["batch_lines"] = f"""
     payment_mode, message, sku, suborder_quantity, selling_price, shipping_zip_code, shipping_city
   from batched"""
 
+CTES["renewed"] = """
+  select awb_no, max(case when mapped_status <> 'status_completed' then 1 else 0 end) as still_open
+  from history where awb_no is not null group by awb_no"""
+CTES["asked_keys"] = "select distinct awb_no from refresh where awb_no is not null"
 CTES["upserted"] = """
-  select h.* from history h where awb_no is null or not exists (
-    select 1 from history o join refresh n on o.awb_no = n.awb_no
-    where o.awb_no = h.awb_no and o.mapped_status <> 'status_completed')
+  select * from history where awb_no is null
   union all
-  select n.* from refresh n where awb_no is null
-    or not exists (select 1 from history o where o.awb_no = n.awb_no)
-    or exists (select 1 from history o where o.awb_no = n.awb_no
-               and o.mapped_status <> 'status_completed')"""
+  select h.* from history h join renewed r on h.awb_no = r.awb_no
+    left join asked_keys a on h.awb_no = a.awb_no where a.awb_no is null or r.still_open = 0
+  union all
+  select * from refresh where awb_no is null
+  union all
+  select n.* from refresh n left join renewed r on n.awb_no = r.awb_no
+    where n.awb_no is not null and (r.awb_no is null or r.still_open = 1)"""
 
 CTES["recent_keys"] = f"""
   select distinct nullif(trim(replace(tracking_number, '`', '')), '') as awb_no from sales
-  where order_date >= date '{star.REFRESH_SINCE}'
+  where order_date >= date '{star.RECENT_AS_OF}' - interval 30 day
+    and order_date < date '{star.RECENT_AS_OF}'
     and nullif(trim(replace(tracking_number, '`', '')), '') is not null"""
 
 _MODE = """case when starts_with(awb_no, '35') then 'surface'
@@ -455,6 +465,10 @@ CTES["unspoken"] = """
 _SEGMENT_VIEW = """suborder_no, order_number, sku, final_status, total_charges,
   total_charges_reason, pd_cost, pd_cost_reason, date_missing, o2s, s2d, s2nd, o2c"""
 _KEPT = "not coalesce(contains(lower(suborder_no), 'cancel'), false)"
+CTES["month_flow"] = f"""
+  select * from timed_retail where {_KEPT}
+    and order_date >= date '{star.FLOW_YEAR}-{star.FLOW_MONTH:02d}-01'
+    and order_date < date '{star.FLOW_YEAR}-{star.FLOW_MONTH + 1:02d}-01'"""
 
 
 def _segment_flow(kind: str) -> str:
@@ -664,7 +678,9 @@ QUERIES: dict[str, str] = {
       where suborder_id not in (select suborder_no from sales) group by 1""",
     "upsert_replace": """
       select * from history where awb_no is null
-        or awb_no not in (select awb_no from refresh where awb_no is not null)
+      union all
+      select h.* from history h anti join asked_keys a on h.awb_no = a.awb_no
+        where h.awb_no is not null
       union all select * from refresh""",
     "upsert_freeze_completed": "select * from upserted",
     "published_refresh": "select * from upserted",
@@ -691,7 +707,7 @@ QUERIES: dict[str, str] = {
       select mode, chunk, count(*) as n_keys, string_agg(awb_no, ',' order by n) as awbs
       from (select *, (n - 1) // 50 as chunk from (
         select {_MODE} as mode, awb_no, row_number() over (partition by {_MODE}
-          order by substring(md5(awb_no), 1, 3), awb_no) as n
+          order by md5(awb_no), awb_no) as n
         from (select distinct awb_no from ships))) group by 1, 2""",
     "request_mode_counts": f"""
       select {_MODE} as mode, count(distinct awb_no) as n_keys from ships group by 1""",
@@ -759,7 +775,18 @@ QUERIES: dict[str, str] = {
         s2d_reason, s2nd, s2nd_reason, o2c, o2c_reason, o2d, o2d_reason, pd_taxable_value,
         pd_taxable_value_reason, pd_tax, pd_tax_reason, shipping_value, shipping_value_reason,
         shipping_tax, shipping_tax_reason, batch_id, shipping_state, shipping_zip_code, message
-      from timed_retail where {_KEPT}""",
+      from month_flow
+      union all by name
+      select suborder_no, cast(order_date as date) as order_date, 'Active' as final_status
+      from sales where {_is_segment("retail")} and order_date >= date '{star.STORED_DAYS[0]}'
+        and order_date < date '{star.STORED_DAYS[1]}' + interval 1 day
+        and suborder_no not in (select suborder_no from month_flow)""",
+    "outbox_counts": f"""
+      select 'pending' as msg_status, count(*) as n_messages from (
+        select distinct order_date, order_number from classified
+        where order_date between date '{_LATE}' - interval 3 day and date '{_LATE}' - interval 2 day
+          and manifested_at is null and final_status = 'Not Shipped' and order_number is not null)
+      having count(*) > 0""",
     "segment_flow_reship": _segment_flow("reship"),
     "segment_flow_replace": _segment_flow("replace"),
     "segment_flow_missing": _segment_flow("missing"),

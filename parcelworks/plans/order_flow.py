@@ -23,6 +23,7 @@ from parcelworks.operators.sla import parse_fact_dates, sla_metrics
 from parcelworks.operators.upsert import upsert_replace
 from parcelworks.schemas import CONTACT_COLUMNS, CORPORATE_COLUMNS, FLOW_COLUMNS
 from parcelworks.session import stage_table
+from parcelworks.sources.sinks import replace_table
 
 
 @dataclass(frozen=True)
@@ -54,14 +55,20 @@ def _with_reasons(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def order_flow_month(
-    inputs: Inputs, month: int, as_of: dt.date, contacts: bool = False
+    inputs: Inputs,
+    year: int,
+    month: int,
+    as_of: dt.date,
+    stored: DataFrame | None = None,
+    contacts: bool = False,
 ) -> DataFrame:
     """The retail flow of one month's sales: status, cost, fee and tax split, durations.
 
-    The three joins are written once to the shared folder; the totals per order
+    ``stored`` is the consolidated flow so far: its rows stay, but for those of the month's
+    suborders. The three joins are written once to the shared folder; the totals per order
     and per parcel and the final lines are then read from there.
     """
-    sales = prepare_sales(inputs.sales, "retail")
+    sales = prepare_sales(of_order_month(inputs.sales, year, month, as_of), "retail")
     fact = classify_orders(sales, inputs.shipments)
     fact = with_zero_prices(attach_order_fee(attach_cost(fact, inputs.costs), inputs.fees))
     fact = link_reshipments(fact, inputs.reship_table, order=["row_no"])
@@ -71,7 +78,15 @@ def order_flow_month(
     fact = apply_corrections(fact, of_month(inputs.corrections, month))
     fact = sla_metrics(parse_fact_dates(fact), as_of)
     wanted = FLOW_COLUMNS + (CONTACT_COLUMNS if contacts else [])
-    return _with_reasons(drop_cancelled_keys(fact), wanted)
+    flow = _with_reasons(drop_cancelled_keys(fact), wanted)
+    return flow if stored is None else upsert_replace(stored, flow, "suborder_no")
+
+
+def store_months(flow: DataFrame, path: str) -> None:
+    """Replace the month partitions that the flow has rows of; other months stay as they are."""
+    months = flow.withColumn("order_month", F.date_format("order_date", "yyyy-MM"))
+    # The flow may be made from the table it is to replace.
+    replace_table(stage_table(months, "order-months"), path, partition_by="order_month")
 
 
 def _segment_lines(inputs: Inputs, kind: str, as_of: dt.date) -> DataFrame:

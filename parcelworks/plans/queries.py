@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import io
 import uuid
 import zipfile
@@ -326,7 +327,7 @@ def streamed_refresh(s: Star) -> DataFrame:
 
 
 def _recent(s: Star) -> DataFrame:
-    lines = s.role("sales").where(F.col("order_date") >= F.lit(star.REFRESH_SINCE).cast("date"))
+    lines = s.role("sales").where(dates.last_30_days(F.col("order_date"), star.RECENT_AS_OF))
     return lines.select(strip_backticks(F.col("tracking_number")).alias("tracking_number"))
 
 
@@ -434,7 +435,7 @@ _LEDGER_INPUT = [
     "suborder_no", "mp_name", "order_number", "sku", "suborder_quantity", "selling_price",
     "order_date", "order_status", "shipping_status", "status", "mapped_status", "final_status",
     "manifested_at", "cancelled_at", "pickup_date", "rto_delivered_date", "forced_closure_date",
-    "total_charges", "shipping_state", "client_location",
+    "total_charges", "tracking_number", "shipping_state", "client_location",
 ]
 
 
@@ -450,9 +451,8 @@ def _ledger_base(s: Star) -> DataFrame:
 def _retail_fact(s: Star, base: DataFrame) -> DataFrame:
     """All lines with the columns the ledger reads; allocation and costs included."""
     fact = sales.with_zero_prices(classify.status_fallback(base))
-    return costs.allocate_shipping_tax(
-        costs.attach_order_fee(costs.attach_cost(fact, _costs(s)), s.role("fees"))
-    )
+    fact = costs.attach_order_fee(costs.attach_cost(fact, _costs(s)), s.role("fees"))
+    return costs.split_courier_charge(costs.allocate_shipping_tax(stage_table(fact, "ledger-fact")))
 
 
 def _segment_fact(base: DataFrame, segment: str, cogs: str) -> DataFrame:
@@ -528,6 +528,7 @@ def _batch_lines(s: Star) -> DataFrame:
     statuses = batches.union_statuses(
         fact.where(F.col("awb_no").isNotNull() & ~F.col("order_number").contains("_")),
         fact.where(F.col("order_number").contains("_RS")),
+        fact.where(F.col("order_number").contains("_RP")),
     )
     return batches.enrich_batches(
         s.role("sales"), statuses, star.WAREHOUSES, star.HOUSE_BRAND, star.AS_OF
@@ -559,6 +560,15 @@ def delayed_outbox(s: Star) -> DataFrame:
     return outbox.delayed_order_outbox(_classified(s), s.role("products"), star.OUTBOX_AS_OF)
 
 
+@query
+def outbox_counts(s: Star) -> DataFrame:
+    """Messages of two days in one appended outbox, by status."""
+    path = _folder(s, "outbox")
+    for day in (star.OUTBOX_AS_OF, star.OUTBOX_AS_OF + dt.timedelta(days=1)):
+        sinks.append_rows(outbox.delayed_order_outbox(_classified(s), s.role("products"), day), path)
+    return outbox.outbox_counts(s.spark.read.parquet(path))
+
+
 # Flows -----------------------------------------------------------------------
 
 
@@ -575,7 +585,19 @@ def _inputs(s: Star) -> order_flow.Inputs:
 
 @query
 def order_flow_month(s: Star) -> DataFrame:
-    return order_flow.order_flow_month(_inputs(s), star.FLOW_MONTH, star.AS_OF)
+    """One month over a stored flow with rows of that month and of the next one."""
+    path = _folder(s, "flow")
+    lines = s.role("sales").where(sales.in_segment("retail"))
+    first, last = star.STORED_DAYS
+    days = dates.in_window(F.col("order_date"), first, last)
+    stored = lines.where(days).select(
+        "suborder_no", F.to_date("order_date").alias("order_date"), F.lit("Active").alias("final_status")
+    )
+    order_flow.store_months(stored, path)
+    stored = s.spark.read.parquet(path).drop("order_month")
+    flow = order_flow.order_flow_month(_inputs(s), star.FLOW_YEAR, star.FLOW_MONTH, star.AS_OF, stored)
+    order_flow.store_months(flow, path)
+    return s.spark.read.schema(flow.schema).parquet(path).drop("order_month")
 
 
 _SEGMENT_VIEW = [

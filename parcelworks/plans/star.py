@@ -15,7 +15,8 @@ from pyspark.sql.types import StructType
 AS_OF = dt.date(2001, 12, 31)
 EVENTS_AS_OF = dt.date(2024, 2, 1)
 HOUSE_BRAND = "Brand#2"
-FLOW_MONTH = 5
+FLOW_YEAR, FLOW_MONTH = 1997, 5
+STORED_DAYS = (dt.date(1997, 5, 10), dt.date(1997, 6, 9))
 REFRESH_SINCE = "1998-07-01"
 RECENT_AS_OF = dt.date(2001, 7, 31)
 OUTBOX_AS_OF = dt.date(1997, 5, 28)
@@ -387,12 +388,6 @@ DOCUMENTS: dict[str, str] = {
           'ReturnedDate', case when {_HAS_RETURNED} then cast({RETURNED} as string) end))))) as body
       from {{orders}}""",
 }
-# Large tables, and columns that tell their rows apart.
-LARGE_TABLES = {
-    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"],
-    "orders": ["o_orderkey"],
-    "events": ["event_id"],
-}
 BASE_TABLES = ["lineitem", "orders", "customer", "nation", "region", "part", "events"]
 
 
@@ -412,19 +407,9 @@ class Star:
             path = f"{self.folder}/{name}.parquet"
             if path not in _SCHEMAS:
                 _SCHEMAS[path] = self.spark.read.parquet(path).schema
-            df = self.spark.read.schema(_SCHEMAS[path]).parquet(path)
-            self._tables[name] = self._spread(df, name) if name in LARGE_TABLES else df
+            self._tables[name] = self.spark.read.schema(_SCHEMAS[path]).parquet(path)
         return self._tables[name]
 
-    def _spread(self, df: DataFrame, name: str) -> DataFrame:
-        """Rows over all cores when the files have fewer splits than there are cores.
-
-        A table of many files already has more splits and is left as it is.
-        """
-        cores = self.spark.sparkContext.defaultParallelism
-        few = df.rdd.getNumPartitions() < cores
-        return df.repartition(cores, *LARGE_TABLES[name]) if few else df
-
     def role(self, name: str) -> DataFrame:
         text = {**ROLES, **DOCUMENTS}[name]
         used = {

@@ -56,9 +56,8 @@ def _expected(line, total):
     return (base - tax, tax, r(s - t), t)
 
 
-@pytest.mark.parametrize("hot_rows", [1, None])
-def test_allocation(spark, hot_rows):
-    got = costs.allocate_shipping_tax(spark.createDataFrame(LINES, LINE_SCHEMA), hot_rows)
+def test_allocation(spark):
+    got = costs.allocate_shipping_tax(spark.createDataFrame(LINES, LINE_SCHEMA))
     got = {r["suborder_no"]: r for r in got.collect()}
     totals = {"A": 100.0, "B": 333.33, "Z": 0.0, "N": 160.0}
     for line in LINES:
@@ -74,15 +73,14 @@ def test_allocation(spark, hot_rows):
     assert abs(spread - 118.0) <= 0.03
 
 
-@pytest.mark.parametrize("hot_rows", [1, None])
-def test_courier_split(spark, hot_rows):
+def test_courier_split(spark):
     df = spark.createDataFrame(
         [("1", "T1", 100.0, None), ("2", "T3", 100.0, None), ("3", "T3", 100.0, None),
          ("4", "T3", 100.0, None), ("5", "T4", None, None), ("6", "T5", None, "no_cost_avl"),
          ("7", None, None, None)],
         "suborder_no string, tracking_number string, total_charges double, total_charges_reason string",
     )
-    got = rows(costs.split_courier_charge(df, hot_rows), "suborder_no", "total_charges", "total_charges_reason")
+    got = rows(costs.split_courier_charge(df), "suborder_no", "total_charges", "total_charges_reason")
     assert got == [
         ("1", 100.0, None), ("2", 33.33, None), ("3", 33.33, None), ("4", 33.33, None),
         ("5", None, None), ("6", None, "no_cost_avl"), ("7", None, None),
@@ -114,8 +112,7 @@ def test_cost_table_and_fan_out(spark):
 UPSERT = "k string, mapped_status string, v int"
 
 
-@pytest.mark.parametrize("hot_rows", [1, None])
-def test_upserts(spark, hot_rows):
+def test_upserts(spark):
     old = spark.createDataFrame(
         [("open", "active", 1), ("done", "status_completed", 1), ("both", "active", 1),
          ("both", "status_completed", 2), ("quiet", "active", 1), (None, "active", 1),
@@ -127,13 +124,13 @@ def test_upserts(spark, hot_rows):
          ("fresh", "active", 9), (None, "active", 9), ("odd", "active", 9), ("blank", "active", 9)],
         UPSERT,
     )
-    frozen = rows(upsert.upsert_freeze_completed(old, new, "k", hot_rows), "k", "v")
+    frozen = rows(upsert.upsert_freeze_completed(old, new, "k"), "k", "v")
     assert frozen == sorted(
         [("open", 9), ("done", 1), ("both", 9), ("quiet", 1), (None, 1), (None, 9), ("fresh", 8),
          ("fresh", 9), ("odd", 9), ("blank", 9)],
         key=repr,
     )
-    replaced = rows(upsert.upsert_replace(old, new, "k", hot_rows), "k", "v")
+    replaced = rows(upsert.upsert_replace(old, new, "k"), "k", "v")
     assert replaced == sorted([("quiet", 1), (None, 1), *rows(new, "k", "v")], key=repr)
 
 
@@ -181,8 +178,7 @@ def _corrections(spark, entries):
     )
 
 
-@pytest.mark.parametrize("hot_rows", [1, None])
-def test_corrections(spark, hot_rows):
+def test_corrections(spark):
     fact = spark.createDataFrame(
         [(k, "O", D(2024, 5, 1), m, p, 10.0, "Active", 5.0, None)
          for k, m, p in [("a", D(2024, 5, 2), "03-05-2024"), ("b", D(2024, 5, 2), None),
@@ -210,7 +206,7 @@ def test_corrections(spark, hot_rows):
         ],
     )
     month = corrections.of_month(fixes, 5)
-    got = corrections.apply_corrections(fact, month, hot_rows)
+    got = corrections.apply_corrections(fact, month)
     assert rows(got, "suborder_no", "final_status", "forced_closure_date", "selling_price",
                 "total_charges", "total_charges_reason", "pickup_date") == [
         ("a", "forced_closure_x", "23-05-2024", 10.0, 5.0, None, "03-05-2024"),
@@ -320,11 +316,11 @@ def test_worklist(spark):
     assert counts == dict(n_window=4, n_common=4, n_common_active=1, n_common_completed=2, n_new=2, n_overlap=1, n_final=3)
 
 
-@pytest.mark.parametrize("digits", [1, 2])
-def test_request_batches(spark, digits):
+@pytest.mark.parametrize("keys_held", [1, 100_000])
+def test_request_batches(spark, keys_held):
     keys = [f"{p}{i}" for p in ("35", "34", "9") for i in range(130 if p != "34" else 50)]
     df = spark.createDataFrame([(k,) for k in keys + keys[:20] + [None]], "awb_no string")
-    got = tracking.request_batches(df, size=50, bucket_digits=digits).collect()
+    got = tracking.request_batches(df, size=50, bucket_keys=keys_held).collect()
     sizes = sorted((r["mode"], r["chunk"], r["n_keys"]) for r in got)
     full = [(m, c, n) for m in ("surface", "unknown") for c, n in ((0, 50), (1, 50), (2, 30))]
     assert sizes == sorted([("express", 0, 50), *full])
@@ -412,8 +408,7 @@ def test_refunds(spark):
 # Batches and messages --------------------------------------------------------
 
 
-@pytest.mark.parametrize("hot_rows", [1, None])
-def test_batches(spark, hot_rows):
+def test_batches(spark):
     blank = {n: None for n in schemas.SALES_HEADERS.values()}
     lines = [
         ("1", "7", D(2024, 1, 1)), ("2", "7", D(2024, 12, 31)), ("3", "MAN", D(2023, 1, 1)), ("4", None, D(2025, 1, 5)),
@@ -425,7 +420,7 @@ def test_batches(spark, hot_rows):
         schema,
     )
     statuses = spark.createDataFrame([("3", "Cancelled")], "status_key string, final_status string")
-    got = batches.enrich_batches(raw, statuses, {"A": "Alpha"}, "OWN", D(2025, 1, 10), hot_rows=hot_rows)
+    got = batches.enrich_batches(raw, statuses, {"A": "Alpha"}, "OWN", D(2025, 1, 10))
     assert rows(got, "suborder_no", "batch_id", "batch_id_reason", "batch_date", "week", "tagging", "days_diff") == [
         ("1", 7, None, D(2024, 12, 31), 53, "Shipped", 375),
         ("2", 7, None, D(2024, 12, 31), 53, "Shipped", 10),

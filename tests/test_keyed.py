@@ -18,10 +18,9 @@ def skewed(spark):
     )
 
 
-@pytest.mark.parametrize("hot_rows", [1, 100, None])
-def test_group_stats_equals_window(skewed, hot_rows):
+def test_group_stats_equals_window(skewed):
     got = keyed.group_stats(
-        skewed, "key", {"total": F.sum("price"), "top": F.max("n")}, ["n"], hot_rows=hot_rows
+        skewed, "key", {"total": F.sum("price"), "top": F.max("n")}, ["n"]
     )
     w = Window.partitionBy("key")
     want = skewed.withColumns(
@@ -33,25 +32,29 @@ def test_group_stats_equals_window(skewed, hot_rows):
     assert rows(got, *want.columns) == rows(want)
 
 
-@pytest.mark.parametrize("hot_rows", [1, 100, None])
-def test_lookup_keeps_every_row(spark, skewed, hot_rows):
+def test_lookup_keeps_every_row(spark, skewed):
     right = spark.createDataFrame([("hot", 1), ("k1", 2), ("zz", 3)], "rk string, v int")
-    got = keyed.lookup(skewed, right, "key", "rk", ["v"], ["n"], hot_rows=hot_rows)
+    got = keyed.lookup(skewed, right, "key", "rk", ["v"], ["n"])
     want = skewed.join(right, skewed["key"] == right["rk"], "left").drop("rk")
     assert rows(got, *want.columns) == rows(want)
     # A hot key that the right side lacks.
-    got = keyed.lookup(skewed, right.where("v > 1"), "key", "rk", ["v"], hot_rows=hot_rows)
+    got = keyed.lookup(skewed, right.where("v > 1"), "key", "rk", ["v"])
     assert got.where("key = 'hot'").where("v is null").count() == 300
 
 
-def test_hot_keys_beyond_the_broadcast_stay_exact(skewed, monkeypatch):
-    monkeypatch.setattr(keyed, "HOT_KEYS", 2)
-    got = keyed.group_stats(skewed, "key", {"n_rows": F.count("*")}, ["n"], hot_rows=1)
-    w = Window.partitionBy("key")
-    want = skewed.withColumn("n_rows", F.when(F.col("key").isNotNull(), F.count("*").over(w)))
+def test_repeated_right_keys_fan_out(spark, skewed):
+    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3)], "rk string, v int")
+    got = keyed.lookup(skewed, right, "key", "rk", ["v"], ["n"])
+    want = skewed.join(right, skewed["key"] == right["rk"], "left").drop("rk")
     assert rows(got, *want.columns) == rows(want)
 
 
+def test_anti_join_keeps_null_keys(spark, skewed):
+    gone = spark.createDataFrame([("hot",), (None,)], "key string")
+    got = keyed.anti_join(skewed, gone, "key")
+    assert rows(got) == rows(skewed.where("key is null or key <> 'hot'"))
+
+
 def test_left_join_fans_out_and_keeps_null_keys(spark):
     left = spark.createDataFrame([("a", 1), (None, 2), (None, 3), ("c", 4)], "k string, n int")
     right = spark.createDataFrame([("a", "x"), ("a", "y"), (None, "z")], "rk string, v string")
@@ -60,14 +63,14 @@ def test_left_join_fans_out_and_keeps_null_keys(spark):
 
 
 def test_rows_without_key_are_spread(skewed):
-    """No partition of the join holds the bulk of the null-key or hot-key rows."""
+    """No partition of the join holds the bulk of the null-key rows."""
     spark = skewed.sparkSession
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        got = keyed.group_stats(skewed, "key", {"n_rows": F.count("*")}, ["n"], hot_rows=100)
+        got = keyed.group_stats(skewed, "key", {"n_rows": F.count("*")}, ["n"])
         parts = (
-            got.where("key is null or key = 'hot'")
+            got.where("key is null")
             .groupBy(F.spark_partition_id().alias("p"))
             .count()
             .collect()

@@ -1,21 +1,17 @@
-"""Queries against their reference SQL at the smallest scale.
-
-Runs the headline queries; set ALL_QUERIES=1 to run every one.
-"""
+"""All queries of the order business against their reference SQL at the smallest scale."""
 
 import math
-import os
 from pathlib import Path
 
 import pytest
 
 import __spark_entry__ as entry_points
-from bench import HEADLINE
+from parcelworks.plans.oracle import ORACLE
+from parcelworks.plans.queries import QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 FOLDER = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="no test tables here")
-NAMES = list(entry_points.queries()) if os.environ.get("ALL_QUERIES") else HEADLINE
 
 
 @pytest.fixture(scope="module")
@@ -36,7 +32,9 @@ def _sorted(rows, columns):
 
 
 def test_every_query_has_reference_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLE) <= set(entry_points.oracle_sql())
 
 
 def test_entry(spark):
@@ -45,10 +43,10 @@ def test_entry(spark):
     assert got.count() > 3
 
 
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, database, name):
-    df = entry_points.queries()[name](spark, str(FOLDER))
-    cursor = database.execute(entry_points.oracle_sql()[name])
+    df = QUERIES[name](spark, str(FOLDER))
+    cursor = database.execute(ORACLE[name])
     columns = [c[0] for c in cursor.description]
     want = _sorted(cursor.fetchall(), columns)
     assert sorted(df.columns) == sorted(columns)
