@@ -795,6 +795,11 @@ QUERIES: dict[str, str] = {
       where {_KEPT}""",
     "csv_roundtrip": f"select {_SALES_CHECK} from sales",
     "zipped_csv": f"select {_SALES_CHECK} from sales",
+    "text_table": """
+      select suborder_no, mp_name, nullif(trim(sku), '') as sku,
+        cast(suborder_quantity as varchar) as suborder_quantity, client_location from sales""",
+    "run_log": f"""
+      select distinct mp_name as script, '{star.AS_OF} 00:00:00' as updated_at from sales""",
     "month_partitions": """
       select suborder_no, order_date, sku, strftime(order_date, '%Y-%m') as order_month
       from cleaned where order_date >= date '1998-04-01' and order_date < date '1999-01-01'""",

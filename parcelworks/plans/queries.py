@@ -364,7 +364,10 @@ def scan_rollup(s: Star) -> DataFrame:
 
 @query
 def scan_history_json(s: Star) -> DataFrame:
-    rolled = tracking.read_scan_documents(s.role("scan_documents"))
+    """Answers landed as JSON lines and read from there."""
+    landed = _folder(s, "answers")
+    s.role("scan_documents").write.json(landed)
+    rolled = tracking.read_scan_documents(readers.read_documents(s.spark, landed))
     return carriers.clean_tracking_d(rolled, star.AS_OF)
 
 
@@ -688,6 +691,25 @@ def zipped_csv(s: Star) -> DataFrame:
     return _checked(readers.typed_sales(readers.unpack_csv(archives, schemas.SALES_HEADERS)))
 
 
+@query
+def text_table(s: Star) -> DataFrame:
+    """The sales lines as a sheet in which every cell is text."""
+    path = _folder(s, "sheet")
+    sinks.write_csv(_sales_export(s), path)
+    return readers.read_text_table(s.spark, path, schemas.SALES_HEADERS).select(
+        "suborder_no", "mp_name", "sku", "suborder_quantity", "client_location"
+    )
+
+
+@query
+def run_log(s: Star) -> DataFrame:
+    """One log row for each channel that has lines."""
+    path = _folder(s, "log")
+    for row in s.role("sales").select("mp_name").distinct().collect():
+        sinks.append_run_log(s.spark, path, row["mp_name"], dt.datetime.combine(star.AS_OF, dt.time()))
+    return s.spark.read.parquet(path)
+
+
 @query
 def month_partitions(s: Star) -> DataFrame:
     path = _folder(s, "months")

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import csv
-import io
 import zipfile
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.csv as pa_csv
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,8 +14,6 @@ from pyspark.sql import types as T
 from parcelworks.functions.text import blank_to_null
 from parcelworks.schemas import SALES_HEADERS, SALES_TIMES, text_schema
 
-_BATCH = 20_000
-
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with a header and a given schema; quoted cells may span lines.
@@ -71,22 +68,27 @@ def read_sales_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _first_member(columns: list[str]):
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The first member of each archive, read as a stream of batches of text columns."""
+    schema = pa.schema([(c, pa.string()) for c in columns])
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        convert = pa_csv.ConvertOptions(
+            include_columns=columns, include_missing_columns=True, column_types=schema, strings_can_be_null=False
+        )
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+            for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
+                with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as archive:
                     names = archive.namelist()
                     if not names:
                         raise ValueError(f"archive without members: {path}")
                     with archive.open(names[0]) as member:
-                        reader = csv.DictReader(io.TextIOWrapper(member, "utf-8-sig", newline=""))
-                        chunk = []
-                        for line in reader:
-                            chunk.append([line.get(c) for c in columns])
-                            if len(chunk) == _BATCH:
-                                yield pd.DataFrame(chunk, columns=columns, dtype="object")
-                                chunk = []
-                        yield pd.DataFrame(chunk, columns=columns, dtype="object")
+                        lines = pa_csv.open_csv(
+                            pa.PythonFile(member, "r"),
+                            parse_options=pa_csv.ParseOptions(newlines_in_values=True),
+                            convert_options=convert,
+                        )
+                        for part in lines:
+                            yield pa.RecordBatch.from_arrays(part.columns, schema=schema)
 
     return rows
 
@@ -94,10 +96,11 @@ def _first_member(columns: list[str]):
 def unpack_csv(archives: DataFrame, headers: dict[str, str] | list[str]) -> DataFrame:
     """The first member of each archive (``path``, ``content``) as text columns.
 
-    An archive without members is an error. Each is unpacked in one task, line by line.
+    An archive without members is an error. Each is unpacked in one task, as a stream of
+    Arrow batches; its compressed bytes are one cell.
     """
     files = archives.select("path", "content")
-    return text_cells(files.mapInPandas(_first_member(list(headers)), text_schema(headers)))
+    return text_cells(files.mapInArrow(_first_member(list(headers)), text_schema(headers)))
 
 
 def read_zipped_csv(spark: SparkSession, path: str, headers: dict[str, str]) -> DataFrame:

@@ -58,7 +58,10 @@ def append_run_log(spark: SparkSession, path: str, script: str, at: dt.datetime)
 def _versions(spark: SparkSession, root: str) -> DataFrame | None:
     try:
         return spark.read.schema(_VERSIONS).parquet(f"{root}/_published")
-    except AnalysisException:
+    except AnalysisException as problem:
+        # Only a log that isn't there means that nothing was published.
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
