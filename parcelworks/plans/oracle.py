@@ -471,16 +471,16 @@ CTES["month_flow"] = f"""
     and order_date < date '{star.FLOW_YEAR}-{star.FLOW_MONTH + 1:02d}-01'"""
 
 
-def _segment_flow(kind: str) -> str:
-    mark = _SEGMENTS[kind]
+def _segment_flow(kind: str, mark: str, more: tuple[str, ...] = ()) -> str:
+    extra, nulls = "".join(f", {c}" for c in more), ", null" * len(more)
     return f"""
       with fresh as ({_segment(kind)}), stored as (
         select case when order_date < date '1996-01-01' then 'old-' else '' end || suborder_no
           as suborder_no, order_number, sku from cleaned where contains(order_number, '{mark}'))
-      select {_SEGMENT_VIEW} from fresh where {_KEPT}
+      select {_SEGMENT_VIEW}{extra} from fresh where {_KEPT}
       union all
       select suborder_no, order_number, sku, 'Active', null, null, null, null, null, null, null,
-        null, null from stored
+        null, null{nulls} from stored
       where {_KEPT} and suborder_no not in (select suborder_no from fresh)"""
 
 
@@ -787,12 +787,18 @@ QUERIES: dict[str, str] = {
         where order_date between date '{_LATE}' - interval 3 day and date '{_LATE}' - interval 2 day
           and manifested_at is null and final_status = 'Not Shipped' and order_number is not null)
       having count(*) > 0""",
-    "segment_flow_reship": _segment_flow("reship"),
-    "segment_flow_replace": _segment_flow("replace"),
-    "segment_flow_missing": _segment_flow("missing"),
-    "segment_flow_corporate": f"""
-      select {_SEGMENT_VIEW}, selling_price, o2d, o2ns from ({_segment("corporate")})
-      where {_KEPT}""",
+    "segment_flow_reship": _segment_flow("reship", _SEGMENTS["reship"]),
+    "segment_flow_replace": _segment_flow("replace", _SEGMENTS["replace"]),
+    "segment_flow_missing": _segment_flow("missing", _SEGMENTS["missing"]),
+    "segment_flow_corporate": _segment_flow("corporate", "_Corp", ("selling_price", "o2d", "o2ns")),
+    "batch_refresh": """
+      select suborder_no, tagging, batch_id, batch_id_reason, batch_date, week, days_diff
+      from batch_lines
+      union all by name
+      select suborder_no, 'Stored' as tagging from (
+        select case when length(sku) % 2 = 0 then 'old-' else '' end || suborder_no as suborder_no
+        from sales where order_date < date '1996-01-01') h
+      where suborder_no not in (select suborder_no from batch_lines)""",
     "csv_roundtrip": f"select {_SALES_CHECK} from sales",
     "zipped_csv": f"select {_SALES_CHECK} from sales",
     "text_table": """

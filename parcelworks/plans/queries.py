@@ -555,6 +555,21 @@ def batch_pending(s: Star) -> DataFrame:
     )
 
 
+@query
+def batch_refresh(s: Star) -> DataFrame:
+    """Batch lines merged into a published table that holds some of them and some older ones."""
+    root = _folder(s, "batches")
+    old = s.role("sales").where(F.col("order_date") < F.lit("1996-01-01").cast("date"))
+    gone = F.concat(F.lit("old-"), F.col("suborder_no"))
+    key = F.when(F.length("sku") % 2 == 0, gone).otherwise(F.col("suborder_no"))
+    sinks.publish(old.select(key.alias("suborder_no"), F.lit("Stored").alias("tagging")), root)
+    lines = _batch_lines(s).select(
+        "suborder_no", "tagging", "batch_id", "batch_id_reason", "batch_date", "week", "days_diff"
+    )
+    sinks.publish(upsert.upsert_replace(sinks.read_published(s.spark, root), lines, "suborder_no"), root)
+    return sinks.read_published(s.spark, root)
+
+
 # Late orders -----------------------------------------------------------------
 
 
@@ -644,7 +659,8 @@ def segment_flow_missing(s: Star) -> DataFrame:
 
 @query
 def segment_flow_corporate(s: Star) -> DataFrame:
-    flow = order_flow.order_flow_segment(_inputs(s), "corporate", star.AS_OF)
+    stored = _stored_segment(s, "_Corp")
+    flow = order_flow.order_flow_segment(_inputs(s), "corporate", star.AS_OF, stored)
     return flow.select(*_SEGMENT_VIEW, "selling_price", "o2d", "o2ns")
 
 
