@@ -131,9 +131,10 @@ def test_an_edit_recounts_its_surroundings_only():
     assert counted.tree.n_tokens == tool.count_words(tool.split(counted.text)).sum()
 
 
-pytestmark = pytest.mark.skipif(not SMALL.exists(), reason="no test tables here")
+needs_tables = pytest.mark.skipif(not SMALL.exists(), reason="no test tables here")
 
 
+@needs_tables
 def test_pipeline_like_plain_stages(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
@@ -164,6 +165,7 @@ def test_pipeline_like_plain_stages(spark):
     assert coded.where("not round_trip").count() == 0 and coded.count() == len(all_docs)
 
 
+@needs_tables
 def test_pipeline_runs(spark):
     done = corpus_pipeline.run(spark, str(SMALL))
     assert set(corpus_pipeline.COLUMNS) < set(done.columns)
@@ -175,6 +177,7 @@ def _sorted(table, columns):
     return sorted((tuple(r[i] for i in order) for r in table), key=repr)
 
 
+@needs_tables
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_query(spark, name):
     df = queries.QUERIES[name](spark, str(SMALL))
@@ -188,6 +191,7 @@ def test_query(spark, name):
     assert len(got) == {"op2_chat_format": 21, "op5_embedding_dedup": 500}.get(name, 200)
 
 
+@needs_tables
 def test_planted_conversation(spark):
     row = queries.QUERIES["op2_chat_format"](spark, str(SMALL)).where("conv_id = -1").first()
     text = "<|im_end|><|im_start|>assistant ok"
@@ -195,6 +199,7 @@ def test_planted_conversation(spark):
     assert row["loss_sha256"] == hashlib.sha256(text.encode()).hexdigest()
 
 
+@needs_tables
 def test_scores_hold_on_held_out_labels(spark):
     folder = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{folder}/labels.parquet")
