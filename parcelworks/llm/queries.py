@@ -1,4 +1,4 @@
-"""The operators of this subpackage over the given tables, and SQL to check them."""
+"""The operators of this subpackage over the given tables."""
 
 from __future__ import annotations
 
@@ -146,25 +146,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }
-
-_OP2 = r"""
-WITH turns AS (
-    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-    UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
-    UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
-), placed AS (
-    SELECT *, row_number() OVER w AS place, role IS NOT DISTINCT FROM lag(role) OVER w AS again
-    FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
-)
-SELECT conv_id,
-    count(*) AS n_turns,
-    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
-    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
-    sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
-    sum(length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g'))
-        + CASE WHEN again THEN length('<|im_again|>')
-            ELSE length('<|im_start|>') + length(role) + 1 + length('<|im_end|>') + 1 END)::BIGINT AS formatted_chars
-FROM placed GROUP BY conv_id
-"""
-
-ORACLE: dict[str, str] = {"op2_chat_format": _OP2}

@@ -13,6 +13,7 @@ import corpus_pipeline
 from parcelworks.llm import chat_format, embedding_dedup, queries, token_counts
 from parcelworks.llm.bpe import Encoder
 from parcelworks.llm.components import components
+from parcelworks.llm.oracle import ORACLE
 from tests.conftest import rows
 from tests.llm import plain
 
@@ -182,11 +183,11 @@ def _sorted(table, columns):
 def test_query(spark, name):
     df = queries.QUERIES[name](spark, str(SMALL))
     got = _sorted(df.collect(), df.columns)
-    if name in queries.ORACLE:
+    if name in ORACLE:
         database = duckdb.connect()
         for path in SMALL.glob("*.parquet"):
             database.execute(f"create view {path.stem} as select * from '{path}'")
-        cursor = database.execute(queries.ORACLE[name])
+        cursor = database.execute(ORACLE[name])
         assert got == _sorted(cursor.fetchall(), [c[0] for c in cursor.description])
     assert len(got) == {"op2_chat_format": 21, "op5_embedding_dedup": 500}.get(name, 200)
 
