@@ -28,7 +28,6 @@ from parcelworks.session import stage_table
 
 U = np.uint64
 COORDINATES = 64
-_BITS = 2048
 #: Four bits of each coordinate, as four numbers.
 _SKETCH = ["sketch0", "sketch1", "sketch2", "sketch3"]
 _SUMMARY = "doc bigint, mark bigint, n_shingles bigint, print binary, signature binary, " + ", ".join(
@@ -38,6 +37,8 @@ _SET_BYTES = 6
 #: Names of at most so many texts (24 bytes each) are broadcast.
 _BROADCAST_ROWS = 500_000
 _STAR_ROUNDS = 3
+#: Leaders are only tried where so many coordinates agree; the last step tries all that may be links.
+_ALIKE = 42
 
 
 def _multipliers() -> np.ndarray:
@@ -78,16 +79,20 @@ def _sketches(signs: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(words.T).view(np.int64)
 
 
-def _bitmaps(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    rows = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    flags = np.zeros((len(bounds) - 1, _BITS), dtype=bool)
-    flags[rows, (hashes >> U(20)).astype(np.int64) % _BITS] = True
-    return np.packbits(flags, axis=1).view(np.int64)
+def _bitmaps(hashes: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """A bitmap of each set, of eight to sixteen bits per member (and 512 to 65536 in all).
 
-
-def _lists(values: np.ndarray, kind: pa.DataType) -> pa.Array:
-    offs = pa.array(np.arange(len(values) + 1) * values.shape[1], pa.int32())
-    return pa.ListArray.from_arrays(offs, pa.array(values.ravel(), kind))
+    The size is a power of two, so that halves of a larger one laid over each other give the
+    smaller one.
+    """
+    count = np.diff(bounds)
+    bits = 2 ** np.clip(np.ceil(np.log2(np.maximum(count, 1) * 8.0)), 9, 16).astype(np.int64)
+    offs = np.concatenate([[0], np.cumsum(bits)])
+    flags = np.zeros(offs[-1], dtype=bool)
+    place = (hashes >> U(20)).astype(np.int64) & np.repeat(bits - 1, count)
+    flags[np.repeat(offs[:-1], count) + place] = True
+    words = np.packbits(flags).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(offs // 64, pa.int32()), pa.array(words))
 
 
 def _source(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -144,7 +149,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, size: int, doc_id: str, text:
                 cuts = (bounds * _SET_BYTES).tolist()
                 sets = [body[x:y] for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [nodes.slice(a, b - a), pa.array(sets, pa.binary()), _lists(_bitmaps(hashes, bounds), pa.int64())],
+                    [nodes.slice(a, b - a), pa.array(sets, pa.binary()), _bitmaps(hashes, bounds)],
                     names=["node", "members", "bits"],
                 )
 
@@ -187,16 +192,27 @@ def _agreement(a: str, b: str) -> str:
     return f"({COORDINATES} - {' - '.join(parts)})"
 
 
+def _fits(percent: int) -> str:
+    return f"100 * least(x.n_shingles, y.n_shingles) >= {percent} * greatest(x.n_shingles, y.n_shingles)"
+
+
+def _laid_over(a: str, b: str) -> str:
+    """Bitmap ``a``, its halves laid over each other if ``b`` is smaller."""
+    half = f"cast(size({a}) / 2 as int)"
+    folded = f"zip_with(slice({a}, 1, {half}), slice({a}, {half} + 1, {half}), (p, q) -> p | q)"
+    return f"if(size({a}) > size({b}), {folded}, {a})"
+
+
 def _unseen(a: str, b: str) -> str:
     """How many members of one set the bitmaps show to be missing in the other, at least."""
-    return f"aggregate(zip_with({a}, {b}, (x, y) -> bit_count(x & ~y)), 0, (n, x) -> n + x)"
+    pair = f"zip_with({_laid_over(a, b)}, {_laid_over(b, a)}, (x, y) -> bit_count(x & ~y))"
+    return f"aggregate({pair}, 0, (n, x) -> n + x)"
 
 
 def _possible(percent: int) -> str:
     """An upper bound of the overlap still reaches the threshold."""
     overlap = f"least(x.n_shingles - {_unseen('x.bits', 'y.bits')}, y.n_shingles - {_unseen('y.bits', 'x.bits')})"
-    ratio = f"100 * least(x.n_shingles, y.n_shingles) >= {percent} * greatest(x.n_shingles, y.n_shingles)"
-    return f"{ratio} and (100 + {percent}) * {overlap} >= {percent} * (x.n_shingles + y.n_shingles)"
+    return f"(100 + {percent}) * {overlap} >= {percent} * (x.n_shingles + y.n_shingles)"
 
 
 def _token_keys(signatures: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -337,6 +353,16 @@ def _nearest_leaders(grouped: DataFrame, nodes: DataFrame, matches: int) -> Data
     return alike.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
 
 
+def _open(grouped: DataFrame, nodes: DataFrame, percent: int, matches: int) -> DataFrame:
+    """Postings with another group's set in the same list that may be near."""
+    rows = grouped.select("token", "node", "component").join(nodes.select("node", "n_shingles", *_SKETCH), "node")
+    test = (
+        "x.token = y.token and x.component != y.component"
+        f" and {_fits(percent)} and {_agreement('x', 'y')} >= {matches}"
+    )
+    return rows.alias("x").join(rows.alias("y"), F.expr(test), "left_semi").select("node", "token")
+
+
 def _cross_pairs(rows: DataFrame, percent: int, matches: int) -> DataFrame:
     """Pairs of different groups that may be links, each from one list alone.
 
@@ -346,8 +372,7 @@ def _cross_pairs(rows: DataFrame, percent: int, matches: int) -> DataFrame:
     test = (
         "x.token = y.token and x.component != y.component"
         " and (y.component = y.main or x.node < y.node)"
-        f" and {_agreement('x', 'y')} >= {matches}"
-        f" and {_possible(percent)}"
+        f" and {_fits(percent)} and {_agreement('x', 'y')} >= {matches} and {_possible(percent)}"
         " and array_min(array_intersect(x.tokens, y.tokens)) = x.token"
     )
     return x.join(y, F.expr(test)).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
@@ -420,12 +445,15 @@ def _components(
     posted = stage_table(nodes.join(lists, "node").select("node", "least.*", "n_shingles", "tokens", *_SKETCH), "posted")
     sets = stage_table(_full_sets(docs, posted.select("node", "doc", "mark"), shingle, doc_id, text, batch_bytes), "sets")
 
-    known = links = None
+    # One round over all lists; then only postings go on that another group may still reach.
+    known, links = None, None
     for turn in range(_STAR_ROUNDS):
-        pairs = _nearest_leaders(_grouped(postings, known, turn), posted, matches)
+        pairs = _nearest_leaders(_grouped(postings, known, turn), posted, max(matches, _ALIKE))
         good = _confirm(pairs, sets, percent)
         links = stage_table(good if links is None else links.unionByName(good), "links")
         known = stage_table(components(links), "known")
+        if not turn:
+            postings = stage_table(_open(_grouped(postings, known, 0), posted, percent, matches), "open")
 
     judged = posted.select("node", "n_shingles", "tokens", *_SKETCH).join(sets.select("node", "bits"), "node")
     rows = _grouped(postings, known, 0).drop("leader").join(judged, "node")
