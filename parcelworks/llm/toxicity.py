@@ -41,18 +41,31 @@ def _grams(data: np.ndarray, offs: np.ndarray, sizes: tuple[int, ...]) -> Iterat
         yield feature, inside
 
 
-def present(column: pa.Array, sizes: tuple[int, ...], wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def present(column: pa.Array, sizes: tuple[int, ...], wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (row, feature) pairs in order; only features flagged in ``wanted``."""
     data, offs = kernel.flat(column)
     found = [np.zeros(0, dtype=np.int64)]
     for feature, inside in _grams(data, offs, sizes):
-        at = np.flatnonzero(inside if wanted is None else inside & wanted[feature])
+        at = np.flatnonzero(inside & wanted[feature])
         row = np.searchsorted(offs, at, side="right") - 1
         found.append(np.unique((row << _FEATURE_BITS) | feature[at]))
     pairs = np.unique(np.concatenate(found))
     return pairs >> _FEATURE_BITS, pairs & (FEATURES - 1)
 
 
+def held(column: pa.Array, sizes: tuple[int, ...]) -> Iterator[np.ndarray]:
+    """For each row the distinct features it holds."""
+    data, offs = kernel.flat(column)
+    grams = [(feature.astype(np.int32), n) for (feature, _), n in zip(_grams(data, offs, sizes), sizes, strict=True)]
+    seen = np.zeros(FEATURES, dtype=bool)
+    for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True):
+        for feature, n in grams:
+            seen[feature[a : max(a, b - n + 1)]] = True
+        found = np.flatnonzero(seen)
+        seen[found] = False
+        yield found
+
+
 def _class_counts(rows: DataFrame, sizes: tuple[int, ...], batch_bytes: int) -> np.ndarray:
     """How many texts of each class hold each feature, [class, feature]."""
 
@@ -61,9 +74,8 @@ def _class_counts(rows: DataFrame, sizes: tuple[int, ...], batch_bytes: int) ->
         for batch in batches:
             label = batch.column("label").to_numpy(zero_copy_only=False)
             for a, b in kernel.slices(kernel.flat(batch.column("text"))[1], batch_bytes):
-                row, feature = present(batch.column("text").slice(a, b - a), sizes)
-                for kind in (0, 1):
-                    sums[kind] += np.bincount(feature[label[a:b][row] == kind], minlength=FEATURES)
+                for kind, found in zip(label[a:b].tolist(), held(batch.column("text").slice(a, b - a), sizes), strict=True):
+                    sums[kind, found] += 1
         parts = sums.reshape(2, _SLICES, -1)
         raw = [parts[:, i].tobytes() for i in range(_SLICES)]
         yield pa.RecordBatch.from_arrays([pa.array(range(_SLICES), pa.int32()), pa.array(raw, pa.binary())], names=["slice", "sums"])
@@ -120,8 +132,8 @@ def train(
     labels: DataFrame,
     label: str = "toxic",
     sizes: tuple[int, ...] = (3, 4, 5, 6),
-    most_rows: int = 20_000,
-    most_features: int = 1 << 14,
+    most_rows: int = 12_000,
+    most_features: int = 1 << 12,
     penalty: float = 1e-4,
     steps: int = 400,
     doc_id: str = "doc_id",
@@ -157,10 +169,10 @@ def train(
     got = _sparse_rows(rows, sizes, wanted, batch_bytes).collect()
     got.sort(key=lambda r: (r["label"], bytes(r["features"])))
     parts = [np.frombuffer(r["features"], np.int32) for r in got]
-    place = np.zeros(FEATURES, dtype=np.int64)
+    place = np.zeros(FEATURES, dtype=np.int32)
     place[best] = np.arange(len(best))
-    row = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-    column = place[np.concatenate(parts)] if parts else np.zeros(0, np.int64)
+    row = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p) for p in parts])
+    column = place[np.concatenate(parts)]
     w, bias = _fit(np.array([r["label"] for r in got], dtype=float), row, column, ratio[best], penalty, steps)
     weights = np.zeros(FEATURES)
     weights[best] = w
