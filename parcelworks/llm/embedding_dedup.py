@@ -54,19 +54,31 @@ def _place(x: np.ndarray, centres: np.ndarray, gaps: np.ndarray, reach: float) -
     return home, close
 
 
+def _packed(rows: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as writer:
+        writer.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(table: pa.Table) -> pa.Table | None:
+    parts = [pa.ipc.open_stream(x.as_buffer()).read_all() for x in table["data"]]
+    return pa.concat_tables(parts) if parts else None
+
+
 def _compare(table: pa.Table, threshold: float, step: int = 2048) -> pa.Table:
     """Links between the targets and the probes of one block of a cell."""
-    side = table["target"].to_numpy()
-    targets, probes = table.filter(pa.array(side)), table.filter(pa.array(~side))
-    if not len(targets) or not len(probes):
+    targets, probes = (_unpacked(table.filter(pc.equal(table["target"], side))) for side in (True, False))
+    if targets is None or probes is None:
         return pa.table({"vec": pa.array([], pa.int64()), "links": pa.array([], pa.int64()), "least": pa.array([], pa.int64())})
+    targets = targets.combine_chunks()
     x, y = (_unit(_matrix(t["vector"], len(t))) for t in (targets, probes))
     ids, other = targets["vec"].to_numpy(), probes["vec"].to_numpy()
     copies, other_copies = targets["copies"].to_numpy(), probes["copies"].to_numpy()
-    guest = ~probes["home"].to_numpy()
     home = probes["own_cell"].to_numpy()
+    guest = home != table["cell"][0].as_py()
     # A guest counts its links here unless the target visits the guest's cell too.
-    reach = targets["reach"].combine_chunks() if targets["reach"].num_chunks != 1 else targets["reach"].chunk(0)
+    reach = targets["reach"].chunk(0)
     row = np.repeat(np.arange(len(targets)), pc.list_value_length(reach).to_numpy(zero_copy_only=False))
     seen = np.sort(row.astype(np.int64) << 32 | pc.list_flatten(reach).to_numpy(zero_copy_only=False))
     links, guest_links = np.zeros(len(ids), np.int64), np.zeros(len(other), np.int64)
@@ -182,31 +194,46 @@ def _links(nodes: DataFrame, count: int, threshold: float, kind: str, cell_rows:
                 continue
             home, close = _place(_unit(_matrix(batch.column("vector"), batch.num_rows)), middle, between, reach)
             row, cell = np.nonzero(close)
-            lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(len(home) + 1)), pa.int32()), pa.array(cell, pa.int32()))
-            at = pa.array(np.concatenate([np.arange(len(home)), row]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([home, cell]), pa.int32()),
-                    pa.array(np.concatenate([home, home[row]]), pa.int32()),
-                    batch.column("node").take(at),
-                    batch.column("copies").take(at),
-                    batch.column("vector").take(at),
-                    pa.concat_arrays([lists, pa.array([[]] * len(row), pa.list_(pa.int32()))]),
-                ],
-                names=["cell", "own_cell", "vec", "copies", "vector", "reach"],
+            cuts = pa.array(np.searchsorted(row, np.arange(len(home) + 1)), pa.int32())
+            rows = pa.table(
+                {
+                    "vec": batch.column("node"),
+                    "own_cell": pa.array(home, pa.int32()),
+                    "copies": batch.column("copies"),
+                    "vector": batch.column("vector"),
+                    "reach": pa.ListArray.from_arrays(cuts, pa.array(cell, pa.int32())),
+                }
             )
-
-    schema = f"cell int, own_cell int, vec bigint, copies bigint, vector array<{kind}>, reach array<int>"
+            out: dict[str, list] = {"cell": [], "target": [], "n": [], "data": []}
+            for target, where, who in (
+                (True, home, np.arange(len(home))),
+                (False, np.concatenate([home, cell]), np.concatenate([np.arange(len(home)), row])),
+            ):
+                order = np.argsort(where, kind="stable")
+                kinds, begin = np.unique(where[order], return_index=True)
+                for kind, at in zip(kinds.tolist(), np.split(who[order], begin[1:]), strict=True):
+                    part = rows.take(pa.array(at))
+                    out["cell"].append(kind)
+                    out["target"].append(target)
+                    out["n"].append(len(at))
+                    out["data"].append(_packed(part if target else part.drop_columns(["reach"])))
+            kinds = [pa.int32(), pa.bool_(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], names=list(out))
+
+    # Vectors of one batch and cell travel as one row.
+    schema = "cell int, target boolean, n bigint, data binary"
     placed = stage_table(nodes.select("node", "copies", "vector").mapInArrow(place, schema), "placed")
-    placed = placed.withColumn("home", F.col("cell") == F.col("own_cell"))
     # One row per cell, of which there are at most ``most_cells``.
-    blocks = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("blocks"))
-    placed = placed.join(F.broadcast(blocks), "cell").withColumn("mine", F.expr("cast(pmod(xxhash64(vec), blocks) as int)"))
-    others = F.explode(F.expr("sequence(0, blocks - 1)"))
-    columns = ["cell", "own_cell", "home", "vec", "copies", "vector"]
-    targets = placed.where("home").select(*columns, "reach", F.col("mine").alias("i"), others.alias("j"), F.lit(True).alias("target"))
-    empty = F.expr("cast(array() as array<int>)").alias("reach")
-    probes = placed.select(*columns, empty, others.alias("i"), F.col("mine").alias("j"), F.lit(False).alias("target"))
+    counts = placed.groupBy("cell").agg(
+        F.ceil(F.sum(F.when(F.col("target"), F.col("n"))) / block_rows).cast("int").alias("rows_of"),
+        F.ceil(F.sum(F.when(~F.col("target"), F.col("n"))) / (8 * block_rows)).cast("int").alias("columns_of"),
+    )
+    placed = placed.join(F.broadcast(counts.where("rows_of > 0")), "cell")
+    spread = lambda blocks: F.expr(f"cast(pmod(xxhash64(data), {blocks}) as int)")
+    each = lambda blocks: F.explode(F.expr(f"sequence(0, {blocks} - 1)"))
+    columns = ["cell", "target", "data"]
+    targets = placed.where("target").select(*columns, spread("rows_of").alias("i"), each("columns_of").alias("j"))
+    probes = placed.where("not target").select(*columns, each("rows_of").alias("i"), spread("columns_of").alias("j"))
 
     def compare(table: pa.Table) -> pa.Table:
         return _compare(table, threshold)
