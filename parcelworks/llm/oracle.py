@@ -121,17 +121,17 @@ FROM words LEFT JOIN hit ON words.doc_id = hit.doc_id LEFT JOIN named ON words.d
 
 _REPEATED_BYTES = """
 WITH bytes AS (
-    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+    SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents
 ), windows AS (
-    SELECT doc_id, p, md5(h[2 * p - 1:2 * p + 98]) AS passage
-    FROM (SELECT doc_id, h, unnest(range(1, n - 48)) AS p FROM bytes WHERE n >= 50)
+    SELECT doc_id, p, md5(b[p:p + 49]) AS passage
+    FROM (SELECT doc_id, b, unnest(range(1, n - 48)) AS p FROM bytes WHERE n >= 50)
 ), owners AS (
     SELECT passage, min(doc_id) AS owner FROM windows GROUP BY passage
 ), gone AS (
     SELECT DISTINCT doc_id, p + unnest(range(50)) AS p
     FROM windows JOIN owners USING (passage) WHERE owner < doc_id
 ), each AS (
-    SELECT doc_id, unnest(range(1, n + 1)) AS p, unnest(regexp_extract_all(h, '..')) AS byte FROM bytes
+    SELECT doc_id, unnest(range(1, n + 1)) AS p, unnest(regexp_extract_all(hex(b), '..')) AS byte FROM bytes
 ), judged AS (
     SELECT each.doc_id, each.p, byte, gone.p IS NOT NULL AS removed
     FROM each LEFT JOIN gone ON each.doc_id = gone.doc_id AND each.p = gone.p
