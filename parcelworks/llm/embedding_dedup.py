@@ -178,7 +178,17 @@ def near_vectors(
     )
 
 
-def _links(nodes: DataFrame, count: int, threshold: float, kind: str, cell_rows: int, most_cells: int, sample_rows: int, block_rows: int) -> DataFrame:
+def _links(
+    nodes: DataFrame,
+    count: int,
+    threshold: float,
+    kind: str,
+    cell_rows: int,
+    most_cells: int,
+    sample_rows: int,
+    block_rows: int,
+    place_rows: int = 2048,
+) -> DataFrame:
     """``node``, ``links`` and ``component`` of the distinct vectors (of one length) with links."""
     sample = nodes.orderBy("node").limit(sample_rows).select("vector").collect()
     cells = max(1, min(most_cells, math.ceil(count / cell_rows)))
@@ -189,9 +199,8 @@ def _links(nodes: DataFrame, count: int, threshold: float, kind: str, cell_rows:
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         middle, between = sent.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        # A vector may visit many cells, so few are placed at a time.
+        for batch in (b.slice(lo, place_rows) for b in batches for lo in range(0, b.num_rows, place_rows)):
             home, close = _place(_unit(_matrix(batch.column("vector"), batch.num_rows)), middle, between, reach)
             row, cell = np.nonzero(close)
             cuts = pa.array(np.searchsorted(row, np.arange(len(home) + 1)), pa.int32())
