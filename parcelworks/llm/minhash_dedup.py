@@ -375,7 +375,20 @@ def _cross_pairs(rows: DataFrame, percent: int, matches: int) -> DataFrame:
         f" and {_fits(percent)} and {_agreement('x', 'y')} >= {matches} and {_possible(percent)}"
         " and array_min(array_intersect(x.tokens, y.tokens)) = x.token"
     )
-    return x.join(y, F.expr(test)).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    return x.join(y, F.expr(test)).select(
+        F.least("x.node", "y.node").alias("a"),
+        F.greatest("x.node", "y.node").alias("b"),
+        F.expr(_agreement("x", "y")).alias("agree"),
+    )
+
+
+def _apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs whose sets lie in different groups, with the groups."""
+    side = lambda name: known.select(F.col("node").alias(name), F.col("component").alias(f"of_{name}"))
+    named = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    named = named.withColumns({"of_a": F.coalesce("of_a", "a"), "of_b": F.coalesce("of_b", "b")})
+    low, high = F.least("of_a", "of_b"), F.greatest("of_a", "of_b")
+    return named.where("of_a != of_b").select("a", "b", "agree", low.alias("low"), high.alias("high"))
 
 
 def near_duplicates(
@@ -457,5 +470,11 @@ def _components(
 
     judged = posted.select("node", "n_shingles", "tokens", *_SKETCH).join(sets.select("node", "bits"), "node")
     rows = _grouped(postings, known, 0).drop("leader").join(judged, "node")
-    links = links.unionByName(_confirm(_cross_pairs(rows, percent, matches), sets, percent))
+    # The likeliest pair of any two groups first: where it is a link, the others need no look.
+    pairs = stage_table(_cross_pairs(rows, percent, matches), "cross")
+    order = F.struct("agree", "a", "b")
+    best = _apart(pairs, known).groupBy("low", "high").agg(F.max_by(F.struct("a", "b"), order).alias("pair"))
+    links = stage_table(links.unionByName(_confirm(best.select("pair.*"), sets, percent)), "links")
+    rest = _apart(pairs, stage_table(components(links), "known")).select("a", "b")
+    links = links.unionByName(_confirm(rest, sets, percent))
     return every, nodes, components(links)
