@@ -1,7 +1,7 @@
 """From raw documents to token ids: toxic texts, near copies, repeats and benchmark text go.
 
 Every stage takes (spark, docs, sf_dir), works on all rows the stage before it kept, and
-returns the columns of ``documents``; the last one adds the token ids.
+returns the columns of ``documents``; the last one has token ids in place of the text.
 """
 
 from __future__ import annotations
@@ -55,13 +55,21 @@ def drop_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each text, their number, and whether they decode to the text again."""
+    """Token ids of each text, their number, and whether they decode to the text again.
+
+    The text itself is left out: the ids hold it.
+    """
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_50k.json")
-    coded = bpe.decode(bpe.encode(docs.select(*COLUMNS), path), path)
-    same = F.col("decoded") == F.coalesce("text", F.lit(""))
-    return coded.select(*COLUMNS, "ids", F.size("ids").cast("long").alias("n_tokens"), same.alias("round_trip"))
+    # Beyond the encoder a hash stands for the text, so that no batch holds it twice.
+    about = ["doc_id", "lang", "source", "n_chars"]
+    mark = F.sha2(F.coalesce("text", F.lit("")), 256).alias("mark")
+    coded = bpe.encode(docs.select(*COLUMNS), path).select(*about, "ids", mark)
+    same = F.sha2("decoded", 256) == F.col("mark")
+    return bpe.decode(coded, path).select(
+        *about, "ids", F.size("ids").cast("long").alias("n_tokens"), same.alias("round_trip")
+    )
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
