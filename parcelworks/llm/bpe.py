@@ -47,7 +47,7 @@ class _Index(dict):
 class Encoder:
     """A tokenizer file and the words encoded so far (at most about ``remember``)."""
 
-    def __init__(self, path: str, remember: int = 300_000) -> None:
+    def __init__(self, path: str, remember: int = 200_000) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, cutter = spec["model"], spec["pre_tokenizer"]
@@ -96,9 +96,6 @@ class Encoder:
             parts = (int(self.left[i]), int(self.right[i]))
             whole[i] &= all(self.rank[p] < 0 or whole[p] for p in parts)
         self._plant([i for i in vocab.values() if len(self.bytes_of[i]) == 1 or whole[i]])
-        self.lengths = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
-        self.body = np.frombuffer(b"".join(self.bytes_of), dtype=np.uint8)
-        self.body_start = np.cumsum(self.lengths) - self.lengths
         self._forget()
 
     def _forget(self) -> None:
@@ -322,6 +319,25 @@ class Encoder:
         flat = ids[np.repeat(start - sums[:-1], count) + np.arange(sums[-1])]
         return flat, sums[np.array([0, *sizes], dtype=np.int64)]
 
+
+class Decoder:
+    """The bytes of every token of a tokenizer file, and nothing else of it."""
+
+    def __init__(self, path: str) -> None:
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        letters = byte_letters()
+        vocab: dict[str, int] = spec["model"]["vocab"]
+        added = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        bytes_of = [b""] * (1 + max([*vocab.values(), *added.values()]))
+        for token, i in vocab.items():
+            bytes_of[i] = bytes(letters[c] for c in token)
+        for token, i in added.items():
+            bytes_of[i] = token.encode()
+        self.lengths = np.array([len(b) for b in bytes_of], dtype=np.int64)
+        self.body = np.frombuffer(b"".join(bytes_of), dtype=np.uint8)
+        self.body_start = np.cumsum(self.lengths) - self.lengths
+
     def decode_batch(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
         """Texts of rows of ids; bytes that are no UTF-8 become replacement characters."""
         size = self.lengths[ids]
@@ -332,6 +348,7 @@ class Encoder:
 
 
 _encoders: dict[str, Encoder] = {}
+_decoders: dict[str, Decoder] = {}
 
 
 def encoder(path: str) -> Encoder:
@@ -341,11 +358,18 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def decoder(path: str) -> Decoder:
+    """The decoder of a file, loaded once per worker."""
+    if path not in _decoders:
+        _decoders[path] = Decoder(path)
+    return _decoders[path]
+
+
 def _kinds(docs: DataFrame) -> str:
     return "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema.fields)
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", batch_bytes: int = 4 << 20) -> DataFrame:
+def encode(docs: DataFrame, path: str, text: str = "text", batch_bytes: int = 2 << 20) -> DataFrame:
     """Add ``ids`` (array of int): the tokens of the whole text by the tokenizer file at ``path``.
 
     Strings of added tokens inside a text become those tokens. Null and empty texts give an
@@ -372,7 +396,7 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -
     rows = rows.select(*[F.col(f"`{c}`") for c in rows.columns if c != out])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = encoder(path)
+        tool = decoder(path)
         for batch in batches:
             column = batch.column(ids)
             sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
@@ -380,7 +404,7 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -
             flat = pc.list_flatten(column)
             known = flat.is_valid().to_numpy(zero_copy_only=False)
             bounds = np.concatenate([[0], np.cumsum(known)])[tops]
-            for a, b in kernel.slices(bounds, 1 << 20):
+            for a, b in kernel.slices(bounds, 1 << 19):
                 mine = flat.drop_null().slice(bounds[a], bounds[b] - bounds[a]).to_numpy(zero_copy_only=False)
                 texts = tool.decode_batch(mine, bounds[a : b + 1] - bounds[a])
                 part = batch.slice(a, b - a)
