@@ -206,6 +206,28 @@ def test_toxicity_on_held_out_rows(spark, empty):
     assert toxicity.train(empty, labels.limit(0)).bias == 0
 
 
+def test_toxicity_of_a_minority_beside_many_frequent_words(spark):
+    r = random.Random(4)
+    word = lambda letters, n: "".join(r.choice(letters) for _ in range(n))
+    plain_words, bad_words = [word("abcdefgh", 6) for _ in range(300)], [word("mnopqrst", 9) for _ in range(400)]
+    rare_words = [word("ijklwxyz", 6) for _ in range(300)]
+    docs, labels = [], []
+    for i in range(900):
+        toxic, minority = i % 4 == 0, i % 10 == 3 or i % 60 == 4
+        w = [r.choice(rare_words if minority else plain_words) for _ in range(50)]
+        if toxic and minority:
+            w[10:12] = ["vuvvuuv"] * 2
+        elif toxic:
+            w[20:40] = [r.choice(bad_words) for _ in range(20)]
+        docs.append((i, " ".join(w)))
+        labels.append((i, int(toxic)))
+    model = toxicity.train(_frame(spark, docs), spark.createDataFrame(labels, "doc_id long, toxic int").where("doc_id < 700"))
+    assert (model.weights != 0).sum() > 1 << 12
+    scored = toxicity.score(_frame(spark, docs), model).where("doc_id >= 700 and (doc_id % 10 = 3 or doc_id % 60 = 4)")
+    got = [(x["doc_id"] % 4 == 0, x["score"]) for x in scored.collect()]
+    assert min(s for bad, s in got if bad) > max(0.3, *(s for bad, s in got if not bad))
+
+
 def test_quality_on_held_out_rows(spark, empty):
     docs, labels = _labelled(spark, lambda r, w: " | ".join(x.upper() + "!!" for x in w))
     scored = quality.fit_and_score(docs, labels.where("doc_id % 5 != 0"))
