@@ -14,6 +14,7 @@ one by one, and bitmaps of both sets rule out most of them.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +40,22 @@ _BROADCAST_ROWS = 500_000
 _STAR_ROUNDS = 3
 #: Leaders are only tried where so many coordinates agree; the last step tries all that may be links.
 _ALIKE = 42
+#: The greatest chance to miss a pair at the threshold.
+_MISS = 1e-6
+
+
+def matches_for(percent: int) -> int:
+    """The most coordinates that a pair at ``percent`` may be asked to agree in, missed with a chance under ``_MISS``."""
+    if not 1 <= percent <= 100:
+        raise ValueError(f"percent must be from 1 to 100, not {percent}")
+    p, chance = percent / 100, 0.0
+    for least in range(COORDINATES + 1):
+        chance += math.comb(COORDINATES, least) * p**least * (1 - p) ** (COORDINATES - least)
+        if chance > _MISS:
+            break
+    if not least:
+        raise ValueError(f"{COORDINATES} coordinates are too few to find pairs at {percent} percent")
+    return least
 
 
 def _multipliers() -> np.ndarray:
@@ -197,9 +214,10 @@ def _fits(percent: int) -> str:
 
 
 def _laid_over(a: str, b: str) -> str:
-    """Bitmap ``a``, its halves laid over each other if ``b`` is smaller."""
-    half = f"cast(size({a}) / 2 as int)"
-    folded = f"zip_with(slice({a}, 1, {half}), slice({a}, {half} + 1, {half}), (p, q) -> p | q)"
+    """Bitmap ``a``, its parts of the size of ``b`` laid over each other if ``b`` is smaller."""
+    part = f"slice({a}, cast(k * size({b}) as int) + 1, size({b}))"
+    parts = f"transform(sequence(1, cast(size({a}) / size({b}) as int) - 1), k -> {part})"
+    folded = f"aggregate({parts}, slice({a}, 1, size({b})), (all, one) -> zip_with(all, one, (p, q) -> p | q))"
     return f"if(size({a}) > size({b}), {folded}, {a})"
 
 
@@ -395,7 +413,7 @@ def near_duplicates(
     docs: DataFrame,
     shingle: int = 5,
     percent: int = 80,
-    matches: int = 34,
+    matches: int | None = None,
     doc_id: str = "doc_id",
     text: str = "text",
     batch_bytes: int = 4 << 20,
@@ -409,13 +427,15 @@ def near_duplicates(
     the least id reachable by links, ``kept`` marks that document. Documents without words
     (null, empty) link with nothing. Every link has both sets compared in full (48 bits a
     shingle). A pair at the threshold agrees in less than ``matches`` of 64 coordinates
-    with a chance of about 3e-7 (for 80 percent), and would be missed only then.
+    with a chance under 1e-6 (``matches_for``; about 3e-7 for 80 percent), and would be
+    missed only then. A ``percent`` too low for 64 coordinates is an error.
 
     Rows with a null id are not compared: null ``n_shingles`` and ``component_id``, kept.
     Rows that share an id are judged text by text. Repeated texts form one set, posted
     once. All input columns stay, but for those named like an added one; an empty table
     gives an empty table.
     """
+    matches = matches_for(percent) if matches is None else matches
     added = ["n_shingles", "component_id", "kept"]
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in added])
     with blocks.small_batches(docs.sparkSession):

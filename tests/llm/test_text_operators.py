@@ -118,6 +118,20 @@ def test_near_copies_of_odd_tables(spark, empty):
     assert got == sorted(want, key=repr)
 
 
+def test_near_copies_at_low_percentages(spark):
+    r = random.Random(8)
+    docs = []
+    for k in range(12):
+        w = [f"{r.choice('abcdefgh')}{k}x{i}" for i in range(260)]
+        docs += [(10 * k + 1, " ".join(w)), (10 * k + 2, " ".join(w[: 100 + 2 * k]))]
+    for percent in (40, 48):
+        found = minhash_dedup.near_duplicates(_frame(spark, docs), shingle=1, percent=percent)
+        assert rows(found, "doc_id", "n_shingles", "component_id", "kept") == sorted(plain.near_copies(docs, 1, percent), key=repr)
+    assert minhash_dedup.matches_for(80) == 34
+    with pytest.raises(ValueError, match="too few"):
+        minhash_dedup.near_duplicates(_frame(spark, docs), percent=10)
+
+
 def _items() -> list[tuple]:
     passage = plain.ALNUM.findall(plain.lower(DOCS[3][1]))
     return [
