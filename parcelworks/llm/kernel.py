@@ -139,8 +139,50 @@ def words(data: np.ndarray, offs: np.ndarray, between: np.ndarray) -> tuple[np.n
     return start, end, np.searchsorted(offs, start, side="right") - 1
 
 
-def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return span_hash(prefix(data, BYTE_CODES), start, end)
+def distinct_words(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.DictionaryArray:
+    """The words as a dictionary column: equal numbers for equal bytes, and for these alone."""
+    steps = np.zeros(len(data) + 1, dtype=np.int8)
+    steps[start] += 1
+    steps[end] -= 1
+    body = data[np.cumsum(steps[:-1], dtype=np.int8) > 0]
+    offs = np.concatenate([[0], np.cumsum(end - start)]).astype(np.int64)
+    column = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offs), pa.py_buffer(body)])
+    return column.dictionary_encode()
+
+
+def word_numbers(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A number of each word, the same for the same bytes; numbers hold for this call only."""
+    return distinct_words(data, start, end).indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, bits: int = 64) -> np.ndarray:
+    """64 bits of a cryptographic hash of every word; with ``bits=128`` two such columns, one above the other.
+
+    No words of any length are known to share them, which does not hold for sums of
+    powers modulo 2**64 such as ``prefix`` makes: long words can cancel out there.
+    """
+    words = distinct_words(data, start, end)
+    made = b"".join([hashlib.blake2b(w, digest_size=bits // 8).digest() for w in words.dictionary.to_pylist()])
+    table = np.frombuffer(made, dtype=U).reshape(-1, bits // 64).T
+    index = words.indices.to_numpy(zero_copy_only=False)
+    out = np.ascontiguousarray(table)[:, index]
+    return out[0] if bits == 64 else out
+
+
+def joined_words(
+    data: np.ndarray, offs: np.ndarray, start: np.ndarray, end: np.ndarray, row: np.ndarray, stay: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The words numbered in ``stay`` (ascending), joined by one space per row, and the rows' bounds."""
+    steps = np.zeros(len(data) + 1, dtype=np.int32)
+    steps[start[stay]] += 1
+    steps[end[stay]] -= 1
+    kept = np.cumsum(steps[:-1], dtype=np.int32) > 0
+    # A kept word that is not its row's last keeps the byte behind it, as a space.
+    behind = end[stay[np.flatnonzero(row[stay][1:] == row[stay][:-1])]]
+    kept[behind] = True
+    out = data.copy()
+    out[behind] = 0x20
+    return out[kept], np.concatenate([[0], np.cumsum(per_row(kept, offs))])
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:

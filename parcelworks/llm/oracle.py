@@ -144,6 +144,123 @@ SELECT doc_id, count(p) AS n_bytes, count(*) FILTER (removed) AS n_removed,
 FROM documents LEFT JOIN edges USING (doc_id) GROUP BY doc_id
 """
 
+# Stretches of six and more words that match those q words on are found by windows of six
+# words: a run has max(12, 2q) - q matching words at least. crc32 is worked out bit by bit.
+_RUNS = r"""
+WITH hashed AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS o,
+        xor(list_reduce(list_prepend(4294967295::BIGINT, [ascii(c)::BIGINT FOR c IN string_split(doc_id::VARCHAR, '')]),
+            lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) AS h
+    FROM documents
+), placed AS (
+    SELECT *, CASE WHEN h % 10 = 0 AND len(o) > 0 THEN (h // 10) % len(o) END AS a FROM hashed
+), split AS (
+    SELECT doc_id, CASE WHEN a IS NULL THEN o
+        ELSE [o[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (len(o) - a) // (3 + (h // 10) % 8)) END] FOR i IN range(len(o))] END AS w
+    FROM placed
+), windows AS (
+    SELECT doc_id, i, array_to_string(w[i + 1:i + 6], ' ') AS passage
+    FROM (SELECT doc_id, w, unnest(range(len(w) - 5)) AS i FROM split WHERE len(w) >= 12)
+), pairs AS (
+    SELECT x.doc_id, x.i, y.i - x.i AS q FROM windows x JOIN windows y ON x.doc_id = y.doc_id AND x.passage = y.passage AND x.i < y.i
+), islands AS (
+    SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs
+), stretches AS (
+    SELECT doc_id, q, min(i) AS start, max(i) + 6 + q AS stop FROM islands GROUP BY doc_id, q, island
+), runs AS (
+    SELECT doc_id, start, stop, stop - start AS length, min(q) AS period FROM stretches
+    WHERE stop - start >= greatest(12, 2 * q) GROUP BY doc_id, start, stop
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(start + period, stop)) AS i FROM runs
+), listed AS (
+    SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listing,
+        max_by({'start': start, 'length': length, 'period': period}, [length, -start, -period]) AS best
+    FROM runs GROUP BY doc_id
+), words AS (
+    SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM split
+), kept AS (
+    SELECT words.doc_id, string_agg(word, ' ' ORDER BY words.i) AS text
+    FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id AND words.i = gone.i WHERE gone.i IS NULL GROUP BY words.doc_id
+)
+SELECT split.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best.start, best.length, best.period,
+    1000 * best.length // best.period AS exponent_milli,
+    sha256(coalesce(listing, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM split LEFT JOIN listed ON split.doc_id = listed.doc_id LEFT JOIN kept ON split.doc_id = kept.doc_id
+"""
+
+_MIX = r"""
+WITH RECURSIVE sized AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+        ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS key
+    FROM documents
+), sources AS (
+    SELECT source, sum(size)::HUGEINT AS size, row_number() OVER (ORDER BY source NULLS LAST) % 3 AS kind
+    FROM sized GROUP BY source
+), weighed AS (
+    SELECT *, [1, 5, 2][kind + 1]::HUGEINT AS w, sum(size) OVER () AS words FROM sources
+), rounds AS (
+    SELECT 0 AS turn, source, size, kind, w, words, false AS topped, 150 * words AS rest, sum(w) OVER () AS open_w FROM weighed
+    UNION ALL
+    SELECT turn + 1, source, size, kind, w, words, now,
+        150 * words - coalesce(sum(CASE WHEN now THEN 200 * size END) OVER (), 0),
+        coalesce(sum(CASE WHEN NOT now THEN w END) OVER (), 0)
+    FROM (SELECT *, topped OR rest * w > 200 * size * open_w AS now, bool_or(NOT topped AND rest * w > 200 * size * open_w) OVER () AS more FROM rounds)
+    WHERE more
+), targets AS (
+    SELECT source, size::BIGINT AS source_size, kind,
+        CASE WHEN topped THEN (2 * size)::DOUBLE ELSE (rest * w)::DOUBLE / (100 * open_w)::DOUBLE END AS target
+    FROM rounds WHERE turn = (SELECT max(turn) FROM rounds)
+), placed AS (
+    SELECT doc_id, sized.size, source_size, kind, target, floor(target)::BIGINT AS demand,
+        (sum(sized.size) OVER (PARTITION BY sized.source ORDER BY key, doc_id, sized.size ROWS UNBOUNDED PRECEDING) - sized.size)::BIGINT AS behind
+    FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
+), shares AS (
+    SELECT *, greatest(least(demand - behind, size), 0) AS once, greatest(least(demand - behind - source_size, size), 0) AS twice,
+        behind::DOUBLE / demand::DOUBLE AS u
+    FROM placed
+)
+SELECT doc_id, size, source_size, target, (once + twice)::BIGINT AS taken,
+    CASE WHEN once > 0 THEN floor(1e9::DOUBLE * CASE kind
+        WHEN 1 THEN 2 * (u * 5) / greatest(8 + sqrt(64 - 12 * (u * 5)), 1e-300)
+        WHEN 2 THEN 2 * (u * 2) / (2 + sqrt(4::DOUBLE))
+        ELSE CASE WHEN u > 0 THEN 2 * u / sqrt(4 * u) ELSE 0 END END)::BIGINT END AS position_ppb
+FROM shares
+"""
+
+_PHRASES = rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), split AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), grams AS (
+    SELECT lang, array_to_string(w[p:p + size - 1], ' ') AS phrase, size, count(*) AS f
+    FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS p FROM split, range(1, 5) AS t(size) WHERE len(w) >= size)
+    GROUP BY ALL
+), counts AS (
+    SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE size = 1 GROUP BY lang
+), candidates AS (
+    SELECT *, string_split(phrase, ' ') AS w FROM grams WHERE size > 1 AND f >= 30
+), inside AS (
+    SELECT lang, array_to_string(w[p:p + part - 1], ' ') AS phrase, max(f) AS longer
+    FROM (SELECT lang, w, f, part, unnest(range(1, size - part + 2)) AS p FROM candidates, range(2, 4) AS t(part) WHERE part < size)
+    GROUP BY ALL
+), cuts AS (
+    SELECT lang, phrase, f AS a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates)
+), scored AS (
+    SELECT cuts.lang, cuts.phrase, a, k, x.f AS l, y.f AS r, (2000000::HUGEINT * a // (x.f + y.f))::BIGINT AS score
+    FROM cuts JOIN grams x ON x.lang = cuts.lang AND x.phrase = head JOIN grams y ON y.lang = cuts.lang AND y.phrase = tail
+), best AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), open AS (
+    SELECT best.* FROM best LEFT JOIN inside ON inside.lang = best.lang AND inside.phrase = best.phrase
+    WHERE longer IS NULL OR 100 * longer < 80 * a
+)
+SELECT open.lang, row_number() OVER (PARTITION BY open.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM open JOIN counts ON open.lang = counts.lang
+QUALIFY rank <= 2000
+"""
+
 ORACLE: dict[str, str] = {
     "op2_chat_format": _CONVERSATIONS,
     "op3_substring_dedup": _REPEATED_WORDS,
@@ -151,4 +268,7 @@ ORACLE: dict[str, str] = {
     "op6_minhash_dedup": _NEAR_TEXTS,
     "op7_decontamination": _BENCHMARK_HITS,
     "op9_suffix_dedup": _REPEATED_BYTES,
+    "op11_periodic_runs": _RUNS,
+    "op12_mixing": _MIX,
+    "op13_phrases": _PHRASES,
 }

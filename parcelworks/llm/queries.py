@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelworks.llm import bpe, chat_format, decontamination, embedding_dedup, minhash_dedup, quality, substring_dedup, suffix_dedup, token_counts, toxicity
+from parcelworks.llm import (
+    bpe,
+    chat_format,
+    decontamination,
+    embedding_dedup,
+    minhash_dedup,
+    mixing,
+    periodic_runs,
+    phrases,
+    quality,
+    substring_dedup,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -134,6 +148,50 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All runs of 12 words and more; one text in ten first repeats a stretch of its own words."""
+    docs = _table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h")
+    )
+    words = F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    docs = docs.withColumns({"w": words, "g": F.expr("h div 10")}).withColumn("n", F.size("w"))
+    docs = docs.withColumn("a", F.when(F.col("n") > 0, (F.col("g") % F.col("n")).cast("int")))
+    docs = docs.withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+    again = "array_join(transform(sequence(0, n - 1), i -> w[if(i < a, i, a + (i - a) % p)]), ' ')"
+    planted = docs.select("doc_id", F.when(F.col("n") > 0, F.expr(again)).otherwise(F.col("text")).alias("text"))
+    found = periodic_runs.find_runs(planted, least=12)
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best")["col2"]).alias("start"),
+        F.col("best")["length"].alias("length"),
+        (-F.col("best")["col3"]).alias("period"),
+        F.expr("1000 * best.length div -best.col3").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
+    )
+
+
+#: Weights 5, 2 and 1 as the integrals of a falling, a level and a rising schedule.
+_CURRICULUM = [[(0, 8), (1, 2)], [(0, 2), (1, 2)], [(0, 0), (1, 2)]]
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    mixed = mixing.by_position(mixing.mix(docs, _CURRICULUM, percent=150, most=2))
+    first = F.get("copies", F.lit(0))["position"]
+    return mixed.select(
+        "doc_id", "size", "source_size", "target", "taken", F.floor(first * 1e9).cast("long").alias("position_ppb")
+    )
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("lang", "text")
+    return phrases.collocations(docs, least=30, longest=4, top=2000, within_percent=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_chat_format": op2_chat_format,
@@ -145,4 +203,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_bpe_round_trip": op10_bpe_round_trip,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_mixing": op12_mixing,
+    "op13_phrases": op13_phrases,
 }
