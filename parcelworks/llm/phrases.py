@@ -1,14 +1,14 @@
 """Frequent phrases and how strongly their words belong together, from an FM-index per shard.
 
 Documents become shards of some megabytes: sequences of word numbers with breaks between
-pieces of text. Words too rare to stand in any phrase become breaks too. Each shard gets a
-bidirectional FM-index over its numbers (the Burrows-Wheeler transforms of the sequence and
-of its reverse), and phrases are enumerated by extending intervals by one word, in turn to the left and to
-the right, while keeping the interval in the other index. Per length one round adds up the counts of
-all shards: a shard asks once for each distinct phrase it holds, and gets back one bit that
-tells whether the phrase is frequent overall; only frequent ones are extended, and only to
-phrases whose other part is frequent as well. So no phrase below the limit goes beyond the
-first round in which it could have been known to be rare.
+pieces of text. Words too rare to stand in any phrase become breaks too. Per phrase length
+a shard gets a bidirectional FM-index over its numbers (the Burrows-Wheeler transforms of the
+sequence and of its reverse), and its phrases are enumerated by extending intervals by one
+word, in turn to the left and to the right, while keeping the interval in the other index.
+Counts are added up over all shards: a shard asks once for each distinct phrase it holds,
+and gets back one bit that tells whether the phrase is frequent overall. Stretches of a
+shard without two frequent phrases in a row hold no longer one and are dropped, so
+sequences shrink from length to length.
 """
 
 from __future__ import annotations
@@ -33,10 +33,11 @@ _WORD = 4  # bytes of a word number
 
 _SHARD = "shard bigint, words binary, bucket int, names array<string>, counts array<bigint>"
 _NAMED = "shard bigint, bucket int, numbers binary, names array<string>, counts array<bigint>"
-_INDEX = "shard bigint, level int, bucket int, left binary, right binary, symbols binary, keys binary, counts binary"
-_COUNTED = "shard bigint, level int, bucket int, bits binary, grams array<binary>, counts array<bigint>"
+_SEQUENCE = "shard bigint, words binary, symbols binary"
+_ASKED = "shard bigint, bucket int, keys binary, counts binary"
+_COUNTED = "shard bigint, bucket int, bits binary, grams array<binary>, counts array<bigint>"
 #: In place of a shard: rows about all shards.
-_FREQUENT, _TOTALS = -1, -2
+_FREQUENT = -1
 
 
 def _table(schema: str, rows: dict[str, list], **kinds: pa.DataType) -> pa.Table:
@@ -48,18 +49,36 @@ def _table(schema: str, rows: dict[str, list], **kinds: pa.DataType) -> pa.Table
 _LONG, _INT, _BYTES = pa.int64(), pa.int32(), pa.binary()
 _NAMES, _COUNTS = pa.list_(pa.string()), pa.list_(pa.int64())
 _KINDS = {
-    "shard": _LONG, "level": _INT, "bucket": _INT, "words": _BYTES, "numbers": _BYTES, "left": _BYTES, "right": _BYTES,
-    "symbols": _BYTES, "keys": _BYTES, "bits": _BYTES, "names": _NAMES, "grams": pa.list_(_BYTES),
+    "shard": _LONG, "bucket": _INT, "words": _BYTES, "numbers": _BYTES, "symbols": _BYTES, "keys": _BYTES, "bits": _BYTES,
+    "names": _NAMES, "grams": pa.list_(_BYTES),
 }
 
 
-def _sequence(text: pa.Array, lang: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    """Word numbers from 1, with 0 between pieces; the words with their language; their counts."""
+def _pack(values: np.ndarray) -> bytes:
+    """Whole numbers as bytes, all lowest bytes first: the higher ones, mostly zero, then compress well."""
+    return np.ascontiguousarray(values, dtype="<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unpack(body: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(body, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+
+
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Rows of numbers, column by column, as differences from the row before."""
+    return _pack(np.diff(keys.astype(np.int32), axis=0, prepend=np.zeros((1, keys.shape[1]), np.int32)).T)
+
+
+def _unpack_keys(body: bytes, width: int) -> np.ndarray:
+    return np.cumsum(_unpack(body).reshape(width, -1), axis=1, dtype=np.int32).T
+
+
+def _sequence(text: pa.Array, lang: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray, dict[str, int]]:
+    """Word numbers from 1, with 0 between pieces; the words with their language; their counts; words per language."""
     data, offs = kernel.flat(text)
     data = kernel.LOWER[data]
     start, end, row = kernel.words(data, offs, _BETWEEN)
     if not len(start):
-        return np.zeros(0, np.int64), pa.array([], pa.string()), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), pa.array([], pa.string()), np.zeros(0, np.int64), {}
     words = kernel.distinct_words(data, start, end)
     langs = lang.dictionary_encode()
     pair = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[row] * len(words.dictionary)
@@ -73,7 +92,9 @@ def _sequence(text: pa.Array, lang: pa.Array) -> tuple[np.ndarray, pa.Array, np.
     cut = (row[1:] != row[:-1]) | (ends[start[1:]] > ends[end[:-1]])
     out = np.zeros(len(start) + int(cut.sum()) + 1, dtype=np.int64)
     out[np.arange(len(start)) + np.concatenate([[0], np.cumsum(cut)])] = number + 1
-    return out, names, count
+    totals = np.zeros(len(langs.dictionary), dtype=np.int64)
+    np.add.at(totals, kinds // len(words.dictionary), count)
+    return out, names, count, dict(zip(langs.dictionary.to_pylist(), totals.tolist(), strict=True))
 
 
 def _name_buckets(names: pa.Array, buckets: int) -> np.ndarray:
@@ -82,18 +103,19 @@ def _name_buckets(names: pa.Array, buckets: int) -> np.ndarray:
 
 
 def _shard(texts: list[pa.Array], langs: list[pa.Array], shard: int, buckets: int) -> pa.Table:
-    """One row with the sequence of a shard, and one row per bucket of its words.
+    """One row with the sequence of a shard and its words per language, and one row per bucket of its words.
 
     Word numbers follow the buckets, so answers in the order of buckets need no words.
     """
-    words, names, counts = _sequence(pa.concat_arrays(texts), pa.concat_arrays(langs))
+    words, names, counts, totals = _sequence(pa.concat_arrays(texts), pa.concat_arrays(langs))
     bucket = _name_buckets(names, buckets)
     order = np.argsort(bucket, kind="stable")
     number = np.zeros(len(order) + 1, dtype=np.int32)
     number[order + 1] = np.arange(1, len(order) + 1)
     kinds, begin = np.unique(bucket[order], return_index=True)
     cuts = np.append(begin, len(order)).tolist()
-    rows: dict[str, list] = {"shard": [shard], "words": [number[words].tobytes()], "bucket": [None], "names": [None], "counts": [None]}
+    rows: dict[str, list] = {"shard": [shard], "words": [_pack(number[words])], "bucket": [None]}
+    rows["names"], rows["counts"] = [list(totals)], [list(totals.values())]
     names, counts = names.take(pa.array(order)), counts[order]
     for kind, a, b in zip(kinds.tolist(), cuts[:-1], cuts[1:], strict=True):
         rows["shard"].append(shard)
@@ -125,92 +147,73 @@ def _shards(docs: DataFrame, shard_bytes: int, buckets: int) -> DataFrame:
 
 
 def _number(asked: pa.Table, least: int, buckets: int) -> pa.Table:
-    """For one bucket of words: numbers of the frequent ones, their counts, and words per language."""
+    """For one bucket of words: numbers of the frequent ones, and their counts."""
     bucket = asked["bucket"][0].as_py()
     names = pc.list_flatten(asked["names"]).combine_chunks().dictionary_encode()
     code = names.indices.to_numpy(zero_copy_only=False)
-    counts = pc.list_flatten(asked["counts"]).to_numpy()
     total = np.zeros(len(names.dictionary), dtype=np.int64)
-    np.add.at(total, code, counts)
+    np.add.at(total, code, pc.list_flatten(asked["counts"]).to_numpy())
     frequent = np.flatnonzero(total >= least)
     number = np.zeros(len(total), dtype=np.int64)
     number[frequent] = 1 + bucket + buckets * np.arange(len(frequent))
     if len(frequent) and number.max() >= 1 << 31:
         raise OverflowError("more words than 31 bits can number: use more buckets")
-    sent = number.astype(np.int32)[code]
-    sizes = pc.fill_null(pc.list_value_length(asked["names"]), 0).to_pylist()
+    sent = number[code]
+    sizes = pc.list_value_length(asked["names"]).to_pylist()
     cuts = np.cumsum([0, *sizes]).tolist()
-    rows: dict[str, list] = {"shard": asked["shard"].to_pylist(), "bucket": [bucket] * len(sizes)}
-    rows["numbers"] = [sent[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-    rows["names"], rows["counts"] = [None] * len(sizes), [None] * len(sizes)
-    langs: dict[str, int] = {}
-    every = names.dictionary.to_pylist()
-    for name, n in zip(every, total.tolist(), strict=True):
-        lang = name.rpartition("\n")[0]
-        langs[lang] = langs.get(lang, 0) + n
-    for kind, some, how_many in (
-        (_FREQUENT, [every[i] for i in frequent.tolist()], total[frequent].tolist()),
-        (_TOTALS, list(langs), list(langs.values())),
-    ):
-        rows["shard"].append(kind)
-        rows["bucket"].append(bucket)
-        rows["numbers"].append(number[frequent].astype(np.int32).tobytes())
-        rows["names"].append(some)
-        rows["counts"].append(how_many)
+    rows: dict[str, list] = {"shard": [*asked["shard"].to_pylist(), _FREQUENT], "bucket": [bucket] * (len(sizes) + 1)}
+    rows["numbers"] = [_pack(sent[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)] + [number[frequent].astype("<i4").tobytes()]
+    rows["names"] = [None] * len(sizes) + [names.dictionary.take(pa.array(frequent)).to_pylist()]
+    rows["counts"] = [None] * len(sizes) + [total[frequent].tolist()]
     return _table(_NAMED, rows, **_KINDS, counts=_COUNTS)
 
 
-def _transform(values: np.ndarray, depth: int) -> np.ndarray:
-    """The value before each suffix, suffixes sorted by their first ``depth`` values at least.
+def _suffixes(values: np.ndarray, depth: int) -> np.ndarray:
+    """Positions in the order of the ``depth`` or more values that start there.
 
     The last value, 0, stands nowhere inside a phrase, so that suffixes may go round it.
     """
-    name, size = values, 1
+    name, size = values.astype(np.int64), 1
     while size < depth:
         name = np.unique(name * (int(name.max()) + 1) + np.roll(name, -size), return_inverse=True)[1]
         size *= 2
-    return values[np.argsort(name, kind="stable") - 1]
+    return np.argsort(name, kind="stable").astype(np.int32)
 
 
-class Index:
-    """A bidirectional FM-index of a sequence of symbols in which 0 is a break."""
+def _steps(transform: np.ndarray) -> np.ndarray:
+    """From each row to the row of the suffix that begins one value earlier."""
+    out = np.empty(len(transform), dtype=np.int32)
+    out[np.argsort(transform, kind="stable")] = np.arange(len(transform), dtype=np.int32)
+    return out
 
-    def __init__(self, left: np.ndarray, right: np.ndarray) -> None:
-        self.n = len(left)
-        self.left, self.right = self._steps(left), self._steps(right)
-        self.count = np.bincount(left)
-        self.begin = np.cumsum(self.count) - self.count
-        self.first = np.repeat(np.arange(len(self.count)), self.count)
 
-    @staticmethod
-    def of(values: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """The two transforms from which an index is made; the last of ``values`` is 0."""
-        return _transform(values, depth), _transform(np.append(values[:-1][::-1], 0), depth)
+class Index:
+    """A bidirectional FM-index of a sequence of symbols in which 0 is a break; it ends with one.
 
-    @staticmethod
-    def _steps(transform: np.ndarray) -> np.ndarray:
-        """From each row to the row of the suffix that begins one value earlier."""
-        out = np.empty(len(transform), dtype=np.int64)
-        out[np.argsort(transform, kind="stable")] = np.arange(len(transform))
-        return out
+    Suffixes are sorted as far as phrases of ``depth`` symbols need it.
+    """
+
+    def __init__(self, values: np.ndarray, depth: int) -> None:
+        self.n = len(values)
+        self.order = _suffixes(values, depth)
+        self.left = _steps(values[self.order - 1])
+        turned = np.append(values[:-1][::-1], 0).astype(values.dtype)
+        self.right = _steps(turned[_suffixes(turned, depth) - 1])
+        self.count = np.bincount(values)
+        self.begin = np.cumsum(self.count) - self.count
+        self.first = np.repeat(np.arange(len(self.count), dtype=np.int32), self.count)
 
     def rows(self, low: np.ndarray, size: np.ndarray) -> np.ndarray:
         return np.repeat(low - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
 
-    def inside(self, low: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """Which rows lie in any of the intervals."""
-        out = np.zeros(self.n, dtype=bool)
-        out[self.rows(low, size)] = True
-        return out
-
     def extend(self, steps: np.ndarray, low: np.ndarray, size: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, ...]:
         """All extensions of intervals by one symbol at the side of ``steps``.
 
         Returns the interval extended, the symbol, and the new interval: its start here, its
         size, and its start in the other index.
         """
-        owner = np.full(self.n, -1, dtype=np.int64)
-        owner[steps[self.rows(low, size)]] = np.repeat(np.arange(len(low)), size)
+        owner = np.full(self.n, -1, dtype=np.int32)
+        owner[steps[self.rows(low, size)]] = np.repeat(np.arange(len(low), dtype=np.int32), size)
         at = np.flatnonzero(owner >= 0)
         own, symbol = owner[at], self.first[at]
         begin = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (symbol[1:] != symbol[:-1]))[: len(at)])
@@ -225,6 +228,20 @@ class Index:
         real = symbol > 0
         return own[real], symbol[real], at[real], count[real], there[real]
 
+    def phrases(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All phrases of one length: their symbols, and their intervals (start, size)."""
+        low, size = self.begin[1:], self.count[1:]
+        other = low
+        words = np.arange(1, len(self.count), dtype=np.int32)[:, None]
+        for n in range(2, length + 1):
+            if n % 2 == 0:
+                own, symbol, low, size, other = self.extend(self.left, low, size, other)
+                words = np.hstack([symbol[:, None], words[own]])
+            else:
+                own, symbol, other, size, low = self.extend(self.right, other, size, low)
+                words = np.hstack([words[own], symbol[:, None]])
+        return words, low, size
+
 
 def _key_buckets(keys: np.ndarray, buckets: int) -> np.ndarray:
     mixed = np.zeros(len(keys), dtype=U)
@@ -233,94 +250,76 @@ def _key_buckets(keys: np.ndarray, buckets: int) -> np.ndarray:
     return (mixed % U(buckets)).astype(np.int64)
 
 
-def _walk(index: Index, symbols: np.ndarray, replies: pa.Table, level: int, buckets: int):
-    """Go through the lengths up to ``level``: its phrases, their counts, and their buckets with their order."""
-    low, size = index.begin[1:], index.count[1:]
-    other = low
-    words = np.arange(1, len(index.count))[:, None]
-    for length in range(2, level + 1):
-        if length == 2 or length % 2:
-            fits = index.inside(low, size)
-            own, symbol, low, size, other = index.extend(index.left, low, size, other)
-            words = np.hstack([symbol[:, None], words[own]])
-            fits = fits[low] if length > 2 else np.ones(len(low), dtype=bool)
-        else:
-            fits = index.inside(other, size)
-            own, symbol, other, size, low = index.extend(index.right, other, size, low)
-            words = np.hstack([words[own], symbol[:, None]])
-            fits = fits[other]
-        low, size, other, words = low[fits], size[fits], other[fits], words[fits]
-        keys = symbols[words]
+class _Sequence:
+    """What is left of a shard, and its phrases of one length in the order of their buckets."""
+
+    def __init__(self, row: dict, length: int, buckets: int) -> None:
+        self.shard, self.symbols, self.values = row["shard"], _unpack(row["symbols"]), _unpack(row["words"])
+        self.index = Index(self.values, length)
+        words, self.low, self.size = self.index.phrases(length)
+        keys = self.symbols[words]
         bucket = _key_buckets(keys, buckets)
         order = np.argsort(bucket, kind="stable")
+        self.low, self.size, self.keys = self.low[order], self.size[order], keys[order]
         kinds, begin = np.unique(bucket[order], return_index=True)
         cuts = np.append(begin, len(order)).tolist()
-        if length == level:
-            return keys[order], size[order], kinds.tolist(), cuts
-        mine = replies.filter(pc.equal(replies["level"], length))
-        bits = dict(zip(mine["bucket"].to_pylist(), mine["bits"].to_pylist(), strict=True))
-        good = np.zeros(len(order), dtype=bool)
-        for kind, a, b in zip(kinds.tolist(), cuts[:-1], cuts[1:], strict=True):
-            good[order[a:b]] = np.unpackbits(np.frombuffer(bits[kind], np.uint8), count=b - a).astype(bool)
-        low, size, other, words = low[good], size[good], other[good], words[good]
-    raise ValueError(f"phrases have two words at least, not {level}")
-
+        self.spans = list(zip(kinds.tolist(), cuts[:-1], cuts[1:], strict=True))
 
-def _requests(shard: int, level: int, asked: tuple) -> dict[str, list]:
-    keys, counts, kinds, cuts = asked
-    keys, counts = np.ascontiguousarray(keys, dtype=np.int32), counts.astype(np.int32)
-    rows: dict[str, list] = {"shard": [shard] * len(kinds), "level": [level] * len(kinds), "bucket": kinds}
-    spans = list(zip(cuts[:-1], cuts[1:], strict=True))
-    rows["keys"] = [keys[a:b].tobytes() for a, b in spans]
-    rows["counts"] = [counts[a:b].tobytes() for a, b in spans]
-    return rows
 
+def _kept(shard: int, numbers: np.ndarray) -> dict:
+    """A sequence in as small numbers as it needs, one break for many, one at its end."""
+    numbers = np.append(numbers, 0)
+    numbers = numbers[np.append(True, (numbers[1:] != 0) | (numbers[:-1] != 0))]
+    symbols, words = np.unique(np.append(numbers, 0), return_inverse=True)
+    return {"shard": [shard], "words": [_pack(words)], "symbols": [_pack(symbols)]}
 
-_EMPTY = _table(_COUNTED, {"shard": []}, **_KINDS, counts=_COUNTS)
 
-
-def _build(shards: pa.Table, named: pa.Table, depth: int, buckets: int) -> pa.Table:
-    """The index of a shard (one row), and what it asks about phrases of two words."""
+def _numbered(shards: pa.Table, named: pa.Table) -> pa.Table:
+    """The sequence of a shard in the numbers of all shards; rare words are breaks."""
     if not len(shards):
-        return _table(_INDEX, {"shard": []}, **_KINDS, counts=_BYTES)
-    shard = shards["shard"][0].as_py()
+        return _table(_SEQUENCE, {"shard": []}, **_KINDS)
     named = named.take(pc.sort_indices(named, sort_keys=[("bucket", "ascending")]))
-    numbers = np.concatenate([np.zeros(1, np.int32), *(np.frombuffer(n, np.int32) for n in named["numbers"].to_pylist())])
-    values = numbers[np.frombuffer(shards["words"][0].as_py(), np.int32)]
-    values = np.append(values, 0)
-    values = values[np.append(True, (values[1:] != 0) | (values[:-1] != 0))]  # one break for many
-    symbols, values = np.unique(np.append(values, 0), return_inverse=True)
-    narrow = np.uint16 if len(symbols) <= 1 << 16 else np.uint32
-    left, right = (t.astype(narrow) for t in Index.of(values, depth))
-    rows = _requests(shard, 2, _walk(Index(left, right), symbols, _EMPTY, 2, buckets))
-    size = len(rows["shard"])
-    rows["shard"].append(shard)
-    rows["level"].append(0)
-    rows["bucket"].append(None)
-    rows["keys"].append(None)
-    rows["counts"].append(None)
-    for name, body in (("left", left), ("right", right), ("symbols", symbols.astype(np.int32))):
-        rows[name] = [None] * size + [body.tobytes()]
-    return _table(_INDEX, rows, **_KINDS, counts=_BYTES)
-
-
-def _ask(indexes: pa.Table, replies: pa.Table, level: int, buckets: int) -> pa.Table:
-    if not len(indexes):
-        return _table(_INDEX, {"shard": []}, **_KINDS, counts=_BYTES)
-    row = indexes.to_pylist()[0]
-    symbols = np.frombuffer(row["symbols"], np.int32)
-    narrow = np.uint16 if len(symbols) <= 1 << 16 else np.uint32
-    index = Index(np.frombuffer(row["left"], narrow), np.frombuffer(row["right"], narrow))
-    rows = _requests(row["shard"], level, _walk(index, symbols, replies, level, buckets))
-    return _table(_INDEX, rows, **_KINDS, counts=_BYTES)
-
-
-def _add_up(asked: pa.Table, level: int, least: int) -> pa.Table:
+    numbers = np.concatenate([np.zeros(1, np.int32), *(_unpack(n) for n in named["numbers"].to_pylist())])
+    return _table(_SEQUENCE, _kept(shards["shard"][0].as_py(), numbers[_unpack(shards["words"][0].as_py())]), **_KINDS)
+
+
+def _ask(row: dict, length: int, buckets: int) -> pa.Table:
+    """One row per bucket of phrases that a shard holds, with their counts in it."""
+    held = _Sequence(row, length, buckets)
+    rows: dict[str, list] = {"shard": [held.shard] * len(held.spans), "bucket": [kind for kind, _, _ in held.spans]}
+    rows["keys"] = [_pack_keys(held.keys[a:b]) for _, a, b in held.spans]
+    rows["counts"] = [_pack(held.size[a:b]) for _, a, b in held.spans]
+    return _table(_ASKED, rows, **_KINDS, counts=_BYTES)
+
+
+def _reduce(sequences: pa.Table, replies: pa.Table, length: int, buckets: int) -> pa.Table:
+    """Keep of a shard the stretches in which one frequent phrase follows the other."""
+    if not len(sequences):
+        return _table(_SEQUENCE, {"shard": []}, **_KINDS)
+    held = _Sequence(sequences.to_pylist()[0], length, buckets)
+    bits = dict(zip(replies["bucket"].to_pylist(), replies["bits"].to_pylist(), strict=True))
+    good = np.zeros(len(held.low), dtype=bool)
+    for kind, a, b in held.spans:
+        good[a:b] = np.unpackbits(np.frombuffer(bits[kind], np.uint8), count=b - a).astype(bool)
+    start = np.zeros(held.index.n + 1, dtype=bool)
+    start[held.index.order[held.index.rows(held.low[good], held.size[good])]] = True
+    # Runs of two and more starts; each keeps its words up to the end of the last phrase.
+    edge = np.diff(start.astype(np.int8), prepend=0)
+    begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    begin, end = begin[end - begin > 1], end[end - begin > 1]
+    size = end - begin + length  # the words, and a break
+    at = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+    numbers = held.symbols[held.values[at]]
+    numbers[np.cumsum(size) - 1] = 0
+    return _table(_SEQUENCE, _kept(held.shard, numbers), **_KINDS)
+
+
+def _add_up(asked: pa.Table, length: int, least: int) -> pa.Table:
     """For one bucket of phrases: a bit for every one asked about, and the frequent ones with their counts."""
-    keys = asked["keys"].to_pylist()
-    matrix = np.frombuffer(b"".join(keys), np.int32).reshape(-1, level)
-    counts = np.frombuffer(b"".join(asked["counts"].to_pylist()), np.int32).astype(np.int64)
-    wide = [matrix[:, i].astype(np.int64) << 32 | (matrix[:, i + 1] if i + 1 < level else 0) for i in range(0, level, 2)]
+    parts = [_unpack_keys(k, length) for k in asked["keys"].to_pylist()]
+    matrix = np.concatenate(parts)
+    counts = np.concatenate([_unpack(c) for c in asked["counts"].to_pylist()]).astype(np.int64)
+    wide = [matrix[:, i].astype(np.int64) << 32 | (matrix[:, i + 1] if i + 1 < length else 0) for i in range(0, length, 2)]
     order = np.argsort(wide[0], kind="stable") if len(wide) == 1 else np.lexsort(wide[::-1])
     new = np.zeros(len(order), dtype=bool)
     new[:1] = True
@@ -331,17 +330,13 @@ def _add_up(asked: pa.Table, level: int, least: int) -> pa.Table:
     total = np.add.reduceat(counts[order], begin)
     frequent = np.empty(len(order), dtype=bool)
     frequent[order] = np.repeat(total >= least, np.diff(np.append(begin, len(order))))
-    cuts = np.cumsum([0, *(len(k) // (_WORD * level) for k in keys)]).tolist()
-    rows: dict[str, list] = {name: asked[name].to_pylist() for name in ("shard", "level", "bucket")}
-    rows["bits"] = [np.packbits(frequent[a:b]).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-    rows["grams"], rows["counts"] = [None] * len(keys), [None] * len(keys)
-    body = np.ascontiguousarray(matrix[order[begin[total >= least]]]).tobytes()
-    step = _WORD * level
-    for name, value in (
-        ("shard", _FREQUENT), ("level", level), ("bucket", rows["bucket"][0]), ("bits", None),
-        ("grams", [body[i : i + step] for i in range(0, len(body), step)]), ("counts", total[total >= least].tolist()),
-    ):
-        rows[name].append(value)
+    cuts = np.cumsum([0, *map(len, parts)]).tolist()
+    rows: dict[str, list] = {"shard": [*asked["shard"].to_pylist(), _FREQUENT], "bucket": [*asked["bucket"].to_pylist(), None]}
+    rows["bits"] = [*(np.packbits(frequent[a:b]).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)), None]
+    body = np.ascontiguousarray(matrix[order[begin[total >= least]]], dtype="<i4").tobytes()
+    step = _WORD * length
+    rows["grams"] = [*([None] * len(parts)), [body[i : i + step] for i in range(0, len(body), step)]]
+    rows["counts"] = [*([None] * len(parts)), total[total >= least].tolist()]
     return _table(_COUNTED, rows, **_KINDS, counts=_COUNTS)
 
 
@@ -363,31 +358,43 @@ def frequent_phrases(
     def number(table: pa.Table) -> pa.Table:
         return _number(table, least, buckets)
 
-    def build(table: pa.Table, numbers: pa.Table) -> pa.Table:
-        return _build(table, numbers, longest, buckets)
+    def numbered(table: pa.Table, numbers: pa.Table) -> pa.Table:
+        return _numbered(table, numbers)
+
+    def asking(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for i in range(len(batch)):
+                    yield from _ask(batch.slice(i, 1).to_pylist()[0], length, buckets).to_batches()
 
-    def adding(level: int) -> Callable[[pa.Table], pa.Table]:
+        return ask
+
+    def adding(length: int) -> Callable[[pa.Table], pa.Table]:
         def add_up(table: pa.Table) -> pa.Table:
-            return _add_up(table, level, least)
+            return _add_up(table, length, least)
 
         return add_up
 
-    def asking(level: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-        def ask(table: pa.Table, replies: pa.Table) -> pa.Table:
-            return _ask(table, replies, level, buckets)
+    def reducing(length: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+        def reduce(table: pa.Table, replies: pa.Table) -> pa.Table:
+            return _reduce(table, replies, length, buckets)
 
-        return ask
+        return reduce
 
     named = stage_table(shards.where("bucket is not null").groupBy("bucket").applyInArrow(number, _NAMED), "named")
-    sequences = shards.where("bucket is null").groupBy("shard")
-    indexes = stage_table(sequences.cogroup(named.where("shard >= 0").groupBy("shard")).applyInArrow(build, _INDEX), "indexes")
-    asked, replies = indexes.where("level = 2"), None
-    for level in range(2, longest + 1):
-        counted = stage_table(asked.groupBy("bucket").applyInArrow(adding(level), _COUNTED), "phrases")
-        replies = counted if replies is None else replies.unionByName(counted)
-        if level < longest:
-            whole = indexes.where("level = 0").groupBy("shard")
-            asked = whole.cogroup(replies.where("shard >= 0").groupBy("shard")).applyInArrow(asking(level + 1), _INDEX)
+    rows = shards.where("bucket is null").select("shard", "words").groupBy("shard")
+    rows = rows.cogroup(named.where(F.col("shard") != _FREQUENT).select("shard", "bucket", "numbers").groupBy("shard"))
+    sequences = stage_table(rows.applyInArrow(numbered, _SEQUENCE), "sequences")
+    grams = None
+    for length in range(2, longest + 1):
+        with blocks.small_batches(docs.sparkSession, 1 << 20):
+            asked = sequences.mapInArrow(asking(length), _ASKED)
+            counted = stage_table(asked.groupBy("bucket").applyInArrow(adding(length), _COUNTED), "phrases")
+        found = counted.where(F.col("shard") == _FREQUENT).select("grams", "counts")
+        grams = found if grams is None else grams.unionByName(found)
+        if length < longest:
+            replies = counted.where(F.col("shard") != _FREQUENT).select("shard", "bucket", "bits").groupBy("shard")
+            sequences = stage_table(sequences.groupBy("shard").cogroup(replies).applyInArrow(reducing(length), _SEQUENCE), "sequences")
     words = named.where(F.col("shard") == _FREQUENT).select("numbers", F.posexplode(F.arrays_zip("names", "counts")))
     words = words.select(
         F.substring("numbers", F.col("pos") * _WORD + 1, F.lit(_WORD)).alias("gram"),
@@ -395,9 +402,8 @@ def frequent_phrases(
         F.regexp_extract("col.names", r"([^\n]*)$", 1).alias("word"),
         F.col("col.counts").alias("f"),
     )
-    phrases = replies.where(F.col("shard") == _FREQUENT).select(F.inline(F.arrays_zip("grams", "counts")))
-    phrases = phrases.select(F.col("grams").alias("gram"), F.col("counts").alias("f"))
-    totals = named.where(F.col("shard") == _TOTALS).select(F.inline(F.arrays_zip("names", "counts")))
+    phrases = grams.select(F.inline(F.arrays_zip("grams", "counts"))).select(F.col("grams").alias("gram"), F.col("counts").alias("f"))
+    totals = shards.where("bucket is null").select(F.inline(F.arrays_zip("names", "counts")))
     return words, phrases, totals.groupBy(F.col("names").alias("lang")).agg(F.sum("counts").alias("n"))
 
 

@@ -240,21 +240,25 @@ def test_collocations_of_odd_tables(spark):
     assert phrases.collocations(frame.limit(0)).count() == 0
 
 
-def test_index_counts_extensions_both_ways():
+def test_index_counts_phrases_both_ways():
     r = random.Random(3)
-    values = np.array([*(r.randrange(5) for _ in range(400)), 0])
-    index = phrases.Index(*phrases.Index.of(values, 4))
-    text = values.tolist()
-    times = lambda w: sum(text[p : p + len(w)] == w for p in range(len(text)))
-    low, size = index.begin[1:], index.count[1:]
-    own, symbol, low, size, other = index.extend(index.left, low, size, low)
-    pairs = [[int(c), int(p) + 1] for p, c in zip(own, symbol, strict=True)]
-    assert size.tolist() == [times(p) for p in pairs]
-    own, symbol, other, size, low = index.extend(index.right, other, size, low)
-    triples = [[*pairs[p], int(c)] for p, c in zip(own, symbol, strict=True)]
-    assert size.tolist() == [times(t) for t in triples] and len(triples) == len({tuple(t) for t in triples})
-    own, symbol, low, size, _ = index.extend(index.left, low, size, other)
-    assert size.tolist() == [times([int(c), *triples[p]]) for p, c in zip(own, symbol, strict=True)]
+    for size, kinds in ((400, 5), (60, 2), (0, 2), (90, 40)):
+        text = [*(r.randrange(kinds) for _ in range(size)), 0]
+        for length in (1, 2, 3, 4, 5):
+            index = phrases.Index(np.array(text), length)
+            words, low, size_ = index.phrases(length)
+            want = Counter(tuple(text[p : p + length]) for p in range(len(text) - length + 1) if 0 not in text[p : p + length])
+            assert {tuple(w): n for w, n in zip(words.tolist(), size_.tolist(), strict=True) if n} == dict(want)
+            for word, a, n in zip(words.tolist(), low.tolist(), size_.tolist(), strict=True):
+                assert all(text[p : p + length] == word for p in index.order[a : a + n].tolist())
+
+
+def test_numbers_survive_packing():
+    g = np.random.default_rng(1)
+    keys = g.integers(0, 1 << 31, size=(50, 3))
+    assert (phrases._unpack_keys(phrases._pack_keys(keys), 3) == keys).all()
+    assert phrases._unpack(phrases._pack(keys[:, 0])).tolist() == keys[:, 0].tolist()
+    assert len(phrases._unpack(phrases._pack(np.zeros(0)))) == 0
 
 
 def test_unused_names():
