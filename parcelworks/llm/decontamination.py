@@ -13,10 +13,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelworks.llm import blocks, kernel
+from parcelworks.session import stage_table
 
 U = np.uint64
 _TABLE = 1 << 18
@@ -25,10 +27,10 @@ _PAIRS = 1 << 20
 
 
 def _word_codes(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of each lower-cased word and its row."""
+    """Both halves of the 128-bit hash of each lower-cased word, and its row."""
     data = kernel.LOWER[data]
     start, end, row = kernel.words(data, offs, kernel.NOT_ALNUM)
-    return kernel.word_hashes(data, start, end), row
+    return kernel.word_hashes(data, start, end, bits=128), row
 
 
 def _block(codes: np.ndarray, last: np.ndarray, size: int) -> np.ndarray:
@@ -37,9 +39,13 @@ def _block(codes: np.ndarray, last: np.ndarray, size: int) -> np.ndarray:
 
 
 class Patterns:
-    """Patterns of one length with their shift table and suffix buckets."""
+    """Patterns of one length with their shift table and suffix buckets.
 
-    def __init__(self, windows: np.ndarray, items: list[np.ndarray]) -> None:
+    ``windows`` and ``seconds`` hold the two halves of the words' hashes: the first is searched
+    for, both are compared.
+    """
+
+    def __init__(self, windows: np.ndarray, seconds: np.ndarray, items: list[np.ndarray]) -> None:
         n, self.length = windows.shape
         self.size = min(2, self.length)
         flat = np.ascontiguousarray(windows).ravel()
@@ -50,7 +56,7 @@ class Patterns:
             np.minimum.at(self.shift, at, self.length - 1 - j)
         suffix = _block(flat, base + self.length - 1, self.size)
         order = np.argsort(suffix, kind="stable")
-        self.suffix, self.windows = suffix[order], windows[order]
+        self.suffix, self.windows, self.seconds = suffix[order], windows[order], seconds[order]
         self.prefix = _block(np.ascontiguousarray(self.windows).ravel(), base + self.size - 1, self.size)
         self.items = [items[i] for i in order.tolist()]
         self.item_count = np.array([len(i) for i in self.items], dtype=np.int64)
@@ -75,8 +81,9 @@ class Patterns:
         at = np.concatenate(found)
         return at[row[at] == row[at - first]]
 
-    def occurrences(self, codes: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def occurrences(self, both: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First word and pattern of every occurrence."""
+        codes, seconds = both
         at = self.stops(codes, row)
         ends = _block(codes, at, self.size)
         lo, hi = np.searchsorted(self.suffix, ends, "left"), np.searchsorted(self.suffix, ends, "right")
@@ -89,7 +96,7 @@ class Patterns:
             same = self.prefix[which] == _block(codes, where + self.size - 1, self.size)
             where, which = where[same], which[same]
             for j in range(self.length):
-                same = codes[where + j] == self.windows[which, j]
+                same = (codes[where + j] == self.windows[which, j]) & (seconds[where + j] == self.seconds[which, j])
                 where, which = where[same], which[same]
             starts.append(where)
             patterns.append(which)
@@ -105,13 +112,13 @@ def build_patterns(texts: list[str], width: int) -> list[Patterns]:
     for item, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
         size = min(width, b - a)
         for i in range(a, b - size + 1) if size else ():
-            found.setdefault(codes[i : i + size].tobytes(), set()).add(item)
+            found.setdefault(codes[:, i : i + size].tobytes(), set()).add(item)
     by_length: dict[int, list[bytes]] = {}
     for key in found:
-        by_length.setdefault(len(key) // 8, []).append(key)
+        by_length.setdefault(len(key) // 16, []).append(key)
     return [
         Patterns(
-            np.frombuffer(b"".join(keys), U).reshape(-1, length),
+            *np.frombuffer(b"".join(keys), U).reshape(-1, 2, length).swapaxes(0, 1),
             [np.array(sorted(found[k]), dtype=np.int64) for k in keys],
         )
         for length, keys in sorted(by_length.items())
@@ -123,11 +130,11 @@ def search(column: pa.Array, patterns: list[Patterns]) -> tuple[np.ndarray, np.n
     data, offs = kernel.flat(column)
     codes, row = _word_codes(data, offs)
     rows = len(offs) - 1
-    hit = np.zeros(len(codes), dtype=bool)
+    hit = np.zeros(codes.shape[1], dtype=bool)
     pairs = [np.zeros((0, 2), np.int64)]
     for p in patterns:
         start, which = p.occurrences(codes, row)
-        hit |= kernel.covered(np.unique(start), p.length, len(codes))
+        hit |= kernel.covered(np.unique(start), p.length, len(hit))
         count = p.item_count[which]
         sums = np.concatenate([[0], np.cumsum(count)])
         item = p.item_all[np.repeat(p.item_start[which], count) + np.arange(sums[-1]) - np.repeat(sums[:-1], count)]
@@ -149,9 +156,22 @@ def _spans(hit: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pair)
 
 
+def _flags(spans: pa.ListArray, bounds: np.ndarray, n: int) -> np.ndarray:
+    """Which of ``n`` words lie in the spans that were found in earlier scans."""
+    offs = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(spans), 0).to_numpy(zero_copy_only=False))])
+    flat = pc.list_flatten(spans)
+    base = np.repeat(bounds[:-1], np.diff(offs))
+    steps = np.zeros(n + 1, dtype=np.int64)
+    np.add.at(steps, base + flat.field("first_word").to_numpy(), 1)
+    np.add.at(steps, base + flat.field("end_word").to_numpy(), -1)
+    return np.cumsum(steps[:-1]) > 0
+
+
 def _scan(docs: DataFrame, names: list[str], texts: list[str], width: int, text: str, batch_bytes: int) -> DataFrame:
-    """``n_words``, ``hit_spans`` and ``items`` for one block of items."""
+    """``n_words``, ``hit_spans`` and ``items`` for one block of items, on top of those of the blocks before."""
     tables = docs.sparkSession.sparkContext.broadcast((np.array(names, dtype=object), build_patterns(texts, width)))
+    own = [c for c in docs.columns if c not in _FOUND]
+    before = own != docs.columns
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, patterns = tables.value
@@ -162,17 +182,20 @@ def _scan(docs: DataFrame, names: list[str], texts: list[str], width: int, text:
                 bounds, hit, row, item = search(part.column(text), patterns)
                 offs = np.searchsorted(row, np.arange(b - a + 1))
                 found = pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(ids[item], pa.string()))
+                if before:
+                    hit |= _flags(part.column("hit_spans"), bounds, len(hit))
+                    both = zip(part.column("items").to_pylist(), found.to_pylist(), strict=True)
+                    found = pa.array([x + y for x, y in both], pa.list_(pa.string()))
                 extra = [pa.array(np.diff(bounds)), _spans(hit, bounds), found]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, *extra], names=[*batch.schema.names, "n_words", "hit_spans", "items"]
-                )
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in own), *extra], names=[*own, *_FOUND])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in own)
     return docs.mapInArrow(
         scan, f"{kinds}, n_words long, hit_spans array<struct<first_word:long,end_word:long>>, items array<string>"
     )
 
 
+_FOUND = ["n_words", "hit_spans", "items"]
 _N_HIT = "aggregate(hit_spans, 0L, (n, s) -> n + s.end_word - s.first_word)"
 
 
@@ -198,8 +221,9 @@ def find_contamination(
     each. Repeated documents are judged alike; rows keep all their columns but those named
     like an added one. An empty table on either side gives no hits.
 
-    Tables for at most ``item_block_bytes`` of item texts are broadcast at a time; more
-    items are taken in blocks, each of which scans the documents, and the runs are merged.
+    Tables for about ``item_block_bytes`` of item texts are made and broadcast at a time. More
+    items are taken in blocks, one after the other: documents are scanned for each, and are
+    written with what was found so far, so that every row keeps its own.
     """
     added = ["n_words", "hit_spans", "n_hit", "items", "n_items", "contaminated"]
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in added])
@@ -208,30 +232,13 @@ def find_contamination(
         "id is not null and words is not null"
     )
     parts = blocks.block_count(blocks.text_bytes(items, "words"), item_block_bytes)
-    scanned = []
-    if parts > 1:
-        docs = docs.withColumn("__row", F.monotonically_increasing_id())
+    found = docs
     for k in range(parts):
         mine = items if parts == 1 else items.where(F.pmod(F.xxhash64("id", "words"), F.lit(parts)) == k)
         rows = mine.collect()
-        scanned.append(_scan(docs, [r["id"] for r in rows], [r["words"] for r in rows], width, text, batch_bytes))
-    found = scanned[0]
-    for more in scanned[1:]:
-        found = found.unionByName(more)
-    if parts > 1:
-        found = found.groupBy("__row").agg(
-            *[F.any_value(F.col(f"`{c}`")).alias(c) for c in [*columns, "n_words"]],
-            F.flatten(F.collect_list("hit_spans")).alias("hit_spans"),
-            F.flatten(F.collect_list("items")).alias("items"),
-        )
-        merged = """aggregate(array_sort(hit_spans),
-            cast(array() as array<struct<first_word:bigint,end_word:bigint>>),
-            (a, s) -> if(size(a) > 0 and element_at(a, -1).end_word >= s.first_word,
-                concat(slice(a, 1, size(a) - 1), array(named_struct(
-                    'first_word', element_at(a, -1).first_word,
-                    'end_word', greatest(element_at(a, -1).end_word, s.end_word)))),
-                concat(a, array(s))))"""
-        found = found.withColumn("hit_spans", F.expr(merged))
+        found = _scan(found, [r["id"] for r in rows], [r["words"] for r in rows], width, text, batch_bytes)
+        if k + 1 < parts:
+            found = stage_table(found, "scanned")
     found = found.withColumn("items", F.array_sort(F.array_distinct("items"))).withColumn("n_hit", F.expr(_N_HIT))
     return found.select(
         *[F.col(f"`{c}`") for c in columns],

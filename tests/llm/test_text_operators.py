@@ -58,6 +58,24 @@ def test_repeated_words(docs, width):
     assert got == sorted(plain.cut_words(DOCS, width), key=repr)
 
 
+def _alike() -> tuple[str, str]:
+    """Two different words of 4,096 bytes whose sums of powers modulo 2**64 are the same."""
+    bits = [bin(i).count("1") % 2 for i in range(4096)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_long_words_are_not_mixed_up(spark):
+    one, other = _alike()
+    rest = " ".join(f"w{i}" for i in range(12))
+    frame = _frame(spark, [(1, f"{one} {rest}"), (2, f"{other} {rest}")])
+    assert [r[2] for r in _substring(frame)] == [0, 0]
+    near = minhash_dedup.near_duplicates(_frame(spark, [(1, f"{one} a"), (2, f"{other} a")]), shingle=2)
+    assert rows(near, "doc_id", "component_id", "kept") == [(1, 1, True), (2, 2, True)]
+    items = spark.createDataFrame([(7, one)], "item_id long, text string")
+    found = decontamination.find_contamination(_frame(spark, [(1, one), (2, other)]), items)
+    assert rows(found, "doc_id", "n_hit", "contaminated") == [(1, 1, True), (2, 0, False)]
+
+
 def test_repeated_words_keep_other_columns_and_ids_may_repeat(spark, empty):
     text = " ".join(f"w{i}" for i in range(20))
     repeated = [(5, text), (5, text), (5, "a " + text), (7, text), (None, text), (None, text)]
