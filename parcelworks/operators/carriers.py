@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from parcelworks.functions import dates, money, text
 from parcelworks.functions.sentinels import NO_MAPPING
-from parcelworks.operators.keyed import group_stats, small_map
+from parcelworks.operators.keyed import small_map
 
 ACTIVE = "active"
 COMPLETED = "status_completed"
@@ -163,6 +163,7 @@ SHIPMENT_COLUMNS = [
     "rto_delivered_date", "mapped_status", "updated_at", "cod_charges", "total_charges",
 ]
 
+# Columns of the stored tables of carriers A and B.
 STORED_A = [
     "status", "courier_company", "awb_code", "order_picked_up_date", "order_delivered_date",
     "rto_delivered_date", "cod_remittance_date", "mapped_status", "cod_charges",
@@ -202,13 +203,18 @@ def clean_export_a(raw: DataFrame, as_of: dt.date) -> DataFrame:
         .withColumns(_rendered(days, dates.parse_day_first))
         .withColumn("updated_at", dates.render(F.lit(as_of)))
     )
-    # A whole-row duplicate keeps its shipment's charges, so one pass removes both kinds.
-    lines = map_status(lines.dropDuplicates(), "status", STATUS_A)
+    lines = map_status(lines.dropDuplicates(), "status", STATUS_A).select(*STORED_A)
+    # The check looks at the raw charges alone; it adds no rows, but stops the job if it must.
+    return lines.unionByName(_two_charges(raw).select(*[F.col(c) if c == "awb_code" else F.lit(None).alias(c) for c in STORED_A]))
+
+
+def _two_charges(raw: DataFrame) -> DataFrame:
+    """No rows; an error if a shipment of the export has two different charges."""
     charges = F.struct("cod_charges", "freight_total_amount")
-    checked = group_stats(lines, "awb_code", {"__low": F.min(charges), "__high": F.max(charges)})
+    seen = raw.where(F.col("awb_code").isNotNull()).groupBy("awb_code").agg(F.min(charges).alias("low"), F.max(charges).alias("high"))
     message = F.concat(F.lit("two different charges for shipment "), F.col("awb_code"))
-    single = F.when(~F.col("__low").eqNullSafe(F.col("__high")), F.raise_error(message).cast("boolean"))
-    return checked.where(F.coalesce(single, F.lit(True))).select(*STORED_A)
+    several = ~F.col("low").eqNullSafe(F.col("high"))
+    return seen.where(F.when(several, F.raise_error(message).cast("boolean")).otherwise(False)).select("awb_code")
 
 
 def charges_a(raw: DataFrame) -> DataFrame:

@@ -18,8 +18,8 @@ CLOSURE_DAYS = 20
 _BASES = ["pickup_date", "manifested_at", "order_date"]
 
 
-def of_month(corrections: DataFrame, month: int) -> DataFrame:
-    return corrections.where(F.col("parent_order_month").try_cast("int") == month)
+def of_month(corrections: DataFrame | None, month: int) -> DataFrame | None:
+    return None if corrections is None else corrections.where(F.col("parent_order_month").try_cast("int") == month)
 
 
 def _internal_name(column: Column) -> Column:
@@ -61,15 +61,16 @@ def _collapsed(corrections: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def apply_corrections(
-    fact: DataFrame, corrections: DataFrame = None
-) -> DataFrame:
+def apply_corrections(fact: DataFrame, corrections: DataFrame | None = None) -> DataFrame:
     """Overwrite single cells; per line and column the last correction in ``row_no`` wins.
 
     A value containing ``forced_closure`` also sets ``forced_closure_date`` to 20
     days after pickup, else manifest, else order day of the row. Corrections of
     columns the fact does not have are named by ``unknown_columns``.
     """
+    if corrections is None:
+        own = "forced_closure_date" in fact.columns
+        return fact if own else fact.withColumn("forced_closure_date", F.lit(None).cast("string"))
     fixes = _collapsed(corrections, [*fact.columns, "forced_closure_date"])
     extra = ["__fix", "__closed_at", "__closure_fix_at"]
     extra += [kind + b for b in _BASES for kind in ("__before_", "__before_at_")]

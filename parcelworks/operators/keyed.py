@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 _UNMATCHED = "\u0000"
 
 
-def _scattered(df: DataFrame, spread: list[str] | None) -> Column:
+def scattered(df: DataFrame, spread: list[str] | None = None) -> Column:
     """A key that differs from row to row and equals no real key.
 
     Taken from the row's content (by default all of it), never from a random
@@ -36,7 +36,7 @@ def left_join(
     Duplicates on the right fan out. Whether the right side is broadcast is left
     to its measured size. ``spread`` names columns that differ between rows.
     """
-    keyed = left.withColumn("__jk", F.coalesce(F.col(left_key), _scattered(left, spread)))
+    keyed = left.withColumn("__jk", F.coalesce(F.col(left_key), scattered(left, spread)))
     return keyed.join(right, keyed["__jk"] == right[right_key], "left").drop("__jk")
 
 
@@ -82,7 +82,7 @@ def lookup(
 
 def anti_join(left: DataFrame, right: DataFrame, key: str, spread: list[str] | None = None) -> DataFrame:
     """Rows of ``left`` whose key ``right`` lacks; rows with a null key stay, and are spread."""
-    keyed = left.withColumn("__jk", F.coalesce(F.col(key), _scattered(left, spread)))
+    keyed = left.withColumn("__jk", F.coalesce(F.col(key), scattered(left, spread)))
     gone = right.select(F.col(key).alias("__gk"))
     return keyed.join(gone, F.col("__jk") == F.col("__gk"), "left_anti").drop("__jk")
 

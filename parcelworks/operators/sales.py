@@ -27,6 +27,7 @@ RETURNING = ["Delivered To Origin", "RTO initiated", "RTO In-Transit", "Returned
 
 SEGMENTS = ["retail", "offline", "corporate", *SEGMENT_MARKS]
 
+# Columns of the sales lines, and of the lines a carrier is asked about.
 SALES_COLUMNS = [
     "suborder_no", "client_location", "order_date", "order_number", "sku", "marketplace_sku",
     "combine_id", "combine_id_mp", "suborder_quantity", "selling_price",
@@ -36,7 +37,6 @@ SALES_COLUMNS = [
     "cancelled_status", "delivered", "batch_id",
     "shipping_state", "shipping_zip_code", "message", "shipping_customer_name", "mobile_no",
 ]
-
 RECENT_COLUMNS = [
     "order_date", "order_number", "courier_name", "tracking_number", "sku", "order_status",
     "shipping_status", "selling_price", "suborder_quantity",

@@ -37,15 +37,15 @@ def rollup_scan_history(events: DataFrame, key: str, order: list[str]) -> DataFr
         F.max(times(ARRIVED)).alias("arrived"),
         F.max((F.col("status") == RETURN_STARTED).cast("int")).alias("returned"),
     )
-    return _closing_dates(rolled, F.col("returned") == 1).select(
-        F.col(key).alias("awb_num"), *_ROLLED
+    return closing_dates(rolled, F.col("returned") == 1).select(
+        F.col(key).alias("awb_num"), *ROLLED
     )
 
 
-_ROLLED = ["status", "pickup_date", "delivery_date", "rto_initiated_date", "rto_delivered_date"]
+ROLLED = ["status", "pickup_date", "delivery_date", "rto_initiated_date", "rto_delivered_date"]
 
 
-def _closing_dates(df: DataFrame, returned: Column) -> DataFrame:
+def closing_dates(df: DataFrame, returned: Column) -> DataFrame:
     """A returned shipment arrives back at the sender, any other at the customer."""
     status = F.col("last_status")
     return df.withColumns(
@@ -98,7 +98,7 @@ def read_scan_documents(docs: DataFrame) -> DataFrame:
             ),
         }
     )
-    return _closing_dates(rolled, F.col("returned")).select("awb_num", *_ROLLED)
+    return closing_dates(rolled, F.col("returned")).select("awb_num", *ROLLED)
 
 
 def failed_scan_documents(docs: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ import re
 from parcelworks.operators.batches import CHANNELS
 from parcelworks.operators.carriers import STATUS_A, STATUS_B, STATUS_C
 from parcelworks.plans import star
-from parcelworks.plans.star import AWB, DELIVERY, PICKUP, RETURN, RETURNED, ROLES, M
+from parcelworks.plans.star import AWB, CLOSED, DELIVERY, PICKUP, RETURN, RETURNED, ROLES, M
 
 
 def _values(entries: dict[str, str]) -> str:
@@ -684,6 +684,7 @@ QUERIES: dict[str, str] = {
       union all select * from refresh""",
     "upsert_freeze_completed": "select * from upserted",
     "published_refresh": "select * from upserted",
+    "history_refresh": "select * from upserted",
     "streamed_refresh": "select * from upserted",
     "tracking_worklist": """
       select awb_no from recent_keys
@@ -875,6 +876,105 @@ QUERIES.update(
 )
 
 
+_EXTRA_ENTRY = "contains(final_status, 'forced_closure')"
+CTES["stored_flow"] = f"""
+  select * from timed_retail where {_KEPT}
+    and order_date >= date '{star.FLOW_YEAR}-{star.FLOW_MONTH - 1:02d}-01'
+    and order_date < date '{star.FLOW_YEAR}-{star.FLOW_MONTH + 2:02d}-01'"""
+CTES["booked_fact"] = f"""
+  select * replace (case when final_status = 'RTO' and order_status = 'Cancelled'
+    and pickup_date is null then 'Cancelled' else final_status end as final_status)
+  from stored_flow where order_date >= date '{star.BOOKED_SINCE:%Y-%m-%d}'"""
+for _kind, _tag in [("reship", "rs_cogs"), ("replace", "rp_cogs"), ("missing", "ms_cogs")]:
+    CTES[f"stored_{_kind}"] = f"""
+      select *, suborder_quantity + 0.5 as {_tag} from ({_segment(_kind)}) where {_KEPT}"""
+CTES["booked_entries"] = (
+    CTES["main_entries"].replace("ledger_fact", "booked_fact")
+    + " union all "
+    + _entry("booked_fact", "final_status", _stored("forced_closure_date"), "selling_price", _EXTRA_ENTRY, True)
+    + " union all "
+    + CTES["reship_entries"].replace("reship_fact", "stored_reship")
+    + " union all "
+    + CTES["cogs_entries"].replace("replace_fact", "stored_replace").replace("missing_fact", "stored_missing")
+    + " union all by name select * from refund_entries"
+)
+CTES["stored_statuses"] = """
+  select suborder_no, final_status from stored_flow
+  union all select suborder_no, final_status from stored_reship
+  union all select suborder_no, final_status from stored_replace"""
+CTES["stored_batched"] = CTES["batched"].replace("join statuses st", "join stored_statuses st")
+CTES["stored_batch_lines"] = CTES["batch_lines"].replace("from batched", "from stored_batched")
+_LIST_OK = "o_custkey % 17 <> 0 and o_custkey % 19 <> 0 and o_custkey % 23 <> 0"
+_POLLS = ", ".join(f"(date '{day}')" for day in star.POLL_DAYS)
+_LETTERS = f"""
+  select cast(o_custkey as string) as awb, cast(null as int) as place,
+    case when o_custkey % 17 = 0 then 'not_json' when o_custkey % 19 = 0 then 'empty' else 'no_data' end as reason
+  from (select distinct o_custkey from orders) where not ({_LIST_OK})
+  union all
+  select cast(o_custkey as string), cast(place as int), 'no_key'
+  from (select *, row_number() over (partition by o_custkey order by o_orderkey) - 1 as place from orders)
+  where {_LIST_OK} and o_orderkey % 29 = 0"""
+_SENT = f"""
+  select case when o_orderstatus = 'F' then 'n_sent' when o_orderstatus = 'O' then 'n_not_sent' else 'n_pending' end as metric
+  from ({QUERIES["delayed_outbox"]}) left join orders on order_no = 'K-' || cast(o_orderkey as string)"""
+
+
+def _counted(script: str, rows: str, names: list[str]) -> str:
+    listed = ", ".join(f"('{n}')" for n in names)
+    return f"""
+      select '{script}' as script, '{star.AS_OF} 00:00:00' as updated_at, m as metric,
+        (select count(*) from ({rows}) where m in ('n_rows', metric)) as value
+      from (values ('n_rows'), {listed}) t(m)"""
+
+
+QUERIES.update(
+    {
+        "scan_state_refresh": QUERIES["scan_rollup"],
+        "package_answers": f"""
+          select {AWB} as awb_number,
+            case o_orderstatus when 'F' then 'Delivered' when 'O' then 'In Transit' else 'RTO' end as status,
+            case when {CLOSED} then 'DL' else 'UD' end as status_type,
+            case when o_orderkey % 31 <> 0 and not (o_orderstatus = 'O' and {M} = 12)
+              then {_ON_DAY.format(PICKUP)} end as pickup_date,
+            case when o_orderstatus = 'F' and {M} <> 8 then {_ON_DAY.format(DELIVERY)} end as delivery_date,
+            '{AS_OF_TEXT}' as updated_at,
+            case when {CLOSED} then 'status_completed' else 'active' end as mapped_status,
+            case when o_orderkey % 31 = 0 then 'pickup_date' else '' end as unreadable,
+            case when o_orderkey % 3 = 0 then {M} end as zone
+          from orders where {_LIST_OK} and o_orderkey % 29 <> 0""",
+        "answer_dead_letters": _LETTERS,
+        "streamed_worklist": f"""
+          with polls as (select * from (values {_POLLS}) t(poll_day)), poll_lines as (
+            select nullif(trim(replace(tracking_number, '`', '')), '') as awb_no, order_date from sales)
+          select awb_no, poll_day from polls join poll_lines on order_date >= poll_day - interval 30 day and order_date < poll_day
+            where awb_no is not null
+          union
+          select {AWB}, poll_day from polls join orders on o_orderdate + interval 1 day < poll_day
+            and not ({CLOSED} and o_orderdate + interval 9 day < poll_day)""",
+        "outbox_chunks": f"""
+          select order_no, chunk, count(*) as n_products,
+            string_agg('🌱' || product_name, ', ' order by n) as product_list
+          from (select order_number as order_no, product_name, n, n // 2 as chunk from (
+            select order_number, product_name, row_number() over (
+              partition by order_number order by suborder_no, product_name) - 1 as n
+            from classified c join products p on c.sku = p.sku
+            where order_date = date '{_LATE}' - interval 3 day and manifested_at is null
+              and final_status = 'Not Shipped' and product_name is not null and order_number is not null))
+          group by 1, 2""",
+        "run_counts": _counted("messages", _SENT, ["n_sent", "n_not_sent", "n_pending"])
+        + " union all "
+        + _counted(
+            "tracking",
+            f"select 'n_' || reason as metric from ({_LETTERS})",
+            ["n_empty", "n_not_json", "n_no_data", "n_no_key"],
+        ),
+        "ledger_stored": "select * exclude (shipping_state, warehouse) from booked_entries",
+        "batch_stored_flows": "select * exclude (message) from stored_batch_lines",
+        "preview": "select least(10, count(*)) as n_shown, least(10, count(*)) as n_known from sales",
+    }
+)
+
+
 def _with(text: str) -> str:
     """The query with the CTEs it needs, each after those it uses."""
     done: dict[str, str] = {}

@@ -5,8 +5,9 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelworks.functions.dates import in_window, month_window
 from parcelworks.functions.text import contains_any_case
@@ -23,7 +24,7 @@ from parcelworks.operators.sla import parse_fact_dates, sla_metrics
 from parcelworks.operators.upsert import upsert_replace
 from parcelworks.schemas import CONTACT_COLUMNS, CORPORATE_COLUMNS, FLOW_COLUMNS
 from parcelworks.session import stage_table
-from parcelworks.sources.sinks import replace_table
+from parcelworks.sources.sinks import replace_partitions, replace_table
 
 
 @dataclass(frozen=True)
@@ -82,11 +83,51 @@ def order_flow_month(
     return flow if stored is None else upsert_replace(stored, flow, "suborder_no")
 
 
+_MONTH, _NO_MONTH = "order_month", "no_date"
+
+
+def _with_month(flow: DataFrame) -> DataFrame:
+    return flow.withColumn(_MONTH, F.coalesce(F.date_format("order_date", "yyyy-MM"), F.lit(_NO_MONTH)))
+
+
 def store_months(flow: DataFrame, path: str) -> None:
     """Replace the month partitions that the flow has rows of; other months stay as they are."""
-    months = flow.withColumn("order_month", F.date_format("order_date", "yyyy-MM"))
     # The flow may be made from the table it is to replace.
-    replace_table(stage_table(months, "order-months"), path, partition_by="order_month")
+    replace_table(stage_table(_with_month(flow), "order-months"), path, partition_by=_MONTH)
+
+
+def read_flow(spark: SparkSession, path: str, columns: T.StructType) -> DataFrame:
+    """The stored months with these columns; a month that was stored without one has nulls there."""
+    fields = [f for f in columns.fields if f.name != _MONTH]
+    return spark.read.schema(T.StructType([*fields, T.StructField(_MONTH, T.StringType())])).parquet(path)
+
+
+def of_months(flow: DataFrame, months: DataFrame) -> DataFrame:
+    """Lines of the stored months that the month table (``order_month``) lists.
+
+    A join, so that months come from a table and need no list in the program; dynamic
+    partition pruning keeps the others from being read.
+    """
+    wanted = months.select(_MONTH).distinct()
+    return flow.join(wanted, _MONTH).drop(_MONTH)
+
+
+def refresh_months(flow: DataFrame, path: str) -> list[str]:
+    """Merge new lines into the stored months, and return the months that were written.
+
+    Stored lines of the same suborder number give way, in whatever month they lie. Only the
+    new lines' months and those that lose a line are read in full and replaced; of the others
+    one column is read, and their files stay.
+    """
+    fresh = stage_table(_with_month(flow), "order-flow-new")
+    keys = fresh.where(F.col("suborder_no").isNotNull()).select("suborder_no").distinct()
+    stored = read_flow(fresh.sparkSession, path, fresh.schema)
+    losing = stored.select("suborder_no", _MONTH).join(keys, "suborder_no", "left_semi").select(_MONTH)
+    # As many as there are months.
+    months = sorted({r[0] for r in losing.union(fresh.select(_MONTH)).distinct().collect()})
+    rows = upsert_replace(stored.where(F.col(_MONTH).isin(months)), fresh, "suborder_no")
+    replace_partitions(stage_table(rows, "order-months"), path, [_MONTH], [(m,) for m in months])
+    return months
 
 
 def _segment_lines(inputs: Inputs, kind: str, as_of: dt.date) -> DataFrame:

@@ -3,19 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
-import io
 import uuid
-import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
+from dataclasses import replace
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelworks import schemas
 from parcelworks.functions import dates
 from parcelworks.functions.text import strip_backticks
 from parcelworks.operators import (
+    answers,
     batches,
     carriers,
     classify,
@@ -25,6 +25,7 @@ from parcelworks.operators import (
     ledger,
     outbox,
     sales,
+    scan_state,
     sla,
     tracking,
     upsert,
@@ -32,7 +33,8 @@ from parcelworks.operators import (
 from parcelworks.plans import carrier_refresh, order_flow, star
 from parcelworks.plans.star import Star
 from parcelworks.session import shared_folder, stage_table
-from parcelworks.sources import readers, sinks
+from parcelworks.sources import archives, history, readers, sinks
+from parcelworks.streaming import worklist
 from parcelworks.streaming.refresh import refresh_history, stream_refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -312,15 +314,26 @@ def published_refresh(s: Star) -> DataFrame:
     return sinks.read_published(s.spark, root)
 
 
+@query
+def history_refresh(s: Star) -> DataFrame:
+    """Two refreshes of a bucketed history, the second one repeated."""
+    root = _folder(s, "history")
+    history.start_history(s.role("history"), root, "awb_no", buckets=16)
+    late = F.coalesce(F.crc32(F.col("awb_no").cast("binary")) % 3 == 0, F.lit(True))
+    for batch, rows in ((1, s.role("refresh").where(~late)), (2, s.role("refresh").where(late)), (2, s.role("refresh"))):
+        history.refresh(rows, root, "awb_no", batch)
+    return history.read_history(s.spark, root)
+
+
 @query
 def streamed_refresh(s: Star) -> DataFrame:
     root, arrivals = _folder(s, "history"), stage_table(s.role("refresh"), "arrivals")
-    sinks.publish(s.role("history"), root, version=1)
+    history.start_history(s.role("history"), root, "awb_no", buckets=16)
     landed = arrivals.inputFiles()[0].rsplit("/", 1)[0]
     stream = s.spark.readStream.schema(arrivals.schema).parquet(landed)
-    writer = stream_refresh(stream, root, "awb_no", _folder(s, "stream"), first_version=2)
+    writer = stream_refresh(stream, root, "awb_no", _folder(s, "stream"))
     writer.trigger(availableNow=True).start().awaitTermination()
-    return sinks.read_published(s.spark, root)
+    return history.read_history(s.spark, root)
 
 
 # Tracking --------------------------------------------------------------------
@@ -341,6 +354,36 @@ def tracking_worklist_open(s: Star) -> DataFrame:
     return tracking.tracking_worklist(_recent(s), _shipments(s), "awb_no", skip_finished=True)
 
 
+def _tracking_events(s: Star) -> DataFrame:
+    """Lines on their order day, shipments open a day later, and closed nine days later if they are."""
+    lines = worklist.line_events(s.role("sales"))
+    orders = s.spark.sql(
+        f"select {star.AWB} as awb_no, o_orderdate, {star.CLASS} as final from {{orders}}", orders=s.table("orders")
+    )
+    began = orders.select("awb_no", F.lit(carriers.ACTIVE).alias("mapped_status"), F.expr("o_orderdate + interval 1 day").alias("at"))
+    ended = orders.where(F.col("final") == carriers.COMPLETED).select(
+        "awb_no", F.col("final").alias("mapped_status"), F.expr("o_orderdate + interval 9 day").alias("at")
+    )
+    return lines.unionByName(worklist.status_events(began.unionByName(ended), "at"))
+
+
+@query
+def streamed_worklist(s: Star) -> DataFrame:
+    """Keys due on three poll days, out of events that land in three parts, some late and some twice."""
+    landed, out, marks = _folder(s, "events"), _folder(s, "due"), _folder(s, "stream")
+    events = stage_table(_tracking_events(s), "tracking-events")
+    early, late = F.lit(star.POLL_DAYS[0]).cast("timestamp"), F.lit(star.POLL_DAYS[1]).cast("timestamp")
+    day = F.expr("interval 1 day")
+    parts = [F.col("time") < early, (F.col("time") >= early - day) & (F.col("time") < late), F.col("time") >= late - day]
+    for part in parts:
+        sinks.append_rows(events.where(part), landed)
+        stream = s.spark.readStream.schema(events.schema).parquet(landed)
+        due = worklist.due_keys(stream, star.POLL_DAYS, delay="2 days").writeStream.format("parquet")
+        run = due.option("path", out).option("checkpointLocation", marks).trigger(availableNow=True).start()
+        run.awaitTermination()
+    return s.spark.read.schema("awb_no string, poll_day date").parquet(out)
+
+
 @query
 def worklist_counts(s: Star) -> DataFrame:
     return tracking.worklist_counts(_recent(s), _shipments(s), "awb_no")
@@ -362,6 +405,18 @@ def scan_rollup(s: Star) -> DataFrame:
     return carriers.clean_tracking_d(rolled, star.EVENTS_AS_OF)
 
 
+@query
+def scan_state_refresh(s: Star) -> DataFrame:
+    """Scans of three spans of the day folded into a stored state, the latest first and one twice."""
+    root = _folder(s, "scan-state")
+    scans = s.role("scans")
+    for lo, hi in ((16, 24), (0, 8), (8, 16), (0, 8)):
+        span = scans.where(F.hour("time").between(lo, hi - 1))
+        scan_state.fold_scans(span, root, "awb", ["time", "event_id"], buckets=16)
+    state = scan_state.read_states(s.spark, root)
+    return carriers.clean_tracking_d(scan_state.rolled_up(state, "awb"), star.EVENTS_AS_OF)
+
+
 @query
 def scan_history_json(s: Star) -> DataFrame:
     """Answers landed as JSON lines and read from there."""
@@ -382,6 +437,27 @@ def flatten_packages(s: Star) -> DataFrame:
     return tracking.flatten_packages(s.role("package_documents"), star.AS_OF)
 
 
+@query
+def package_answers(s: Star) -> DataFrame:
+    """Answers of several packages, stored with the fields that nobody asked for."""
+    path = _folder(s, "packages")
+    answers.package_rows(s.role("package_lists"), star.AS_OF).write.parquet(path)
+    return s.spark.read.parquet(path).select(
+        "awb_number", "status", "status_type", "pickup_date", "delivery_date", "updated_at", "mapped_status",
+        F.array_join("unreadable", ",").alias("unreadable"),
+        F.try_variant_get("package", "$.Shipment.Extra.Zone", "bigint").alias("zone"),
+    )
+
+
+@query
+def answer_dead_letters(s: Star) -> DataFrame:
+    """Unusable answers and packages with their reasons, appended once although the job runs twice."""
+    path = _folder(s, "letters")
+    for _ in range(2):
+        sinks.append_batch(answers.dead_letters(s.role("package_lists")), path, 1)
+    return sinks.read_batches(s.spark, path).select("awb", "place", "reason")
+
+
 @query
 def dead_letters(s: Star) -> DataFrame:
     path = _folder(s, "failed")
@@ -587,6 +663,42 @@ def outbox_counts(s: Star) -> DataFrame:
     return outbox.outbox_counts(s.spark.read.parquet(path))
 
 
+@query
+def outbox_chunks(s: Star) -> DataFrame:
+    """Product lists of late orders in pieces of two names."""
+    return outbox.product_chunks(_classified(s), s.role("products"), star.OUTBOX_AS_OF, size=2)
+
+
+def _responses(s: Star) -> DataFrame:
+    """Answers of the message service: finished orders got theirs, open ones failed, others have none."""
+    return s.spark.sql(
+        """select 'K-' || cast(o_orderkey as string) as order_no,
+          case o_orderstatus when 'F' then 200 when 'O' then 500 end as status_code
+        from {orders} where o_orderstatus <> 'P'""",
+        orders=s.table("orders"),
+    )
+
+
+@query
+def run_counts(s: Star) -> DataFrame:
+    """What two jobs wrote, counted while they wrote it, from their run log."""
+    log, at = _folder(s, "log"), dt.datetime.combine(star.AS_OF, dt.time())
+    messages = outbox.delayed_order_outbox(_classified(s), s.role("products"), star.OUTBOX_AS_OF)
+    status = F.col("msg_status")
+    sent = {"n_sent": status == outbox.SENT, "n_not_sent": status == outbox.NOT_SENT, "n_pending": status == outbox.PENDING}
+    path = _folder(s, "outbox")
+    counts = sinks.write_counted(
+        outbox.with_responses(messages, _responses(s)), lambda df: sinks.append_batch(df, path, 1), sent
+    )
+    letters, reason = answers.dead_letters(s.role("package_lists")), F.col("reason")
+    failed = {"n_" + r: reason == r for r in (answers.EMPTY, answers.NOT_JSON, answers.NO_DATA, answers.NO_KEY)}
+    failures = sinks.write_counted(letters, lambda df: sinks.append_batch(df, _folder(s, "letters"), 1), failed)
+    for _ in range(2):  # logging again changes nothing
+        sinks.log_counts(s.spark, log, "messages", at, counts, 1)
+        sinks.log_counts(s.spark, log, "tracking", at, failures, 2)
+    return sinks.read_batches(s.spark, log).select("script", "updated_at", "metric", "value")
+
+
 # Flows -----------------------------------------------------------------------
 
 
@@ -612,10 +724,9 @@ def order_flow_month(s: Star) -> DataFrame:
         "suborder_no", F.to_date("order_date").alias("order_date"), F.lit("Active").alias("final_status")
     )
     order_flow.store_months(stored, path)
-    stored = s.spark.read.parquet(path).drop("order_month")
-    flow = order_flow.order_flow_month(_inputs(s), star.FLOW_YEAR, star.FLOW_MONTH, star.AS_OF, stored)
-    order_flow.store_months(flow, path)
-    return s.spark.read.schema(flow.schema).parquet(path).drop("order_month")
+    flow = order_flow.order_flow_month(_inputs(s), star.FLOW_YEAR, star.FLOW_MONTH, star.AS_OF)
+    order_flow.refresh_months(flow, path)
+    return order_flow.read_flow(s.spark, path, flow.schema).drop("order_month")
 
 
 _SEGMENT_VIEW = [
@@ -664,6 +775,49 @@ def segment_flow_corporate(s: Star) -> DataFrame:
     return flow.select(*_SEGMENT_VIEW, "selling_price", "o2d", "o2ns")
 
 
+def _stored_flows(s: Star) -> tuple[str, T.StructType, dict[str, DataFrame]]:
+    """Three stored months of the retail flow, and the three stored segments, read back."""
+    path, inputs = _folder(s, "flow"), _inputs(s)
+    kinds = None
+    for month in (star.FLOW_MONTH - 1, star.FLOW_MONTH, star.FLOW_MONTH + 1):
+        # Only one month has corrections, and with them forced closures.
+        given = inputs if month == star.FLOW_MONTH else replace(inputs, corrections=None)
+        flow = order_flow.order_flow_month(given, star.FLOW_YEAR, month, star.AS_OF)
+        order_flow.store_months(flow, path)
+        kinds = flow.schema
+    segments = {}
+    for kind, tag in (("reship", "rs_cogs"), ("replace", "rp_cogs"), ("missing", "ms_cogs")):
+        flow = order_flow.order_flow_segment(inputs, kind, star.AS_OF)
+        cogs = F.concat(F.col("suborder_quantity").cast("string"), F.lit(".5"))
+        flow = flow.withColumns({tag: cogs, "forced_closure_date": F.lit(None).cast("string")})
+        segments[kind] = stage_table(flow, kind)
+    return path, kinds, segments
+
+
+@query
+def ledger_stored(s: Star) -> DataFrame:
+    """The ledger of two accounting months out of the stored flows, forced closures included."""
+    path, kinds, segments = _stored_flows(s)
+    months = s.spark.sql(
+        "select distinct date_format(o_orderdate, 'yyyy-MM') as order_month, date(o_orderdate) as day from {orders}",
+        orders=s.table("orders"),
+    )
+    booked = months.where(F.col("day") >= F.lit(star.BOOKED_SINCE))
+    main = order_flow.of_months(order_flow.read_flow(s.spark, path, kinds), booked)
+    entries = ledger.full_ledger(main, segments["reship"], segments["replace"], segments["missing"], s.role("refunds"))
+    return entries.drop("shipping_state", "warehouse")
+
+
+@query
+def batch_stored_flows(s: Star) -> DataFrame:
+    """Batch lines tagged by the statuses of the three stored flows."""
+    path, kinds, segments = _stored_flows(s)
+    flow = order_flow.read_flow(s.spark, path, kinds)
+    statuses = batches.union_statuses(flow, segments["reship"], segments["replace"])
+    lines = batches.enrich_batches(s.role("sales"), statuses, star.WAREHOUSES, star.HOUSE_BRAND, star.AS_OF)
+    return lines.drop("message")
+
+
 # Sources and sinks -----------------------------------------------------------
 
 _SALES_CHECK = [
@@ -692,19 +846,19 @@ def csv_roundtrip(s: Star) -> DataFrame:
     return _checked(readers.read_sales_csv(s.spark, path))
 
 
-def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for number, rows in enumerate(batches):
-        content = io.BytesIO()
-        with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED) as archive:
-            archive.writestr("export.csv", rows.to_csv(index=False))
-            archive.writestr("notes.txt", "not read")
-        yield pd.DataFrame({"path": [f"part-{number}"], "content": [content.getvalue()]})
+@query
+def zipped_csv(s: Star) -> DataFrame:
+    path = _folder(s, "sales-zip")
+    archives.write_zipped_csv(_sales_export(s), path)
+    return _checked(readers.typed_sales(archives.read_zipped_csv(s.spark, path, schemas.SALES_HEADERS)))
 
 
 @query
-def zipped_csv(s: Star) -> DataFrame:
-    archives = _sales_export(s).mapInPandas(_pack, "path string, content binary")
-    return _checked(readers.typed_sales(readers.unpack_csv(archives, schemas.SALES_HEADERS)))
+def preview(s: Star) -> DataFrame:
+    """How many rows a preview of the sales lines shows, and how many of them are sales lines."""
+    shown = sinks.preview(s.role("sales").select("suborder_no"), 10)
+    known = shown.join(s.role("sales").select("suborder_no").distinct(), "suborder_no", "left_semi")
+    return shown.agg(F.count(F.lit(1)).alias("n_shown")).join(known.agg(F.count(F.lit(1)).alias("n_known")))
 
 
 @query
@@ -721,8 +875,7 @@ def text_table(s: Star) -> DataFrame:
 def run_log(s: Star) -> DataFrame:
     """One log row for each channel that has lines."""
     path = _folder(s, "log")
-    for row in s.role("sales").select("mp_name").distinct().collect():
-        sinks.append_run_log(s.spark, path, row["mp_name"], dt.datetime.combine(star.AS_OF, dt.time()))
+    sinks.append_run_logs(s.role("sales").select("mp_name").distinct(), path, dt.datetime.combine(star.AS_OF, dt.time()))
     return s.spark.read.parquet(path)
 
 

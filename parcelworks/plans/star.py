@@ -19,6 +19,8 @@ FLOW_YEAR, FLOW_MONTH = 1997, 5
 STORED_DAYS = (dt.date(1997, 5, 10), dt.date(1997, 6, 9))
 REFRESH_SINCE = "1998-07-01"
 RECENT_AS_OF = dt.date(2001, 7, 31)
+POLL_DAYS = [dt.date(2001, 5, 31), dt.date(2001, 6, 30), dt.date(2001, 7, 30)]
+BOOKED_SINCE = dt.date(1997, 5, 1)
 OUTBOX_AS_OF = dt.date(1997, 5, 28)
 WAREHOUSES = {
     "AFRICA": "Warehouse South",
@@ -62,8 +64,8 @@ AWB = """(case o_orderpriority
                                                else '36' end)
       when '4-NOT SPECIFIED' then 'SR' else 'BC' end || cast(o_orderkey as string))"""
 
-_CLOSED = f"(o_orderstatus = 'F' or (o_orderstatus = 'P' and {M} <= 6))"
-_CLASS = f"case when {_CLOSED} then 'status_completed' else 'active' end"
+CLOSED = f"(o_orderstatus = 'F' or (o_orderstatus = 'P' and {M} <= 6))"
+CLASS = f"case when {CLOSED} then 'status_completed' else 'active' end"
 _HAS_PICKUP = f"not (o_orderstatus = 'O' and {M} = 12)"
 _HAS_DELIVERY = f"o_orderstatus = 'F' and {M} <> 8"
 _HAS_RETURN = "o_orderstatus = 'P'"
@@ -179,7 +181,7 @@ ROLES: dict[str, str] = {
         {_if(_HAS_PICKUP, dmy(PICKUP))} as order_picked_up_date,
         {_if(_HAS_DELIVERY, dmy(DELIVERY))} as order_delivered_date,
         {_if(_HAS_RETURNED, dmy(RETURNED))} as rto_delivered_date,
-        '' as cod_remittance_date, {_CLASS} as mapped_status,
+        '' as cod_remittance_date, {CLASS} as mapped_status,
         {thousands(_UNITS)} as cod_charges,
         {thousands("cast(floor(o_totalprice / 200) as bigint)")} as freight_total_amount,
         '31-12-2001' as updated_at
@@ -187,7 +189,7 @@ ROLES: dict[str, str] = {
     "carrier_b": f"""
       select cast(o_orderkey as string) as order_no, '' as delivery_name, '' as delivery_no,
         cast({_UNITS} as string) as invoice_amount, '1' as item_count, 'Carrier B' as gr_provider,
-        {AWB} as awb_no, {_STATUS_B} as status, {_CLASS} as mapped_status,
+        {AWB} as awb_no, {_STATUS_B} as status, {CLASS} as mapped_status,
         {dmy(PICKUP)} as status_ts, {dmy("cast(o_orderdate as date)")} as order_date,
         cast({_UNITS} as string) as cod_charges, '' as cod_payout_amount,
         '35.5' as shipping_charges, '0' as rto_cod_charges,
@@ -202,7 +204,7 @@ ROLES: dict[str, str] = {
         {_if(_HAS_DELIVERY, dmy(DELIVERY))} as delivery_date,
         {_if(_HAS_RETURN, dmy(RETURN))} as rto_initiation_date,
         {_if(_HAS_RETURNED, dmy(RETURNED))} as rto_delivered_date, '31-12-2001' as updated_at,
-        {_CLASS} as mapped_status, {_CHARGE} as total_charges
+        {CLASS} as mapped_status, {_CHARGE} as total_charges
       from {{orders}} where o_orderpriority = '2-HIGH'""",
     "carrier_d": f"""
       select {AWB} as awb_num, {_STATUS_D} as status,
@@ -210,17 +212,17 @@ ROLES: dict[str, str] = {
         {_if(_HAS_DELIVERY, dmy(DELIVERY))} as delivery_date,
         {_if(_HAS_RETURN, dmy(RETURN))} as rto_initiated_date,
         {_if(_HAS_RETURNED, dmy(RETURNED))} as rto_delivered_date,
-        {_CLASS} as mapped_status, '31-12-2001' as updated_at, {_CHARGE} as total_charges
+        {CLASS} as mapped_status, '31-12-2001' as updated_at, {_CHARGE} as total_charges
       from {{orders}} where o_orderpriority = '1-URGENT'""",
     "carrier_e": f"""
       select {AWB} as awb_number, {_STATUS_E} as status,
-        case when {_CLOSED} then 'DL' when o_orderstatus = 'P' then 'RT' else 'UD' end
+        case when {CLOSED} then 'DL' when o_orderstatus = 'P' then 'RT' else 'UD' end
           as status_type,
         {_if(_HAS_PICKUP, dmy(PICKUP))} as pickup_date,
         {_if(_HAS_DELIVERY, dmy(DELIVERY))} as delivery_date,
         {_if(_HAS_RETURN, dmy(RETURN))} as rto_initiation_date,
         {_if(_HAS_RETURNED, dmy(RETURNED))} as rto_delivered_date,
-        '31-12-2001' as updated_at, {_CLASS} as mapped_status, {_CHARGE} as total_charges
+        '31-12-2001' as updated_at, {CLASS} as mapped_status, {_CHARGE} as total_charges
       from {{orders}} where o_orderpriority = '3-MEDIUM'""",
     "export_a": f"""
       select {_STATUS_A} as status, 'Carrier A' as courier_company, {AWB} as awb_code,
@@ -269,7 +271,7 @@ ROLES: dict[str, str] = {
       select cast({M} as string) as parent_order_month, {_SUBORDER} as suborder_id,
         'final_status' as column_name, 'forced_closure_lost' as change_value_to,
         l_orderkey * 10 + 3 as row_no
-      from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey where l_quantity = 13
+      from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey where l_quantity in (13, 21, 34)
       union all
       select cast({M} as string), {_SUBORDER}, 'pickup_date', {dmy(_day("o_orderdate", 4))},
         l_orderkey * 10 + l_linenumber
@@ -311,7 +313,7 @@ ROLES: dict[str, str] = {
       from {part}""",
     # History and refresh of one key per order: some keys only in one, some in both.
     "history": f"""
-      select {AWB} as awb_no, 'old' as status, {_CLASS} as mapped_status, o_totalprice as amount
+      select {AWB} as awb_no, 'old' as status, {CLASS} as mapped_status, o_totalprice as amount
       from {{orders}} where o_orderdate < timestamp '1999-07-01 00:00:00'
       union all
       select {AWB}, 'older', 'active', o_totalprice
@@ -381,13 +383,28 @@ DOCUMENTS: dict[str, str] = {
       select {AWB} as awb, to_json(named_struct('ShipmentData', array(named_struct('Shipment',
         named_struct('AWB', {AWB},
           'Status', named_struct('Status', {_STATUS_E},
-            'StatusType', case when {_CLOSED} then 'DL' else 'UD' end),
+            'StatusType', case when {CLOSED} then 'DL' else 'UD' end),
           'PickedupDate', case when {_HAS_PICKUP} then cast({PICKUP} as string) || 'T09:00:00' end,
           'DeliveryDate', case when {_HAS_DELIVERY} then cast({DELIVERY} as string) end,
           'RTOStartedDate', case when {_HAS_RETURN} then cast({RETURN} as string) end,
           'ReturnedDate', case when {_HAS_RETURNED} then cast({RETURNED} as string) end))))) as body
       from {{orders}}""",
 }
+DOCUMENTS["package_lists"] = f"""
+      select awb, case when n % 17 = 0 then left(body, length(body) - 7) when n % 19 = 0 then ' '
+          when n % 23 = 0 then '{{{{"error": "unknown"}}}}' else body end as body
+      from (
+        select cast(o_custkey as string) as awb, o_custkey as n, to_json(named_struct('ShipmentData',
+          transform(array_sort(collect_list(struct(o_orderkey, named_struct(
+            'AWB', case when o_orderkey % 29 <> 0 then {AWB} end,
+            'Status', named_struct('Status', {_STATUS_E},
+              'StatusType', case when {CLOSED} then 'DL' else 'UD' end),
+            'PickedupDate', case when o_orderkey % 31 = 0 then 'soon'
+              when {_HAS_PICKUP} then cast({PICKUP} as string) || 'T09:00:00' end,
+            'DeliveryDate', case when {_HAS_DELIVERY} then cast({DELIVERY} as string) end,
+            'Extra', case when o_orderkey % 3 = 0 then named_struct('Zone', {M}) end) as p))),
+            x -> named_struct('Shipment', x.p)))) as body
+        from {{orders}} group by o_custkey)"""
 BASE_TABLES = ["lineitem", "orders", "customer", "nation", "region", "part", "events"]
 
 

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import datetime as dt
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from parcelworks.functions.sentinels import render_sentinels
 
 _LOG = "script string, updated_at string"
+_METRICS = "script string, updated_at string, metric string, value bigint"
 _VERSIONS = "version bigint, path string"
+_TIME = "%Y-%m-%d %H:%M:%S"
 
 
 def export_view(df: DataFrame, headers: dict[str, str]) -> DataFrame:
@@ -51,8 +55,65 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, by: list[str], touched: list[tuple]) -> None:
+    """Replace the ``touched`` partitions and no other; one that ``df`` has no rows of becomes empty.
+
+    ``touched`` holds one tuple of values of the ``by`` columns per partition, of which there
+    are few; ``df`` must have rows of these alone, and must not read from ``path``.
+    """
+    df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).option(
+        "partitionOverwriteMode", "dynamic"
+    ).parquet(path)
+    held = {tuple(r) for r in df.select(*by).distinct().collect()}
+    nothing = df.drop(*by).limit(0)
+    for values in sorted(set(touched) - held):
+        leaf = "/".join(f"{name}={value}" for name, value in zip(by, values, strict=True))
+        nothing.write.mode("overwrite").parquet(f"{path}/{leaf}")
+
+
+def append_batch(df: DataFrame, path: str, batch: int, log: str = "batch") -> None:
+    """Append rows as batch number ``batch``; the same batch again takes the place of its rows.
+
+    So a job that is repeated after a failure appends once: dead letters, sent messages, log
+    rows. A batch without rows leaves an empty partition, also where an earlier try had some.
+    """
+    if log in df.columns:
+        raise ValueError(f"the rows have a column {log} already")
+    replace_partitions(df.withColumn(log, F.lit(batch).cast("bigint")), path, [log], [(batch,)])
+
+
+def read_batches(spark: SparkSession, path: str, log: str = "batch") -> DataFrame:
+    """All appended rows, with the number of their batch as the last column."""
+    rows = spark.read.parquet(path)
+    return rows.select(*[F.col(f"`{c}`") for c in rows.columns if c != log], F.col(log).cast("bigint").alias(log))
+
+
 def append_run_log(spark: SparkSession, path: str, script: str, at: dt.datetime) -> None:
-    append_rows(spark.createDataFrame([(script, at.strftime("%Y-%m-%d %H:%M:%S"))], _LOG), path)
+    append_rows(spark.createDataFrame([(script, at.strftime(_TIME))], _LOG), path)
+
+
+def append_run_logs(scripts: DataFrame, path: str, at: dt.datetime) -> None:
+    """One log row per name in the one column of ``scripts``, in one append."""
+    name = F.col(f"`{scripts.columns[0]}`").alias("script")
+    append_rows(scripts.select(name, F.lit(at.strftime(_TIME)).alias("updated_at")), path)
+
+
+def write_counted(df: DataFrame, write: Callable[[DataFrame], None], counts: dict[str, Column]) -> dict[str, int]:
+    """Write ``df`` with ``write`` and count on the way: no second pass, nothing collected.
+
+    ``counts`` maps a name to a condition; ``n_rows`` counts all rows. The counts are those of
+    the rows as they were written.
+    """
+    seen = Observation()
+    counted = {"n_rows": F.lit(True), **counts}
+    write(df.observe(seen, *[F.count_if(F.coalesce(test, F.lit(False))).alias(name) for name, test in counted.items()]))
+    return dict(seen.get)
+
+
+def log_counts(spark: SparkSession, path: str, script: str, at: dt.datetime, counts: dict[str, int], batch: int) -> None:
+    """The counts of one run as log rows, once per ``batch``."""
+    rows = [(script, at.strftime(_TIME), name, value) for name, value in sorted(counts.items())]
+    append_batch(spark.createDataFrame(rows, _METRICS), path, batch)
 
 
 def _versions(spark: SparkSession, root: str) -> DataFrame | None:

@@ -1,8 +1,8 @@
 """Refresh of a shipment history from a stream of tracking rows.
 
-Each micro-batch goes through the same upsert as the batch refresh and publishes
-the next version of the history. The version number follows the batch number, so
-a batch that is replayed after a failure changes nothing.
+Each micro-batch goes through the same upsert as the batch refresh, on the buckets of its
+own keys. The batch of the history follows the number of the micro-batch, so one that is
+replayed after a failure changes nothing.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
 from parcelworks.operators.upsert import upsert_freeze_completed
+from parcelworks.sources import history
 from parcelworks.sources.sinks import current_version, publish, read_published
 
 
@@ -22,16 +23,14 @@ def refresh_history(rows: DataFrame, root: str, key: str, version: int | None =
         return publish(rows, root, version)
     if version is not None and version <= current[0]:
         return current[0]
-    history = upsert_freeze_completed(read_published(spark, root), rows, key)
-    return publish(history, root, version)
+    merged = upsert_freeze_completed(read_published(spark, root), rows, key)
+    return publish(merged, root, version)
 
 
-def stream_refresh(
-    stream: DataFrame, root: str, key: str, checkpoint: str, first_version: int = 1
-) -> DataStreamWriter:
-    """A writer that refreshes the history once per micro-batch, from ``first_version`` on."""
+def stream_refresh(stream: DataFrame, root: str, key: str, checkpoint: str) -> DataStreamWriter:
+    """A writer that refreshes the history under ``root`` (``start_history``) once per micro-batch."""
 
-    def refresh(batch: DataFrame, number: int) -> None:
-        refresh_history(batch, root, key, version=first_version + number)
+    def upsert(batch: DataFrame, number: int) -> None:
+        history.refresh(batch, root, key, batch=1 + number)
 
-    return stream.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)
+    return stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
