@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelworks.llm.components import components
+from parcelworks.llm.names import sets_aside
 from parcelworks.session import stage_table
 
 _FOUND = "vec bigint, links bigint, least bigint"
@@ -82,7 +83,7 @@ def _compare(table: pa.Table, threshold: float, step: int = 2048) -> pa.Table:
     row = np.repeat(np.arange(len(targets)), pc.list_value_length(reach).to_numpy(zero_copy_only=False))
     seen = np.sort(row.astype(np.int64) << 32 | pc.list_flatten(reach).to_numpy(zero_copy_only=False))
     links, guest_links = np.zeros(len(ids), np.int64), np.zeros(len(other), np.int64)
-    pairs = []
+    edges = [np.zeros((2, 0), np.int64)]
     for lo in range(0, len(other), step):
         hi = min(lo + step, len(other))
         i, j = np.nonzero(x @ y[lo:hi].T >= threshold)
@@ -95,32 +96,34 @@ def _compare(table: pa.Table, threshold: float, step: int = 2048) -> pa.Table:
         visits = seen[at] == key if len(seen) else np.zeros(len(key), bool)
         alone = guest[j] & ~visits
         guest_links += np.bincount(j[alone], copies[i[alone]], len(other)).astype(np.int64)
-        # Smallest partners, both ways, carry the groups on.
-        pairs.append((i, j))
-    i, j = (np.concatenate(p) for p in zip(*pairs, strict=True))
-    least, other_least = ids.copy(), other.copy()
-    while True:
-        before = least.copy(), other_least.copy()
-        np.minimum.at(least, i, other_least[j])
-        np.minimum.at(other_least, j, least[i])
-        if (before[0] == least).all() and (before[1] == other_least).all():
-            break
-    keep, other_keep = np.isin(np.arange(len(ids)), i), np.isin(np.arange(len(other)), j)
+        # Of the pairs of a step only the least vector that each one reaches by them is kept.
+        least, other_least = ids.copy(), other.copy()
+        while True:
+            before = least.copy(), other_least.copy()
+            np.minimum.at(least, i, other_least[j])
+            np.minimum.at(other_least, j, least[i])
+            if (before[0] == least).all() and (before[1] == other_least).all():
+                break
+        edges += [np.stack([a[a != b], b[a != b]]) for a, b in ((ids, least), (other, other_least))]
+    vec, least = np.unique(np.concatenate(edges, axis=1), axis=1)
+    counted = np.concatenate([ids, other]), np.concatenate([links, guest_links])
+    some = counted[1] > 0
     return pa.table(
         {
-            "vec": np.concatenate([ids[keep], other[other_keep]]),
-            "links": np.concatenate([links[keep], guest_links[other_keep]]),
-            "least": np.concatenate([least[keep], other_least[other_keep]]),
+            "vec": np.concatenate([counted[0][some], vec]),
+            "links": np.concatenate([counted[1][some], np.zeros(len(vec), np.int64)]),
+            "least": np.concatenate([counted[0][some], least]),
         }
     )
 
 
+@sets_aside("__node")
 def near_vectors(
     vectors: DataFrame,
     threshold: float = 0.95,
     vec_id: str = "vec_id",
     vector: str = "embedding",
-    cell_rows: int = 256,
+    cell_rows: int = 2048,
     most_cells: int = 1024,
     sample_rows: int = 16_384,
     block_rows: int = 2048,
@@ -131,7 +134,9 @@ def near_vectors(
     vector is placed. A vector also visits each cell whose border is so near that a link
     may cross it, so no link is lost: cells only spare comparisons. Equal vectors are
     compared once. Cells are cut into blocks of about ``block_rows``; the products of two
-    blocks are one unit of work, and only counts and group labels leave it.
+    blocks are one unit of work, and only counts and group labels leave it. Up to
+    ``cell_rows * most_cells`` vectors a cell holds about ``cell_rows``; beyond it cells
+    grow, and with them the products per vector.
 
     ``n_links`` counts other rows linked directly, ``component_id`` is the least id
     reachable (itself included), ``kept`` marks that row. Null or empty vectors, vectors
