@@ -391,6 +391,34 @@ def encode(docs: DataFrame, path: str, text: str = "text", batch_bytes: int = 2
     return docs.mapInArrow(run, _kinds(docs) + "ids array<int>")
 
 
+def encode_checked(docs: DataFrame, path: str, text: str = "text", batch_bytes: int = 1 << 20) -> DataFrame:
+    """``ids`` (array of int) in place of the text, and ``round_trip``: whether they decode to it.
+
+    Both ways run in one worker, over small parts of a batch, and neither the text nor what
+    its tokens decode to leaves it. Null and empty texts give an empty array that decodes to
+    them. Columns named like an added one are replaced; repeated rows get equal results, and an
+    empty table stays empty. ``path`` must exist on every executor.
+    """
+    keep = [c for c in docs.columns if c not in (text, "ids", "round_trip")]
+    docs = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool, back = encoder(path), decoder(path)
+        for batch in batches:
+            for a, b in kernel.slices(kernel.flat(batch.column(text))[1], batch_bytes):
+                part = batch.slice(a, b - a)
+                texts = [t or "" for t in part.column(text).to_pylist()]
+                ids, bounds = tool.encode_batch(texts)
+                same = [x == y for x, y in zip(texts, back.decode_batch(ids, bounds), strict=True)]
+                column = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.select(keep).columns, column, pa.array(same, pa.bool_())], names=[*keep, "ids", "round_trip"]
+                )
+
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema.fields if f.name in keep)
+    return docs.mapInArrow(run, kinds + "ids array<int>, round_trip boolean")
+
+
 def decode(rows: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Add ``out``: the text of the tokens in ``ids``; a null array or null id gives no text."""
     rows = rows.select(*[F.col(f"`{c}`") for c in rows.columns if c != out])

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from parcelworks.llm import blocks, kernel
 from parcelworks.llm.components import components
+from parcelworks.llm.names import sets_aside
 from parcelworks.session import stage_table
 
 U = np.uint64
@@ -409,6 +410,7 @@ def _apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
     return named.where("of_a != of_b").select("a", "b", "agree", low.alias("low"), high.alias("high"))
 
 
+@sets_aside("__doc", "__mark")
 def near_duplicates(
     docs: DataFrame,
     shingle: int = 5,

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from parcelworks.llm import kernel
 from parcelworks.llm.bpe import Encoder, encoder
+from parcelworks.llm.names import sets_aside
 
 _LEAF = 64
 
@@ -154,6 +155,7 @@ class CountedText:
         return self.tree.find(char)[2] == char
 
 
+@sets_aside("__id", "__text", "__edits")
 def count_edited(
     docs: DataFrame,
     edits: DataFrame,
