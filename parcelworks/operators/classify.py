@@ -9,6 +9,7 @@ from parcelworks.functions.money import exact_sum, number_or_zero
 from parcelworks.functions.sentinels import NO_COST
 from parcelworks.functions.text import contains_any_case, is_blank, one_of
 from parcelworks.operators.keyed import left_join
+from parcelworks.sources.bucketed import JOIN_KEY, join_stored
 
 # The final statuses.
 LOST = "Lost or Damaged"
@@ -63,6 +64,11 @@ def classify_orders(sales: DataFrame, shipments: DataFrame) -> DataFrame:
     return join_shipments(sales, shipments).withColumn("final_status", final_status())
 
 
+def classify_stored(sales: DataFrame, shipments: DataFrame) -> DataFrame:
+    """As ``classify_orders``, for tables in buckets by tracking key: neither is exchanged."""
+    return join_stored(sales, shipments).drop(JOIN_KEY).withColumn("final_status", final_status())
+
+
 def status_fallback(df: DataFrame, use_sales_status: bool = True) -> DataFrame:
     """Mark missing courier charges, and let the sales status speak where the carrier is silent.
 

@@ -4,14 +4,20 @@ from __future__ import annotations
 
 import datetime as dt
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelworks.functions.text import blank_to_null, numeric_key
-from parcelworks.operators import carriers, tracking
+from parcelworks.operators import answers, carriers, tracking
 from parcelworks.operators.keyed import key_presence
 from parcelworks.operators.upsert import upsert_freeze_completed, upsert_replace
+from parcelworks.session import stage_table
+from parcelworks.sources import history
+from parcelworks.sources.sinks import append_batch, write_counted
 
+NO_ANSWER = "no_answer"
 # Computed outside and not part of a refreshed row.
 _OUTSIDE = ["total_charges"]
 
@@ -56,6 +62,39 @@ def refresh_carrier_e(stored: DataFrame, answers: DataFrame, as_of: dt.date) ->
     return upsert_replace(stored.drop(*_OUTSIDE), fresh, "awb_number")
 
 
+def poll_round(
+    recent: DataFrame,
+    root: str,
+    ask: Callable[[DataFrame], DataFrame],
+    letters: str,
+    as_of: dt.date,
+    batch: int,
+) -> dict[str, int]:
+    """One round of asking carrier E: worklist, requests, answers, refreshed history, dead letters.
+
+    ``root`` is the stored history (``sources.history``, key ``awb_number``). ``ask`` gets the requests
+    (``mode``, ``chunk``, ``awbs``: up to 50 keys each) and gives back the answers (``awb``,
+    ``body``). What can't be used, and keys without an answer (``no_answer``), go to the dead
+    letters of this batch. Returns what was asked, refreshed and lost, counted on the way; a round
+    that is repeated with its batch number changes nothing.
+    """
+    spark = recent.sparkSession
+    stored = history.read_history(spark, root)
+    keys = stage_table(tracking.tracking_worklist(recent, stored, "awb_number"), "worklist")
+    docs = stage_table(ask(tracking.request_batches(keys)), "answers")
+    rows = stage_table(answers.package_rows(docs, as_of).drop("package", "unreadable"), "packages")
+    history.refresh(rows, root, "awb_number", batch)
+    lost = unanswered_keys(keys, rows, "awb_number").select(
+        F.col("awb_no").alias("awb"), F.lit(None).cast("int").alias("place"), F.lit(NO_ANSWER).alias("reason")
+    )
+    counts = write_counted(
+        answers.dead_letters(docs).unionByName(lost),
+        lambda df: append_batch(df, letters, batch),
+        {"n_unanswered": F.col("reason") == NO_ANSWER},
+    )
+    return {"n_asked": keys.count(), "n_refreshed": rows.count(), "n_letters": counts["n_rows"], "n_unanswered": counts["n_unanswered"]}
+
+
 def unanswered_keys(worklist: DataFrame, answered: DataFrame, key: str) -> DataFrame:
     """Keys that were asked for and did not come back."""
     return (

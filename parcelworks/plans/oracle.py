@@ -968,6 +968,15 @@ QUERIES.update(
             f"select 'n_' || reason as metric from ({_LETTERS})",
             ["n_empty", "n_not_json", "n_no_data", "n_no_key"],
         ),
+        "classify_stored": QUERIES["classify_orders"],
+        "poll_round": _freeze(
+            "carrier_e",
+            f"""{_package_result()} where cast(substring({AWB}, 3) as bigint) % 7 <> 0 and {AWB} in (
+              select awb_no from recent_keys
+              union select awb_number from carrier_e where mapped_status = 'active')""",
+            "awb_number",
+            _E,
+        ),
         "ledger_stored": "select * exclude (shipping_state, warehouse) from booked_entries",
         "batch_stored_flows": "select * exclude (message) from stored_batch_lines",
         "preview": "select least(10, count(*)) as n_shown, least(10, count(*)) as n_known from sales",

@@ -33,7 +33,7 @@ from parcelworks.operators import (
 from parcelworks.plans import carrier_refresh, order_flow, star
 from parcelworks.plans.star import Star
 from parcelworks.session import shared_folder, stage_table
-from parcelworks.sources import archives, history, readers, sinks
+from parcelworks.sources import archives, bucketed, history, readers, sinks
 from parcelworks.streaming import worklist
 from parcelworks.streaming.refresh import refresh_history, stream_refresh
 
@@ -187,6 +187,20 @@ def classify_orders(s: Star) -> DataFrame:
     )
 
 
+@query
+def classify_stored(s: Star) -> DataFrame:
+    """Sales and shipments stored in buckets by tracking key, and joined without an exchange."""
+    name = uuid.uuid4().hex
+    lines = bucketed.store_bucketed(
+        sales.clean_sales(s.role("sales")), f"sales_{name}", _folder(s, "sales-buckets"), "tracking_number", 8
+    )
+    shipped = bucketed.store_bucketed(_shipments(s), f"shipments_{name}", _folder(s, "shipment-buckets"), "awb_no", 8)
+    return classify.classify_stored(lines, shipped).select(
+        "suborder_no", "order_number", "tracking_number", "awb_no", "status", "mapped_status",
+        "pickup_date", "delivered_date", "final_status",
+    )
+
+
 @query
 def status_summary(s: Star) -> DataFrame:
     return classify.status_summary(_classified(s))
@@ -458,6 +472,23 @@ def answer_dead_letters(s: Star) -> DataFrame:
     return sinks.read_batches(s.spark, path).select("awb", "place", "reason")
 
 
+@query
+def poll_round(s: Star) -> DataFrame:
+    """One round of worklist, requests, landed answers and refresh; every seventh order isn't answered."""
+    root, letters = _folder(s, "history"), _folder(s, "letters")
+    history.start_history(s.role("carrier_e").drop("total_charges"), root, "awb_number", buckets=16)
+    landed = stage_table(s.role("package_documents"), "landed")
+    unanswered = F.substring("awb", 3, 20).try_cast("bigint") % 7 == 0
+
+    def ask(requests: DataFrame) -> DataFrame:
+        asked = requests.select(F.explode(F.split("awbs", ",")).alias("awb"))
+        return landed.where(~unanswered).join(asked, "awb", "left_semi")
+
+    for _ in range(2):
+        carrier_refresh.poll_round(_recent(s), root, ask, letters, star.AS_OF, 1)
+    return history.read_history(s.spark, root)
+
+
 @query
 def dead_letters(s: Star) -> DataFrame:
     path = _folder(s, "failed")
