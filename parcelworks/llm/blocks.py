@@ -57,9 +57,11 @@ def block_count(total: int, block_bytes: int) -> int:
     return max(1, math.ceil(total / block_bytes))
 
 
-def in_blocks(docs: DataFrame, blocks: int, doc_id: str) -> DataFrame:
-    """Documents with the number of their block."""
-    return docs.withColumn(PART, F.pmod(F.xxhash64(doc_id), F.lit(blocks)).cast("int"))
+def in_blocks(docs: DataFrame, blocks: int, doc_id: str, text: str) -> DataFrame:
+    """Documents with the number of their block; those without an id are dealt by their text."""
+    dealt = F.coalesce(F.xxhash64(F.when(F.col(doc_id).isNull(), F.col(text))), F.lit(0))
+    place = F.when(F.col(doc_id).isNull(), dealt).otherwise(F.xxhash64(doc_id))
+    return docs.withColumn(PART, F.pmod(place, F.lit(blocks)).cast("int"))
 
 
 def ordered(table: pa.Table, doc_id: str, text: str) -> tuple[pa.Table, np.ndarray]:

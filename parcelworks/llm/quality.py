@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelworks.llm import kernel
+from parcelworks.llm.names import sets_aside
 from parcelworks.session import stage_table
 
 U = np.uint64
@@ -127,8 +128,15 @@ def features(docs: DataFrame, text: str = "text", out: str = "features", batch_b
     return docs.mapInArrow(run, kinds + f"`{out}` array<double>")
 
 
+_STEPS = 1024
+
+
 def _moments(rows: DataFrame) -> dict[int, np.ndarray]:
-    """Per class the sum of outer products of (1, features); summed by Spark."""
+    """Per class the sum of outer products of (1, features); summed by Spark.
+
+    Features count in steps of 1/1024, so that all sums are whole numbers of steps, and the
+    same whatever order rows come in.
+    """
     width = len(STATISTICS) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,16 +144,18 @@ def _moments(rows: DataFrame) -> dict[int, np.ndarray]:
         for batch in batches:
             flat = pc.list_flatten(batch.column("features")).to_numpy(zero_copy_only=False)
             x = np.column_stack([np.ones(batch.num_rows), flat.reshape(batch.num_rows, -1)])
+            x = np.rint(x * _STEPS) / _STEPS
             label = batch.column("label").to_numpy(zero_copy_only=False)
             for kind in (0, 1):
                 sums[kind] += x[label == kind].T @ x[label == kind]
         cell = np.arange(2 * width * width)
-        yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), pa.array(sums.ravel())], names=["cell", "value"])
+        steps = np.rint(sums.ravel() * _STEPS**2).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), pa.array(steps)], names=["cell", "value"])
 
-    got = rows.mapInArrow(run, "cell int, value double").groupBy("cell").agg(F.sum("value").alias("value")).collect()
+    got = rows.mapInArrow(run, "cell int, value bigint").groupBy("cell").agg(F.sum("value").alias("value")).collect()
     out = np.zeros(2 * width * width)
     for r in got:
-        out[r["cell"]] = r["value"]
+        out[r["cell"]] = r["value"] / _STEPS**2
     return dict(enumerate(out.reshape(2, width, width)))
 
 
@@ -206,10 +216,15 @@ def score(measured: DataFrame, model: Model, out: str = "score") -> DataFrame:
     return measured.mapInArrow(run, kinds + f"`{out}` double")
 
 
+@sets_aside("__text", "features")
 def fit_and_score(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``score`` for all documents by a model of the labelled ones; texts are read once.
 
-    Columns of ``docs`` other than ``text`` stay.
+    Columns of ``docs`` other than ``text`` stay, but for one named ``score``. Null and empty
+    texts, and very long ones, are scored by their statistics like any other. A row whose id
+    occurs twice trains once for each of its rows, and each is scored; rows without an id are
+    scored only. Without documents the result is empty; without two labelled rows of each kind
+    every text gets the share of label 1.
     """
     measured = stage_table(features(docs, text), "features")
     return score(measured, train(measured, labels, label, doc_id=doc_id))

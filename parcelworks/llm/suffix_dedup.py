@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelworks.llm import blocks, kernel
+from parcelworks.llm.names import sets_aside
 
 U = np.uint64
 _SAMPLES, _KINDS, _AROUND, _FILTER, _RUNS = range(5)
@@ -298,6 +299,7 @@ def _result(docs: pa.Table, replies: pa.Table, doc_id: str, text: str, keep: lis
     return pa.table(columns)
 
 
+@sets_aside(blocks.PART)
 def remove_repeated_bytes(
     docs: DataFrame,
     width: int = 50,
@@ -318,8 +320,9 @@ def remove_repeated_bytes(
     others. All input columns stay, but for those named like an added one; an empty table
     gives an empty table.
 
-    Samples are told apart by hashes (64 bits, and 64 more for their surroundings),
-    suffixes by their bytes. The largest block must fit a task, so at least the longest
+    Samples, and surroundings by which whole copies are settled without sorting, are told
+    apart by hashes of 64 bits; suffixes that are sent are compared by their bytes, those of one block by
+    64-bit hashes. The largest block must fit a task, so at least the longest
     text.
     """
     if not 0 < sample < width < 256:
@@ -327,7 +330,7 @@ def remove_repeated_bytes(
     added = ["n_bytes", "n_removed", "removed_spans", "kept_bytes"]
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in added])
     total = blocks.text_bytes(docs, text)
-    parts = blocks.in_blocks(docs, blocks.block_count(total, block_bytes), doc_id)
+    parts = blocks.in_blocks(docs, blocks.block_count(total, block_bytes), doc_id, text)
     options = {
         "doc_id": doc_id,
         "text": text,

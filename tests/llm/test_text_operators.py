@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from parcelworks.llm import bpe, decontamination, minhash_dedup, quality, substring_dedup, suffix_dedup, toxicity
+from parcelworks.llm import bpe, decontamination, minhash_dedup, quality, substring_dedup, suffix_dedup, token_counts, toxicity
 from tests.conftest import rows
 from tests.llm import plain
 
@@ -269,3 +269,73 @@ def test_quality_on_held_out_rows(spark, empty):
     assert quality.fit_and_score(empty, labels).count() == 0
     flat = quality.fit_and_score(docs, labels.where("quality = 1 and doc_id % 5 != 0"))
     assert flat.select("score").distinct().count() == 1
+
+
+def test_helper_columns_do_not_clash(spark):
+    text = " ".join(f"w{i}" for i in range(20))
+    names = ["__part", "__doc", "__mark", "__text", "__id", "__edits", "features", "__row", "__node", "hit_spans"]
+    table = [(1, text, *["x"] * len(names)), (2, text, *["y"] * len(names))]
+    frame = spark.createDataFrame(table, ["doc_id", "text", *names])
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    edits = spark.createDataFrame([(1, 0, 0, 1, "z")], "doc_id long, step int, start int, end int, new string")
+    items = spark.createDataFrame([(7, text)], "item_id long, text string")
+    for done, lost in (
+        (substring_dedup.remove_repeats(frame), ()),
+        (suffix_dedup.remove_repeated_bytes(frame), ()),
+        (minhash_dedup.near_duplicates(frame), ()),
+        (decontamination.find_contamination(frame, items, item_block_bytes=1), ("hit_spans",)),
+        (quality.fit_and_score(frame, labels), ("text",)),
+        (token_counts.count_edited(frame, edits, PATH), ("text",)),
+    ):
+        assert rows(done.select(*[n for n in names if n not in lost])) == [tuple("x" for n in names if n not in lost), tuple("y" for n in names if n not in lost)]
+
+
+def test_rows_without_an_id_spread_over_blocks(spark):
+    from parcelworks.llm import blocks
+
+    frame = spark.createDataFrame([(None, f"text {i}") for i in range(500)], "doc_id long, text string")
+    assert blocks.in_blocks(frame, 20, "doc_id", "text").select(blocks.PART).distinct().count() == 20
+
+
+def _brute_statistics(rows_, model):
+    """Scores by the densities written out: no Cholesky factors, one row at a time."""
+    import numpy as np
+
+    out = []
+    for x in rows_:
+        logs = []
+        for mean, factor, offset in zip(model.means, model.factors, model.offsets, strict=True):
+            cov = np.linalg.inv(factor.T @ factor)
+            gap = x - mean
+            prior = offset + 0.5 * np.log(np.linalg.det(cov))
+            logs.append(prior - 0.5 * np.log(np.linalg.det(cov)) - 0.5 * gap @ np.linalg.solve(cov, gap))
+        out.append(1 / (1 + np.exp(logs[0] - logs[1])))
+    return out
+
+
+def test_quality_by_densities_written_out(spark):
+    import numpy as np
+
+    r = random.Random(3)
+    texts = [" ".join(r.choice(["good", "word", "x1", "?!", "Long"]) for _ in range(r.randint(3, 40))) + ("." * (i % 2) * 9) for i in range(120)]
+    texts += ["", "y " * 60_000]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, quality int")
+    measured = quality.features(frame)
+    model = quality.train(measured, labels)
+    # The fit: moments of the labelled rows, shrunk as the docstring says.
+    seen = {x["doc_id"]: np.rint(np.array(x["features"]) * 1024) / 1024 for x in measured.collect()}
+    groups = [np.array([seen[i] for i in range(80) if i % 2 == k]) for k in (0, 1)]
+    for k in (0, 1):
+        assert np.allclose(model.means[k], groups[k].mean(axis=0))
+    spread = [np.cov(g.T, bias=True) for g in groups]
+    pooled = sum(len(g) * s for g, s in zip(groups, spread, strict=True)) / 80
+    for k in (0, 1):
+        cov = 0.9 * spread[k] + 0.1 * pooled
+        cov = 0.98 * cov + 0.02 * np.diag(np.diag(cov)) + 1e-6 * np.diag(np.diag(pooled) + 1e-6)
+        assert np.allclose(np.linalg.inv(model.factors[k].T @ model.factors[k]), cov, rtol=1e-4, atol=1e-8)
+    got = {x["doc_id"]: x["score"] for x in quality.score(measured, model).collect()}
+    raw = [np.array(x["features"]) for x in measured.orderBy("doc_id").collect()]
+    assert np.allclose([got[i] for i in sorted(got)], _brute_statistics(raw, model), atol=1e-6)
+    again = quality.train(measured.repartition(7), labels)
+    assert (again.means == model.means).all() and (again.factors == model.factors).all()
