@@ -195,17 +195,16 @@ def clean_export_a(raw: DataFrame, as_of: dt.date) -> DataFrame:
     ``duplicate_keys`` on ``charges_a`` names such shipments.
     """
     days = ["order_picked_up_date", "order_delivered_date", "rto_delivered_date"]
-    lines = (
-        raw.select(
-            "status", "courier_company", "awb_code", *days, "cod_remittance_date",
-            "cod_charges", "freight_total_amount",
-        )
-        .withColumns(_rendered(days, dates.parse_day_first))
-        .withColumn("updated_at", dates.render(F.lit(as_of)))
-    )
-    lines = map_status(lines.dropDuplicates(), "status", STATUS_A).select(*STORED_A)
-    # The check looks at the raw charges alone; it adds no rows, but stops the job if it must.
-    return lines.unionByName(_two_charges(raw).select(*[F.col(c) if c == "awb_code" else F.lit(None).alias(c) for c in STORED_A]))
+    # Repeated rows go before days are parsed; rows whose days are written in two ways, after.
+    once = raw.select(
+        "status", "courier_company", "awb_code", *days, "cod_remittance_date",
+        "cod_charges", "freight_total_amount",
+    ).dropDuplicates()
+    lines = once.withColumns(_rendered(days, dates.parse_day_first))
+    lines = lines.withColumn("updated_at", dates.render(F.lit(as_of))).dropDuplicates()
+    lines = map_status(lines, "status", STATUS_A).select(*STORED_A)
+    # The check adds no rows, but stops the job if it must.
+    return lines.unionByName(_two_charges(once).select(*[F.col(c) if c == "awb_code" else F.lit(None).alias(c) for c in STORED_A]))
 
 
 def _two_charges(raw: DataFrame) -> DataFrame:
