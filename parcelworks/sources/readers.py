@@ -15,16 +15,18 @@ from parcelworks.functions.text import blank_to_null
 from parcelworks.schemas import SALES_HEADERS, SALES_TIMES, text_schema
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header and a given schema; quoted cells may span lines.
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, spans_lines: bool = True) -> DataFrame:
+    """CSV with a header and a given schema.
 
-    Columns are matched by header, whatever their order in the file.
+    Columns are matched by header, whatever their order in the file. Where quoted cells
+    may span lines, a file is read by one task; ``spans_lines=False`` says that none does, and
+    large files are split.
     """
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", False)
-        .option("multiLine", True)
+        .option("multiLine", spans_lines)
         .option("escape", '"')
         .csv(path)
     )
@@ -46,9 +48,11 @@ def text_cells(df: DataFrame) -> DataFrame:
     )
 
 
-def read_text_table(spark: SparkSession, path: str, headers: dict[str, str]) -> DataFrame:
+def read_text_table(
+    spark: SparkSession, path: str, headers: dict[str, str], spans_lines: bool = True
+) -> DataFrame:
     """A sheet saved as CSV: every cell is text, blanks are null, columns get their names."""
-    return renamed(text_cells(read_csv(spark, path, text_schema(headers))), headers)
+    return renamed(text_cells(read_csv(spark, path, text_schema(headers), spans_lines)), headers)
 
 
 def typed_sales(df: DataFrame) -> DataFrame:

@@ -74,3 +74,17 @@ def test_a_large_archive_is_streamed(tmp_path):
     assert count == 300_000 and most < 4 * archives._BLOCK
     assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 100_000  # KB
     assert pa.total_allocated_bytes() < 64 << 20
+
+
+def test_sheets_without_spanning_cells_are_split(spark, tmp_path):
+    path = tmp_path / "sheet.csv"
+    path.write_text("Suborder No,Message,Price\n" + "".join(f'{i},"a, b",{i}\n' for i in range(60_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        whole = readers.read_text_table(spark, str(path), HEADERS)
+        split = readers.read_text_table(spark, str(path), HEADERS, spans_lines=False)
+        assert whole.rdd.getNumPartitions() == 1 and split.rdd.getNumPartitions() > 3
+        assert rows(split) == rows(whole) and split.count() == 60_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
