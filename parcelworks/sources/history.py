@@ -5,7 +5,8 @@ is partitioned by bucket, ``finished`` by bucket and by the batch that finished
 refresh reads the buckets of its own keys. Of these it replaces the open rows, and adds
 finished rows as partitions of its own batch; the finished rows of earlier batches, which are most of
 a history, are only asked about their keys, and rewritten only where a shipment with
-finished rows was open again. Files of other buckets stay as they are.
+finished rows was open again. Files of other buckets stay as they are. ``compact`` puts the
+finished rows of many batches together in a folder of its own.
 
 Partitions are replaced one after the other and the batch is logged last, so a refresh
 that failed half-way is repeated: it looks at nothing that its own batch has written, and
@@ -14,6 +15,8 @@ ends with the same rows. A logged batch changes nothing any more. One refresh ru
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,24 +28,35 @@ from parcelworks.session import stage_table
 from parcelworks.sources.sinks import append_rows, replace_partitions
 
 BUCKET, BATCH = "bucket", "batch"
-_LOG = "batch bigint, buckets int, columns string"
+_LOG = "batch bigint, step int, buckets int, columns string, finished string"
 _PARTS = T.StructType([T.StructField(BUCKET, T.IntegerType()), T.StructField(BATCH, T.LongType())])
 
 
-def _state(spark: SparkSession, root: str) -> tuple[int, int, T.StructType] | None:
-    """Last batch, number of buckets and columns of a history; None if there is none."""
+@dataclass(frozen=True)
+class _State:
+    """The last logged state: batch, what was done since, buckets, columns, folder of finished rows."""
+
+    batch: int
+    step: int
+    buckets: int
+    columns: T.StructType
+    finished: str
+
+
+def _state(spark: SparkSession, root: str) -> _State | None:
     try:
         log = spark.read.schema(_LOG).parquet(f"{root}/_batches")
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    row = log.orderBy(F.desc("batch")).first()
-    return None if row is None else (row["batch"], row["buckets"], T.StructType.fromDDL(row["columns"]))
+    row = log.orderBy(F.desc("batch"), F.desc("step")).first()
+    return None if row is None else _State(*row[:3], T.StructType.fromDDL(row["columns"]), row["finished"])
 
 
-def _log(spark: SparkSession, root: str, batch: int, buckets: int, columns: T.StructType) -> None:
-    append_rows(spark.createDataFrame([(batch, buckets, columns.toDDL())], _LOG), f"{root}/_batches")
+def _log(spark: SparkSession, root: str, state: _State) -> None:
+    row = (state.batch, state.step, state.buckets, state.columns.toDDL(), state.finished)
+    append_rows(spark.createDataFrame([row], _LOG), f"{root}/_batches")
 
 
 def _is_open():
@@ -74,7 +88,7 @@ def start_history(rows: DataFrame, root: str, key: str, buckets: int = 64) -> No
     dealt = stage_table(_dealt(rows, key, buckets, 0), "history")
     replace_partitions(dealt.where(_is_open()), f"{root}/open", [BUCKET], [])
     replace_partitions(dealt.where(~_is_open()), f"{root}/finished", [BUCKET, BATCH], [])
-    _log(spark, root, 0, buckets, rows.schema)
+    _log(spark, root, _State(0, 0, buckets, rows.schema, "finished"))
 
 
 def read_history(spark: SparkSession, root: str) -> DataFrame:
@@ -82,7 +96,7 @@ def read_history(spark: SparkSession, root: str) -> DataFrame:
     state = _state(spark, root)
     if state is None:
         raise FileNotFoundError(f"no history under {root}")
-    parts = [_stored(spark, root, part, state[2], state[0] + 1) for part in ("open", "finished")]
+    parts = [_stored(spark, root, part, state.columns, state.batch + 1) for part in ("open", state.finished)]
     return parts[0].unionByName(parts[1]).drop(BUCKET, BATCH)
 
 
@@ -96,15 +110,15 @@ def refresh(new: DataFrame, root: str, key: str, batch: int | None = None) -> in
     state = _state(spark, root)
     if state is None:
         raise FileNotFoundError(f"no history under {root}")
-    last, buckets, columns = state
-    batch = last + 1 if batch is None else batch
-    if batch <= last:
-        return last
-    fresh = stage_table(_dealt(new, key, buckets, batch), "refresh")
+    batch = state.batch + 1 if batch is None else batch
+    if batch <= state.batch:
+        return state.batch
+    columns, done_at = state.columns, f"{root}/{state.finished}"
+    fresh = stage_table(_dealt(new, key, state.buckets, batch), "refresh")
     touched = sorted(r[0] for r in fresh.select(BUCKET).distinct().collect())
     here = F.col(BUCKET).isin(touched)
     opened = _stored(spark, root, "open", columns, batch).where(here)
-    finished = _stored(spark, root, "finished", columns, batch).where(here)
+    finished = _stored(spark, root, state.finished, columns, batch).where(here)
 
     asked = fresh.where(F.col(key).isNotNull()).select(key).distinct()
     renewed = stage_table(opened.select(key).join(asked, key, "left_semi").distinct(), "renewed")
@@ -116,11 +130,29 @@ def refresh(new: DataFrame, root: str, key: str, batch: int | None = None) -> in
     added = anti_join(fresh, frozen, key)
     rows = stage_table(anti_join(opened, renewed, key).unionByName(added, allowMissingColumns=True), "history")
     done = rows.where(~_is_open() & (F.col(BATCH) == batch))
-    replace_partitions(done, f"{root}/finished", [BUCKET, BATCH], [])
+    replace_partitions(done, done_at, [BUCKET, BATCH], [])
     if reopened:
         theirs = F.struct(BUCKET, BATCH).isin([F.struct(F.lit(b).cast("int"), F.lit(n).cast("bigint")) for b, n in reopened])
         kept = stage_table(anti_join(finished.where(theirs), renewed, key), "finished")
-        replace_partitions(kept, f"{root}/finished", [BUCKET, BATCH], reopened)
+        replace_partitions(kept, done_at, [BUCKET, BATCH], reopened)
     replace_partitions(rows.where(_is_open()), f"{root}/open", [BUCKET], [(b,) for b in touched])
-    _log(spark, root, batch, buckets, T.StructType([f for f in rows.schema.fields if f.name not in (BUCKET, BATCH)]))
+    held = T.StructType([f for f in rows.schema.fields if f.name not in (BUCKET, BATCH)])
+    _log(spark, root, replace(state, batch=batch, step=0, columns=held))
     return batch
+
+
+def compact(spark: SparkSession, root: str) -> str:
+    """Put the finished rows of all batches together, one partition per bucket, and return their folder.
+
+    They are written to a new folder, which is logged last: until then the old one counts. It
+    stays for readers that began before; it is the job's to remove. No refresh may run meanwhile.
+    """
+    state = _state(spark, root)
+    if state is None:
+        raise FileNotFoundError(f"no history under {root}")
+    folder = f"finished-{state.batch}-{state.step + 1}"
+    rows = _stored(spark, root, state.finished, state.columns, state.batch + 1)
+    one = rows.withColumn(BATCH, F.lit(state.batch).cast("bigint"))
+    replace_partitions(one, f"{root}/{folder}", [BUCKET, BATCH], [])
+    _log(spark, root, replace(state, step=state.step + 1, finished=folder))
+    return folder

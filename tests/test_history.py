@@ -65,13 +65,32 @@ def test_untouched_files_stay(spark, tmp_path):
 def test_a_refresh_reads_touched_buckets_only(spark, tmp_path):
     root = str(tmp_path / "history")
     history.start_history(spark.createDataFrame([(f"k{i}", OPEN, 0) for i in range(40)], SCHEMA), root, "k", buckets=8)
-    part = history._stored(spark, root, "open", history._state(spark, root)[2], 1).where(F.col("bucket").isin([3, 5]))
+    part = history._stored(spark, root, "open", history._state(spark, root).columns, 1).where(F.col("bucket").isin([3, 5]))
     scan = next(line for line in part._jdf.queryExecution().explainString(_formatted(spark)).splitlines() if "PartitionFilters" in line)
     assert "bucket" in scan
     read = {r[0].split("bucket=")[1][0] for r in part.select(F.input_file_name()).collect()}
     assert read == {"3", "5"}
 
 
+def test_compaction_keeps_all_rows(spark, tmp_path):
+    root = str(tmp_path / "history")
+    history.start_history(spark.createDataFrame([(f"k{i}", OPEN, 0) for i in range(12)], SCHEMA), root, "k", buckets=2)
+    for n in range(1, 4):
+        history.refresh(spark.createDataFrame([(f"k{n}", DONE, n), (f"k{n + 6}", DONE, n)], SCHEMA), root, "k")
+    before = rows(history.read_history(spark, root))
+    folder = history.compact(spark, root)
+    assert rows(history.read_history(spark, root)) == before
+    assert {p.parent.name for p in Path(root, folder).rglob("*.parquet")} == {"batch=3"}
+    # Refreshes go on behind it, with the batch numbers that they would have had.
+    assert history.refresh(spark.createDataFrame([("k1", OPEN, 9), ("k0", DONE, 9)], SCHEMA), root, "k", batch=4) == 4
+    got = dict((k, v) for k, _, v in rows(history.read_history(spark, root)))
+    assert (got["k1"], got["k0"], len(got)) == (1, 9, 12)
+    history.compact(spark, root)
+    assert history.compact(spark, root) == "finished-4-2" and history.read_history(spark, root).count() == 12
+    with pytest.raises(FileNotFoundError):
+        history.compact(spark, str(tmp_path / "none"))
+
+
 def test_a_bucket_may_become_empty_and_a_batch_is_repeated(spark, tmp_path, monkeypatch):
     root = str(tmp_path / "history")
     old = [("a", OPEN, 0), ("a", DONE, 0), ("b", DONE, 0), (None, OPEN, 0)]
