@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from parcelworks.llm import blocks, kernel
 from parcelworks.llm.components import components
 from parcelworks.llm.names import sets_aside
-from parcelworks.session import stage_table
+from parcelworks.session import stage_bucketed, stage_table
 
 U = np.uint64
 COORDINATES = 64
@@ -37,7 +37,7 @@ _SUMMARY = "doc bigint, mark bigint, n_shingles bigint, print binary, signature
 )
 _SET_BYTES = 6
 #: Names of at most so many texts (24 bytes each) are broadcast.
-_BROADCAST_ROWS = 500_000
+_BROADCAST_ROWS = 1_000_000
 _STAR_ROUNDS = 3
 #: Leaders are only tried where so many coordinates agree; the last step tries all that may be links.
 _ALIKE = 42
@@ -197,6 +197,8 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 good.append(100 * both >= percent * (len(p) + len(q) - both))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
+    # Written, so that their measured size decides how they get to the sets.
+    pairs = stage_table(pairs.select("a", "b"), "pairs")
     return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a bigint, b bigint")
 
 
@@ -270,8 +272,12 @@ class _Tokens:
         more = np.minimum.reduceat(kind, begin) | np.maximum.reduceat(kind, begin) << 8 | count << 16
         return blocks.ask(0, self.part, self.bucket, blocks.as_bytes((self.keys.key, key_bytes), (more.astype(U), 3)))
 
-    def choose(self, replies: pa.Table, percent: int, matches: int) -> tuple[np.ndarray, np.ndarray]:
-        """(row, coordinate) of the postings that can decide, the rarest of each set."""
+    def choose(self, replies: pa.Table, percent: int, matches: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, coordinate) of the postings that can decide, the rarest of each set, and each row's reach.
+
+        The reach says how widely the values of all coordinates are held: of the copies of a text, the
+        text itself has the greatest.
+        """
         held, low, high = blocks.payload(0, self.bucket, replies, 3)[self.keys.index].astype(np.int64).T
         kind = self.kind[self.row]
         # Of two holders the other one is known.
@@ -286,7 +292,7 @@ class _Tokens:
         bounds = np.searchsorted(row, np.arange(len(self.node) + 1))
         place = np.arange(len(order)) - bounds[row]
         order = order[place <= np.diff(bounds)[row] - matches]
-        return self.row[order], order % COORDINATES
+        return self.row[order], order % COORDINATES, np.bincount(self.row, held, len(self.node)).astype(np.int64)
 
 
 def _weight(held: np.ndarray) -> np.ndarray:
@@ -315,7 +321,7 @@ def _settle_tokens(requests: pa.Table, key_bytes: int) -> pa.Table:
 
 
 def _postings(nodes: DataFrame, percent: int, matches: int, block_rows: int) -> DataFrame:
-    """(node, token) of the rarest shared postings that can decide, all of a node in ``tokens``.
+    """(node, token, reach) of the rarest shared postings that can decide, all of a node in ``tokens``.
 
     Blocks of sets ask how often each (coordinate, value) is held anywhere and how large
     its holders are; one that no set of fitting size shares is not posted.
@@ -332,27 +338,35 @@ def _postings(nodes: DataFrame, percent: int, matches: int, block_rows: int) ->
         if not len(table):
             return pa.table({})
         tokens = _Tokens(table, buckets)
-        row, coordinate = tokens.choose(replies, percent, matches)
+        row, coordinate, reach = tokens.choose(replies, percent, matches)
         token = coordinate.astype(np.int64) << 32 | tokens.value[row, coordinate].view(np.uint32).astype(np.int64)
-        return pa.table({"node": tokens.node[row], "token": token})
+        return pa.table({"node": tokens.node[row], "token": token, "reach": reach[row]})
 
     replies = blocks.exchange(parts, None, ask, lambda requests: _settle_tokens(requests, key_bytes))
-    return blocks.each_block(parts, replies, choose, "node bigint, token bigint")
+    return blocks.each_block(parts, replies, choose, "node bigint, token bigint, reach bigint")
 
 
 def _grouped(postings: DataFrame, known: DataFrame | None, turn: int) -> DataFrame:
-    """Postings of lists that hold several groups, with the leader: a member of the largest group."""
+    """Postings of lists that hold several groups, with the leader of each list and its group, ``main``.
+
+    That is the largest group and its member of the widest reach; in later turns any member
+    of it and, in every other turn, of any group.
+    """
     if known is None:
         named = postings.withColumn("component", F.col("node")).withColumn("size", F.lit(1).cast("bigint"))
     else:
         sizes = known.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
         named = postings.join(known.join(sizes, "component"), "node", "left")
         named = named.withColumns({"component": F.coalesce("component", "node"), "size": F.coalesce("size", F.lit(1))})
-    order = F.struct(-F.col("size"), "component", F.xxhash64("node", F.lit(turn)))
+    any_one = F.xxhash64("node", F.lit(turn))
+    if turn % 2:
+        order = F.struct(F.xxhash64("component", F.lit(turn)), any_one)
+    else:
+        order = F.struct(-F.col("size"), F.lit(0) if turn else -F.col("reach"), "component" if turn else F.lit(0), any_one)
     lists = (
         named.groupBy("token")
         .agg(
-            F.min_by(F.struct(F.col("node").alias("leader"), F.col("component").alias("main")), order).alias("first"),
+            F.min_by(F.struct(F.col("node").alias("leader"), F.col("component").alias("main"), F.col("reach").alias("width")), order).alias("first"),
             F.min("component").alias("low"),
             F.max("component").alias("high"),
         )
@@ -362,10 +376,14 @@ def _grouped(postings: DataFrame, known: DataFrame | None, turn: int) -> DataFra
     return named.drop("size").join(lists, "token")
 
 
-def _nearest_leaders(grouped: DataFrame, nodes: DataFrame, matches: int) -> DataFrame:
-    """Each set outside the largest group of a list with the leader it meets most often, if they look alike."""
-    met = grouped.where("component != main").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("n"))
-    most = met.groupBy("node").agg(F.max_by("leader", F.struct("n", "leader")).alias("leader"))
+def _nearest_leaders(grouped: DataFrame, nodes: DataFrame, matches: int, widest: bool) -> DataFrame:
+    """Each set outside the largest group of a list with one leader, if they look alike.
+
+    In the first turn that is the leader of the widest reach, then the one it meets most often.
+    """
+    met = grouped.where("component != main").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("n"), F.max("width").alias("width"))
+    first = "width" if widest else "n"
+    most = met.groupBy("node").agg(F.max_by("leader", F.struct(first, "n", "leader")).alias("leader"))
     left = nodes.select("node", *_SKETCH).alias("x")
     right = nodes.select(F.col("node").alias("leader"), *_SKETCH).alias("y")
     alike = most.join(left, "node").join(right, "leader").where(f"{_agreement('x', 'y')} >= {matches}")
@@ -374,12 +392,12 @@ def _nearest_leaders(grouped: DataFrame, nodes: DataFrame, matches: int) -> Data
 
 def _open(grouped: DataFrame, nodes: DataFrame, percent: int, matches: int) -> DataFrame:
     """Postings with another group's set in the same list that may be near."""
-    rows = grouped.select("token", "node", "component").join(nodes.select("node", "n_shingles", *_SKETCH), "node")
+    rows = grouped.select("token", "node", "component", "reach").join(nodes.select("node", "n_shingles", *_SKETCH), "node")
     test = (
         "x.token = y.token and x.component != y.component"
         f" and {_fits(percent)} and {_agreement('x', 'y')} >= {matches}"
     )
-    return rows.alias("x").join(rows.alias("y"), F.expr(test), "left_semi").select("node", "token")
+    return rows.alias("x").join(rows.alias("y"), F.expr(test), "left_semi").select("node", "token", "reach")
 
 
 def _cross_pairs(rows: DataFrame, percent: int, matches: int) -> DataFrame:
@@ -410,7 +428,7 @@ def _apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
     return named.where("of_a != of_b").select("a", "b", "agree", low.alias("low"), high.alias("high"))
 
 
-@sets_aside("__doc", "__mark")
+@sets_aside("__doc", "__mark", "__id", "__hash")
 def near_duplicates(
     docs: DataFrame,
     shingle: int = 5,
@@ -453,7 +471,9 @@ def near_duplicates(
         .select(F.col("doc").alias("__doc"), F.col("mark").alias("__mark"), "n_shingles", "component_id")
     )
     own = F.col(f"`{doc_id}`").cast("bigint")
-    joined = docs.join(result, (own == F.col("__doc")) & (F.xxhash64(text) == F.col("__mark")), "left")
+    # Hashed before the join, so that a text that nobody selects is not shuffled.
+    marked = docs.withColumns({"__id": own, "__hash": F.xxhash64(text)})
+    joined = marked.join(result, (F.col("__id") == F.col("__doc")) & (F.col("__hash") == F.col("__mark")), "left")
     component = F.coalesce("component_id", own)
     return joined.select(
         *[F.col(f"`{c}`") for c in docs.columns],
@@ -476,14 +496,20 @@ def _components(
         "nodes",
     )
     postings = stage_table(_postings(nodes, percent, matches, block_rows), "postings")
+    # Most sets that share postings are like none of those they share them with: they end here.
+    alone = postings.withColumn("component", F.col("node"))
+    postings = stage_table(_open(alone, nodes, percent, matches), "near")
     lists = postings.groupBy("node").agg(F.collect_list("token").alias("tokens"))
     posted = stage_table(nodes.join(lists, "node").select("node", "least.*", "n_shingles", "tokens", *_SKETCH), "posted")
-    sets = stage_table(_full_sets(docs, posted.select("node", "doc", "mark"), shingle, doc_id, text, batch_bytes), "sets")
+    # Every round looks up sets, so they lie in buckets and only pairs travel.
+    wanted = stage_table(posted.select("node", "doc", "mark"), "wanted")
+    sets = _full_sets(docs, wanted, shingle, doc_id, text, batch_bytes)
+    sets = stage_bucketed(sets, "sets", "node", blocks.block_count(posted.count(), block_rows))
 
     # One round over all lists; then only postings go on that another group may still reach.
     known, links = None, None
     for turn in range(_STAR_ROUNDS):
-        pairs = _nearest_leaders(_grouped(postings, known, turn), posted, max(matches, _ALIKE))
+        pairs = _nearest_leaders(_grouped(postings, known, turn), posted, max(matches, _ALIKE), not turn)
         good = _confirm(pairs, sets, percent)
         links = stage_table(good if links is None else links.unionByName(good), "links")
         known = stage_table(components(links), "known")
@@ -491,7 +517,7 @@ def _components(
             postings = stage_table(_open(_grouped(postings, known, 0), posted, percent, matches), "open")
 
     judged = posted.select("node", "n_shingles", "tokens", *_SKETCH).join(sets.select("node", "bits"), "node")
-    rows = _grouped(postings, known, 0).drop("leader").join(judged, "node")
+    rows = _grouped(postings, known, 0).drop("leader", "width", "reach").join(judged, "node")
     # The likeliest pair of any two groups first: where it is a link, the others need no look.
     pairs = stage_table(_cross_pairs(rows, percent, matches), "cross")
     order = F.struct("agree", "a", "b")

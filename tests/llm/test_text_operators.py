@@ -121,12 +121,30 @@ def test_loser_tree_merges_and_never_forgets_prefixes():
         assert n == shared
 
 
-@pytest.mark.parametrize("size", [2, 5])
-def test_near_copies(docs, size):
-    got = rows(minhash_dedup.near_duplicates(docs, shingle=size), "doc_id", "n_shingles", "component_id", "kept")
+@pytest.mark.parametrize(("size", "block_rows"), [(2, 8192), (5, 8192), (2, 5)])
+def test_near_copies(docs, size, block_rows):
+    got = rows(minhash_dedup.near_duplicates(docs, shingle=size, block_rows=block_rows), "doc_id", "n_shingles", "component_id", "kept")
     assert got == sorted(plain.near_copies(DOCS, size, 80), key=repr)
 
 
+def test_a_text_brings_its_copies_together(spark):
+    """Copies that are alike through the text they were made of alone, and two groups that nearly are."""
+    r = random.Random(12)
+    table = []
+    for base in range(2):
+        words = [f"b{base}w{i}" for i in range(120)]
+        table.append(words)
+        for _ in range(40):
+            copy = list(words)
+            for at in r.sample(range(120), 5):
+                copy[at] = f"x{r.randrange(10**6)}"
+            table.append(copy)
+    docs = [(1000 - i, " ".join(w)) for i, w in enumerate(table)]
+    got = rows(minhash_dedup.near_duplicates(_frame(spark, docs), shingle=2, block_rows=20), "doc_id", "n_shingles", "component_id", "kept")
+    assert got == sorted(plain.near_copies(docs, 2, 80), key=repr)
+    assert len({c for _, _, c, _ in got}) == 2
+
+
 def test_near_copies_of_odd_tables(spark, empty):
     found = minhash_dedup.near_duplicates(empty)
     assert found.count() == 0 and "kept" in found.columns
