@@ -194,7 +194,7 @@ def train(
     flat: float = 1e-5,
     doc_id: str = "doc_id",
     text: str = "text",
-    batch_bytes: int = 2 << 20,
+    batch_bytes: int = 1 << 19,
 ) -> Model:
     """Fit on at most ``most_rows`` labelled documents, picked by a hash of the id.
 
@@ -229,7 +229,7 @@ def train(
     return Model(sizes, weights, float(point[-1]))
 
 
-def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score", batch_bytes: int = 2 << 20) -> DataFrame:
+def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score", batch_bytes: int = 1 << 19) -> DataFrame:
     """Add ``out``, 0 to 1, higher where label 1 is likelier; it looks at the whole text alone.
 
     Null and empty texts, and texts shorter than every n-gram, get the bias alone. An

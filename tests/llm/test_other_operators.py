@@ -217,7 +217,8 @@ def test_query(spark, name):
             database.execute(f"create view {path.stem} as select * from '{path}'")
         cursor = database.execute(ORACLE[name])
         assert got == _sorted(cursor.fetchall(), [c[0] for c in cursor.description])
-    assert len(got) == {"op2_chat_format": 21, "op5_embedding_dedup": 500}.get(name, 200)
+    if name != "op13_phrases":  # its rows are phrases
+        assert len(got) == {"op2_chat_format": 21, "op5_embedding_dedup": 500}.get(name, 200)
 
 
 @needs_tables
