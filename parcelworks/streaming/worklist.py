@@ -1,11 +1,14 @@
-"""Keys to ask the carriers about, as a stream: state and a timer for each shipment.
+"""Keys to ask the carriers about, as a stream: state of each shipment, a timer for each block of them.
 
 What the batch ``tracking_worklist`` finds by going through all lines and shipments, the
 stream knows from the few days and the last status that it holds of a shipment. On every
-poll day a shipment's timer comes due and says whether to ask for it; a shipment that is
+poll day a timer comes due and says which shipments to ask for; a shipment that is
 neither recent nor under way leaves the state. Timers follow the watermark, so late and
 repeated events count up to the allowed delay.
 
+Shipments lie in blocks by the hash of their key, and a call sees a block, since a call per
+shipment costs a hundred times what it does.
+
 At scale the state belongs in RocksDB (``spark.sql.streaming.stateStore.providerClass``).
 """
 
@@ -25,7 +28,7 @@ from parcelworks.operators.carriers import ACTIVE
 WINDOW_DAYS = 30
 _DAY_MS = 86_400_000
 _EPOCH = dt.date(1970, 1, 1)
-_STATE = "poll int, days array<int>, times array<bigint>, statuses array<string>"
+_STATE = "keys array<string>, polls array<int>, days array<array<int>>, times array<array<bigint>>, statuses array<array<string>>"
 _DUE = "awb_no string, poll_day date"
 
 
@@ -80,12 +83,14 @@ class _Shipment:
         return (self.poll, sorted(self.days), [t for t, _ in pairs], [s for _, s in pairs])
 
 
-def due_keys(events: DataFrame, polls: list[dt.date], delay: str = "2 days") -> DataFrame:
+def due_keys(events: DataFrame, polls: list[dt.date], delay: str = "2 days", blocks: int = 2048) -> DataFrame:
     """``awb_no`` and ``poll_day`` of every key to ask for, on each of the ``polls`` in turn.
 
     On a poll day that is a key with a line of the 30 days before it, or whose last status
     before it is active: what ``tracking_worklist`` gives for the data known on that day. A
     key is emitted once the watermark (latest event less ``delay``) has reached the day.
+    A task holds the shipments of one of the ``blocks`` at a time; their number stays the same
+    as long as the stream's checkpoint does.
     """
     days = sorted({_days(p) for p in polls})
     if not days:
@@ -94,39 +99,48 @@ def due_keys(events: DataFrame, polls: list[dt.date], delay: str = "2 days") ->
     def after(ms: int) -> int | None:
         return next((d for d in days if d * _DAY_MS > ms), None)
 
-    def step(key: tuple[str], rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    def step(key: tuple[int], rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         watermark = state.getCurrentWatermarkMs()
+        first = after(watermark)
+        shipments: dict[str, _Shipment] = {}
         if state.exists:
-            shipment = _Shipment(*[list(x) if i else x for i, x in enumerate(state.get)])
-        else:
-            first = after(watermark)
-            if first is None:
-                return
-            shipment = _Shipment(first, [], [], [])
+            shipments = {awb: _Shipment(*held) for awb, *held in zip(*state.get, strict=True)}
+        touched = set()
         for part in rows:
-            for ms, status in zip(part["ms"].tolist(), part["mapped_status"].tolist(), strict=True):
+            for awb, ms, status in zip(part["awb_no"].tolist(), part["ms"].tolist(), part["mapped_status"].tolist(), strict=True):
+                if awb not in shipments:
+                    if first is None:
+                        continue
+                    shipments[awb] = _Shipment(first, [], [], [])
+                touched.add(awb)
                 if status is None:
-                    shipment.days.add(ms // _DAY_MS)
+                    shipments[awb].days.add(ms // _DAY_MS)
+                else:
+                    shipments[awb].statuses.add((ms, status))
+        due: list[tuple[str, dt.date]] = []
+        for awb, shipment in list(shipments.items()):
+            if awb not in touched and shipment.poll * _DAY_MS > watermark:
+                continue
+            alive = shipment.forget()
+            while alive and shipment.poll * _DAY_MS <= watermark:
+                if shipment.due():
+                    due.append((awb, _EPOCH + dt.timedelta(days=shipment.poll)))
+                following = after(shipment.poll * _DAY_MS)
+                if following is None:
+                    alive = False
                 else:
-                    shipment.statuses.add((ms, status))
-        due: list[int] = []
-        alive = shipment.forget()
-        while alive and shipment.poll * _DAY_MS <= watermark:
-            if shipment.due():
-                due.append(shipment.poll)
-            following = after(shipment.poll * _DAY_MS)
-            if following is None:
-                alive = False
-            else:
-                shipment.poll = following
-                alive = shipment.forget()
-        if alive:
-            state.update(shipment.stored())
-            state.setTimeoutTimestamp(shipment.poll * _DAY_MS)
+                    shipment.poll = following
+                    alive = shipment.forget()
+            if not alive:
+                del shipments[awb]
+        if shipments:
+            state.update((list(shipments), *[list(c) for c in zip(*[s.stored() for s in shipments.values()], strict=True)]))
+            state.setTimeoutTimestamp(min(s.poll for s in shipments.values()) * _DAY_MS)
         elif state.exists:
             state.remove()
         if due:
-            yield pd.DataFrame({"awb_no": [key[0]] * len(due), "poll_day": [_EPOCH + dt.timedelta(days=d) for d in due]})
+            yield pd.DataFrame(due, columns=["awb_no", "poll_day"])
 
     timed = events.withWatermark("time", delay).withColumn("ms", F.unix_millis("time"))
-    return timed.groupBy("awb_no").applyInPandasWithState(step, _DUE, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    dealt = timed.withColumn("block", F.pmod(F.xxhash64("awb_no"), F.lit(blocks)).cast("int"))
+    return dealt.groupBy("block").applyInPandasWithState(step, _DUE, _STATE, "append", GroupStateTimeout.EventTimeTimeout)

@@ -65,3 +65,25 @@ def test_stream_gives_the_batch_worklist(spark, tmp_path):
     assert got == sorted(want, key=repr) and len({p for _, p in got}) == 3
     # Nothing is left of the shipments once the last poll is over.
     assert left == 0
+
+
+def test_shipments_share_the_state_of_their_block(spark, tmp_path):
+    at = dt.datetime(2024, 2, 20)
+    table = [(f"A{k}", at, None) for k in range(300)] + [(f"A{k}", at, "active") for k in range(0, 300, 3)]
+    spark.createDataFrame(table, SCHEMA).write.parquet(f"{tmp_path}/in")
+
+    def run():
+        stream = spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/in")
+        due = worklist.due_keys(stream, POLLS, delay="3 days", blocks=4)
+        query = due.writeStream.format("parquet").option("path", f"{tmp_path}/due").option("checkpointLocation", f"{tmp_path}/chk")
+        going = query.trigger(availableNow=True).start()
+        going.awaitTermination()
+        return going.lastProgress["stateOperators"][0]["numRowsTotal"]
+
+    assert run() == 4
+    # A later event of one shipment makes the others of all blocks due.
+    spark.createDataFrame([("A1", dt.datetime(2024, 4, 5), "status_completed")], SCHEMA).write.mode("append").parquet(f"{tmp_path}/in")
+    assert run() == 4
+    got = rows(spark.read.parquet(f"{tmp_path}/due"), "awb_no", "poll_day")
+    want = [(f"A{k}", POLLS[0]) for k in range(300)] + [(f"A{k}", POLLS[1]) for k in range(0, 300, 3)]
+    assert got == sorted(want, key=repr)
