@@ -483,3 +483,10 @@ def test_export_view(spark):
     shown = sinks.export_view(df, schemas.HEADERS)
     assert shown.columns == ["Suborder No", "total_charges", "O2S"]
     assert tuple(shown.first()) == ("1", "no_cost_avl", "")
+
+
+def test_csv_may_be_compressed(spark, tmp_path):
+    df = spark.createDataFrame([("a,b", 'x "y"\nz'), (None, " ")], "s string, t string")
+    sinks.write_csv(df, f"{tmp_path}/csv", compression="gzip")
+    assert [p.name for p in (tmp_path / "csv").glob("part-*") if not p.name.endswith(".csv.gz")] == []
+    assert rows(readers.read_csv(spark, f"{tmp_path}/csv", df.schema).where("s is not null")) == [("a,b", 'x "y"\nz')]
