@@ -2,14 +2,15 @@
 
 ``spark.dataSource.register(ZippedCsv)`` makes it known to a session as ``zipped_csv``. The
 reader never holds an archive or a member: it seeks in the file for the list of members,
-inflates the wanted one as it goes, and hands on Arrow batches. The writer streams each
-partition into one archive.
+inflates the wanted one as it goes, and hands on Arrow batches. The writer streams the Arrow
+batches of each partition into one archive.
 """
 
 from __future__ import annotations
 
-import csv
+import datetime as dt
 import io
+import itertools
 import zipfile
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -17,8 +18,8 @@ from dataclasses import dataclass
 import pyarrow as pa
 import pyarrow.csv as pa_csv
 from pyarrow import fs
-from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
 from parcelworks.schemas import text_schema
@@ -107,14 +108,27 @@ class _Reader(DataSourceReader):
                     yield pa.RecordBatch.from_arrays(part.columns, schema=schema)
 
 
-class _Writer(DataSourceWriter):
+def _cell(value: object) -> str | None:
+    if isinstance(value, dt.datetime) and value.tzinfo is not None:
+        value = value.astimezone().replace(tzinfo=None)
+    return None if value is None else str(value)
+
+
+def _cells(column: pa.Array) -> pa.Array:
+    """Values as text; a null is an empty cell."""
+    if not pa.types.is_string(column.type):
+        column = pa.array([_cell(v) for v in column.to_pylist()], pa.string())
+    return column.fill_null("")
+
+
+class _Writer(DataSourceArrowWriter):
     def __init__(self, schema: StructType, folder: str, member: str) -> None:
         self.columns, self.folder, self.member = schema.fieldNames(), folder, member
 
-    def write(self, rows: Iterator[Row]) -> _Written:
+    def write(self, batches: Iterator[pa.RecordBatch]) -> _Written:
         from pyspark import TaskContext
 
-        first = next(rows, None)
+        first = next((b for b in batches if len(b)), None)
         if first is None:
             return _Written(None)
         task = TaskContext.get()
@@ -122,12 +136,11 @@ class _Writer(DataSourceWriter):
         storage.create_dir(place)
         # Tries of one task write different files; only the one that is committed gets its name.
         path = f"{place}/_try-{task.partitionId():05d}-{task.taskAttemptId()}"
-        with storage.open_output_stream(path) as file, zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED) as archive:
-            with archive.open(self.member, "w", force_zip64=True) as member, io.TextIOWrapper(member, "utf-8", newline="") as text:
-                out = csv.writer(text, lineterminator="\n")
-                out.writerow(self.columns)
-                out.writerow(first)
-                out.writerows(rows)
+        with storage.open_output_stream(path) as file, zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as archive:
+            schema = pa.schema([(c, pa.string()) for c in self.columns])
+            with archive.open(self.member, "w", force_zip64=True) as member, pa_csv.CSVWriter(pa.PythonFile(member, "w"), schema) as out:
+                for batch in itertools.chain([first], batches):
+                    out.write(pa.RecordBatch.from_arrays([_cells(c) for c in batch.columns], schema=schema))
         return _Written(path)
 
     def commit(self, messages: list[_Written | None]) -> None:

@@ -1,6 +1,7 @@
 """Zipped CSV archives: written, read back as a stream, never held whole."""
 
 import resource
+import datetime as dt
 import zipfile
 
 import pyarrow as pa
@@ -88,3 +89,19 @@ def test_sheets_without_spanning_cells_are_split(spark, tmp_path):
         assert rows(split) == rows(whole) and split.count() == 60_000
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_archives_are_written_from_arrow_batches(spark, tmp_path):
+    from pyspark.sql.datasource import DataSourceArrowWriter
+
+    assert issubclass(archives._Writer, DataSourceArrowWriter)
+    day = dt.datetime(2024, 5, 1, 10, 30)
+    table = [("a,b", 1, 2.5, True, day, day.date()), (None, None, None, None, None, None), ('x "y"\nz', -3, 0.1, False, day, day.date())]
+    path = str(tmp_path / "out")
+    kinds = "s string, n long, v double, b boolean, t timestamp, d date"
+    archives.write_zipped_csv(spark.createDataFrame(table, kinds), path)
+    got = rows(archives.read_zipped_csv(spark, path, ["s", "n", "v", "b", "t", "d"]))
+    assert got == sorted([tuple(None if v is None else str(v) for v in row) for row in table], key=repr)
+    # A row of one empty cell is no empty line.
+    archives.write_zipped_csv(spark.createDataFrame([("a",), (None,)], "s string").coalesce(1), str(tmp_path / "one"))
+    assert rows(archives.read_zipped_csv(spark, str(tmp_path / "one"), ["s"])) == sorted([("a",), (None,)], key=repr)
