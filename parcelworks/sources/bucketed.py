@@ -11,6 +11,8 @@ tracking number has few lines.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,11 @@ from parcelworks.operators.keyed import scattered
 JOIN_KEY = "join_key"
 
 
+def bucket_count(rows: int, each: int = 400_000, least: int = 8) -> int:
+    """Buckets of about ``each`` rows, so that what a task reads doesn't grow with the table."""
+    return max(least, math.ceil(rows / each))
+
+
 def with_join_key(df: DataFrame, key: str, side: str) -> DataFrame:
     """Add the join key; ``side`` tells rows without a key of two tables apart."""
     if JOIN_KEY in df.columns:

@@ -106,3 +106,7 @@ def test_a_round_of_asking(spark, tmp_path):
     lost = rows(sinks.read_batches(spark, letters).select("awb", "reason"))
     assert ("C", "no_answer") in lost and ("2", "not_json") in lost and ("3", "empty") in lost
     assert history.read_history(spark, root).where(F.col("awb_number") == "C").count() == 1
+
+
+def test_buckets_follow_the_rows():
+    assert [bucketed.bucket_count(n) for n in (0, 3_200_000, 3_200_001, 216_000_000)] == [8, 8, 9, 540]
