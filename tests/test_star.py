@@ -40,3 +40,18 @@ def test_lines_keep_their_rows_in_another_join_order(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     joins = [line for line in plan.splitlines() if "Join [" in line]
     assert "[l_orderkey" in joins[0] and len(joins) == 5
+
+
+def test_export_keeps_its_rows_with_cells_made_below_the_join(spark, tmp_path):
+    day = dt.datetime(1997, 5, 2)
+    spark.createDataFrame([(1,), (1,), (2,), (None,), (3,)], "l_orderkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = [(1, "F", 1234.5, day, "2-HIGH"), (1, "P", 99.0, day, None), (2, "O", None, None, "5-LOW"), (None, "F", 1.0, day, "5-LOW")]
+    kinds = "o_orderkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
+    spark.createDataFrame(orders, kinds).write.parquet(f"{tmp_path}/orders.parquet")
+    s = star.Star(spark, str(tmp_path))
+    want = spark.sql(star.ROLES["export_a"], lineitem=s.table("lineitem"), orders=s.table("orders"))
+    got = s.role("export_a")
+    assert got.schema == want.schema and rows(got) == rows(want) and len(rows(want)) == 5
+    # Nothing is computed above the join.
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE" not in plan[: plan.index("Join")]
