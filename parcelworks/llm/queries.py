@@ -62,7 +62,7 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return substring_dedup.remove_repeats(docs, width=13).select(
+    return substring_dedup.remove_repeats(docs, width=13, until=0).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
     )
 

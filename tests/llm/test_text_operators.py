@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from parcelworks.llm import bpe, decontamination, minhash_dedup, quality, substring_dedup, suffix_dedup, token_counts, toxicity
+from parcelworks.llm import bpe, decontamination, minhash_dedup, quality, queries, substring_dedup, suffix_dedup, token_counts, toxicity
 from tests.conftest import rows
 from tests.llm import plain
 
@@ -95,6 +95,54 @@ def test_doubling_goes_on_until_no_candidate_survives(spark):
     assert rows(found, "doc_id", "n_removed") == [(1, 0), (2, 120), (3, 0)]
 
 
+def _longest(docs: list[tuple[int, str]], width: int) -> list[tuple[int, int]]:
+    """The greatest of ``width``, twice, four times .. words that also stand under another id, one window at a time."""
+    out = {i: 0 for i, _ in docs}
+    size = width
+    while True:
+        held: dict[tuple, set[int]] = {}
+        for i, text in docs:
+            words = text.split()
+            for p in range(len(words) - size + 1):
+                held.setdefault(tuple(words[p : p + size]), set()).add(i)
+        shared = {i for ids in held.values() if len(ids) > 1 for i in ids}
+        if not shared:
+            return sorted(out.items(), key=repr)
+        out |= dict.fromkeys(shared, size)
+        size *= 2
+
+
+@pytest.mark.parametrize("sizes", [{}, {"block_bytes": 1500, "bucket_bytes": 300}])
+def test_doubling_finds_the_longest_repeats(spark, sizes):
+    r = random.Random(5)
+    pool = [f"w{i}" for i in range(400)]
+    docs = []
+    for i in range(40):
+        # Passages of one long text, parts of them twice, periods, and words of the document's own.
+        words = []
+        for _ in range(r.randint(1, 4)):
+            a = r.randrange(380)
+            words += pool[a : a + r.choice([5, 13, 25, 26, 40, 60, 110, 220])] + [f"own{i}_{len(words)}"] * r.randint(0, 3)
+        docs.append((i, " ".join(words + ["x"] * r.choice([0, 0, 30]))))
+    found = substring_dedup.remove_repeats(_frame(spark, docs), width=13, until=0, **sizes)
+    want = _longest(docs, 13)
+    assert {n for _, n in want} >= {26, 52, 104}
+    assert rows(found, "doc_id", "longest_repeat") == want
+    assert rows(found, "doc_id", "n_words", "n_removed", "kept_text") == sorted(plain.cut_words(docs, 13), key=repr)
+    some = substring_dedup.remove_repeats(_frame(spark, docs), width=13, until=60, **sizes)
+    assert rows(some, "doc_id", "longest_repeat") == [(i, min(n, 52)) for i, n in want]
+
+
+def test_the_query_doubles_until_no_candidate_survives(spark, tmp_path, monkeypatch):
+    words = [f"w{i}" for i in range(120)]
+    _frame(spark, [(1, " ".join(words)), (2, "other " + " ".join(words))]).write.parquet(str(tmp_path / "documents.parquet"))
+    made, remove = [], substring_dedup.remove_repeats
+    monkeypatch.setattr(substring_dedup, "remove_repeats", lambda *a, **k: made.append(remove(*a, **k)) or made[-1])
+    found = queries.op3_substring_dedup(spark, str(tmp_path))
+    assert rows(found, "doc_id", "n_removed") == [(1, 0), (2, 120)]
+    assert rows(made[0], "doc_id", "longest_repeat") == [(1, 104), (2, 104)]
+
+
 def test_repeated_bytes(spark, docs, empty):
     for table, frame in ((DOCS, docs), ([(4, "é" * 60), (4, "é" * 60), (9, "xé" + "é" * 40), (None, "é" * 30)], None)):
         frame = _frame(spark, table) if frame is None else frame
