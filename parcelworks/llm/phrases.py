@@ -40,10 +40,16 @@ _COUNTED = "shard bigint, bucket int, bits binary, grams array<binary>, counts a
 _FREQUENT = -1
 
 
-def _table(schema: str, rows: dict[str, list], **kinds: pa.DataType) -> pa.Table:
+def _table(schema: str, rows: dict[str, list | pa.Array], **kinds: pa.DataType) -> pa.Table:
     names = [field.split(" ")[0] for field in schema.split(", ")]
     size = len(next(iter(rows.values())))
-    return pa.table({n: pa.array(rows.get(n, [None] * size), kinds[n]) for n in names})
+    columns = {n: rows.get(n, [None] * size) for n in names}
+    return pa.table({n: c if isinstance(c, pa.Array) else pa.array(c, kinds[n]) for n, c in columns.items()})
+
+
+def _lists(nulls: int, bounds: list[int], values: pa.Array) -> pa.Array:
+    """A column of lists out of one array, without a Python object per value: first some nulls, then a list between any two bounds."""
+    return pa.ListArray.from_arrays(pa.array([None] * nulls + bounds, pa.int32()), values)
 
 
 _LONG, _INT, _BYTES = pa.int64(), pa.int32(), pa.binary()
@@ -114,15 +120,12 @@ def _shard(texts: list[pa.Array], langs: list[pa.Array], shard: int, buckets: in
     number[order + 1] = np.arange(1, len(order) + 1)
     kinds, begin = np.unique(bucket[order], return_index=True)
     cuts = np.append(begin, len(order)).tolist()
-    rows: dict[str, list] = {"shard": [shard], "words": [_pack(number[words])], "bucket": [None]}
-    rows["names"], rows["counts"] = [list(totals)], [list(totals.values())]
-    names, counts = names.take(pa.array(order)), counts[order]
-    for kind, a, b in zip(kinds.tolist(), cuts[:-1], cuts[1:], strict=True):
-        rows["shard"].append(shard)
-        rows["words"].append(None)
-        rows["bucket"].append(kind)
-        rows["names"].append(names.slice(a, b - a).to_pylist())
-        rows["counts"].append(counts[a:b].tolist())
+    rows: dict[str, list | pa.Array] = {"shard": [shard] * (len(kinds) + 1), "bucket": [None, *kinds.tolist()]}
+    rows["words"] = [_pack(number[words])] + [None] * len(kinds)
+    bounds = [0, *(len(totals) + cut for cut in cuts)]
+    every = pa.concat_arrays([pa.array(list(totals), pa.string()), names.take(pa.array(order)).cast(pa.string())])
+    rows["names"] = _lists(0, bounds, every)
+    rows["counts"] = _lists(0, bounds, pa.array(np.concatenate([list(totals.values()), counts[order]]).astype(np.int64)))
     return _table(_SHARD, rows, **_KINDS, counts=_COUNTS)
 
 
@@ -161,10 +164,10 @@ def _number(asked: pa.Table, least: int, buckets: int) -> pa.Table:
     sent = number[code]
     sizes = pc.list_value_length(asked["names"]).to_pylist()
     cuts = np.cumsum([0, *sizes]).tolist()
-    rows: dict[str, list] = {"shard": [*asked["shard"].to_pylist(), _FREQUENT], "bucket": [bucket] * (len(sizes) + 1)}
+    rows: dict[str, list | pa.Array] = {"shard": [*asked["shard"].to_pylist(), _FREQUENT], "bucket": [bucket] * (len(sizes) + 1)}
     rows["numbers"] = [_pack(sent[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)] + [number[frequent].astype("<i4").tobytes()]
-    rows["names"] = [None] * len(sizes) + [names.dictionary.take(pa.array(frequent)).to_pylist()]
-    rows["counts"] = [None] * len(sizes) + [total[frequent].tolist()]
+    rows["names"] = _lists(len(sizes), [0, len(frequent)], names.dictionary.take(pa.array(frequent)))
+    rows["counts"] = _lists(len(sizes), [0, len(frequent)], pa.array(total[frequent]))
     return _table(_NAMED, rows, **_KINDS, counts=_COUNTS)
 
 
@@ -331,12 +334,13 @@ def _add_up(asked: pa.Table, length: int, least: int) -> pa.Table:
     frequent = np.empty(len(order), dtype=bool)
     frequent[order] = np.repeat(total >= least, np.diff(np.append(begin, len(order))))
     cuts = np.cumsum([0, *map(len, parts)]).tolist()
-    rows: dict[str, list] = {"shard": [*asked["shard"].to_pylist(), _FREQUENT], "bucket": [*asked["bucket"].to_pylist(), None]}
+    rows: dict[str, list | pa.Array] = {"shard": [*asked["shard"].to_pylist(), _FREQUENT], "bucket": [*asked["bucket"].to_pylist(), None]}
     rows["bits"] = [*(np.packbits(frequent[a:b]).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)), None]
-    body = np.ascontiguousarray(matrix[order[begin[total >= least]]], dtype="<i4").tobytes()
-    step = _WORD * length
-    rows["grams"] = [*([None] * len(parts)), [body[i : i + step] for i in range(0, len(body), step)]]
-    rows["counts"] = [*([None] * len(parts)), total[total >= least].tolist()]
+    body = np.ascontiguousarray(matrix[order[begin[total >= least]]], dtype="<i4")
+    ends = np.arange(len(body) + 1, dtype=np.int32) * (_WORD * length)
+    grams = pa.Array.from_buffers(pa.binary(), len(body), [None, pa.py_buffer(ends), pa.py_buffer(body.tobytes())])
+    rows["grams"] = _lists(len(parts), [0, len(body)], grams)
+    rows["counts"] = _lists(len(parts), [0, len(body)], pa.array(total[total >= least]))
     return _table(_COUNTED, rows, **_KINDS, counts=_COUNTS)
 
 
@@ -356,14 +360,17 @@ def frequent_phrases(
         shards = stage_table(_shards(texts, shard_bytes, buckets), "shards")
 
     def number(table: pa.Table) -> pa.Table:
+        blocks.give_back()
         return _number(table, least, buckets)
 
     def numbered(table: pa.Table, numbers: pa.Table) -> pa.Table:
+        blocks.give_back()
         return _numbered(table, numbers)
 
     def asking(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
         def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
+                blocks.give_back()
                 for i in range(len(batch)):
                     yield from _ask(batch.slice(i, 1).to_pylist()[0], length, buckets).to_batches()
 
@@ -371,12 +378,14 @@ def frequent_phrases(
 
     def adding(length: int) -> Callable[[pa.Table], pa.Table]:
         def add_up(table: pa.Table) -> pa.Table:
+            blocks.give_back()
             return _add_up(table, length, least)
 
         return add_up
 
     def reducing(length: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         def reduce(table: pa.Table, replies: pa.Table) -> pa.Table:
+            blocks.give_back()
             return _reduce(table, replies, length, buckets)
 
         return reduce
@@ -419,7 +428,7 @@ def collocations(
     within_percent: int = 80,
     lang: str = "lang",
     text: str = "text",
-    shard_bytes: int = 6 << 20,
+    shard_bytes: int = 3 << 20,
     bucket_bytes: int = 8 << 20,
 ) -> DataFrame:
     """The ``top`` phrases of every language by how strongly they hold together.
