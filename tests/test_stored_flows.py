@@ -9,11 +9,12 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from parcelworks.operators import answers, corrections, outbox, scan_state, tracking
-from parcelworks.plans import order_flow
+from parcelworks.operators import answers, batches, corrections, outbox, scan_state, tracking
+from parcelworks.plans import order_flow, queries
 from parcelworks.sources import sinks
 
 D = dt.date
+SMALL = "/root/testdata/sf0.001"
 SCANS = "awb string, status string, time timestamp, n int"
 
 
@@ -193,3 +194,34 @@ def test_no_corrections(spark):
     fact = spark.createDataFrame([("1", 2.0)], "suborder_no string, selling_price double")
     assert rows(corrections.apply_corrections(fact)) == [("1", 2.0, None)]
     assert corrections.of_month(None, 5) is None
+
+
+@pytest.mark.skipif(not Path(SMALL).exists(), reason="no test tables here")
+def test_stored_flows_and_batch_lines_read_sales_lines_written_once(spark, monkeypatch):
+    flows, lines = [], []
+    segment, enrich = order_flow.order_flow_segment, batches.enrich_batches
+    monkeypatch.setattr(order_flow, "order_flow_segment", lambda *a: flows.append(a[0]) or segment(*a))
+    monkeypatch.setattr(batches, "enrich_batches", lambda *a: lines.append(a[0]) or enrich(*a))
+    queries.QUERIES["batch_stored_flows"](spark, SMALL)
+    queries.QUERIES["batch_refresh"](spark, SMALL)
+    read = [*[given.sales for given in flows], *lines]
+    assert len(flows) == 3 and len(lines) == 2
+    assert all(df.inputFiles() and all("/sales-" in f for f in df.inputFiles()) for df in read)
+    assert all("/shipments_" in f for given in flows for f in given.shipments.inputFiles())
+
+
+def test_a_batch_day_and_tag_for_every_status_of_a_line(spark):
+    """Two statuses of one line double it, but not its batch; lines without a number or batch stay."""
+    day = lambda n: D(2024, 5, n)
+    keys = [("a", "7", day(1)), ("a", "8", day(3)), (None, "7", day(4)), ("b", None, day(5)), ("c", " 7 ", day(2)), (None, None, day(6))]
+    given = spark.createDataFrame(keys, "suborder_no string, batch_id string, order_date date")
+    texts = ["client_location", "mp_name", "brand", "order_number", "sku", "order_status", "shipping_status", "tracking_number", "message",
+             "courier_aggregator_name", "payment_mode", "shipping_zip_code", "shipping_city", "suborder_quantity"]
+    raw = given.withColumns({t: F.lit("1") for t in texts}).withColumn("selling_price", F.lit(2.0))
+    statuses = spark.createDataFrame([("a", "Cancelled"), ("a", "RTO"), ("z", "RTO")], "status_key string, final_status string")
+    found = batches.enrich_batches(raw, statuses, {"1": "W"}, "Own", day(9))
+    assert rows(found, "suborder_no", "batch_id", "batch_date", "tagging", "new_wh_name") == sorted(
+        [("a", 7, day(4), "Cancelled", "W"), ("a", 7, day(4), "Shipped", "W"), ("a", 8, day(3), "Cancelled", "W"), ("a", 8, day(3), "Shipped", "W"),
+         (None, 7, day(4), "Shipped", "W"), ("b", None, None, "Shipped", "W"), ("c", 7, day(4), "Shipped", "W"), (None, None, None, "Shipped", "W")],
+        key=repr,
+    )
