@@ -2,28 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelworks.session import stage_table
 
 
+def _pairs(first: tuple[str, str], second: tuple[str, str], names: tuple[str, str]) -> Column:
+    """Two rows of two columns out of each row."""
+    return F.inline(F.array(*[F.struct(*[F.col(c).alias(n) for c, n in zip(pair, names, strict=True)]) for pair in (first, second)]))
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.unionByName(edges.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
-    least = both.groupBy(F.col("hi").alias("at")).agg(F.min("lo").alias("least"))
-    far = both.where("lo > hi").join(least, F.col("hi") == F.col("at"))
-    return far.select(F.col("lo").alias("hi"), F.least("at", "least").alias("lo")).distinct()
+    least = edges.select(_pairs(("hi", "lo"), ("lo", "hi"), ("at", "to"))).groupBy("at").agg(F.min("to").alias("least"))
+    far = edges.join(least, F.col("lo") == F.col("at"))
+    return far.select("hi", F.least("at", "least").alias("lo"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     least = edges.groupBy(F.col("hi").alias("at")).agg(F.min("lo").alias("least"))
-    near = edges.join(least, F.col("hi") == F.col("at")).select(F.col("lo").alias("hi"), F.col("least").alias("lo"))
-    own = least.select(F.col("at").alias("hi"), F.col("least").alias("lo"))
-    return near.unionByName(own).where("hi != lo").distinct()
+    near = edges.join(least, F.col("hi") == F.col("at"))
+    return near.select(_pairs(("lo", "least"), ("hi", "least"), ("hi", "lo"))).where("hi != lo").distinct()
 
 
-def _print(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo") % 1_000_000_007)).first())
+def _settled(edges: DataFrame) -> bool:
+    """Every node has one edge to a least node, or is one."""
+    up = F.inline(F.array(*[F.struct(F.col(c).alias("node"), F.lit(n).alias("up")) for c, n in (("hi", 1), ("lo", 0))]))
+    roles = edges.select(up).groupBy("node").agg(F.sum("up").alias("up"), F.min("up").alias("least"))
+    return not roles.where("up > least").agg(F.count(F.lit(1))).first()[0]
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -36,12 +42,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     now = edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).where("hi != lo").distinct()
     now = stage_table(now, "edges")
-    seen = _print(now)
-    while True:
+    while not _settled(now):
         now = stage_table(_small_star(_large_star(now)), "edges")
-        mark = _print(now)
-        if mark == seen:
-            break
-        seen = mark
     nodes = now.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
     return nodes.unionByName(now.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct())

@@ -507,12 +507,10 @@ def _components(
     sets = stage_bucketed(sets, "sets", "node", blocks.block_count(posted.count(), block_rows))
 
     # One round over all lists; then only postings go on that another group may still reach.
-    known, links = None, None
+    known = None
     for turn in range(_STAR_ROUNDS):
         pairs = _nearest_leaders(_grouped(postings, known, turn), posted, max(matches, _ALIKE), not turn)
-        good = _confirm(pairs, sets, percent)
-        links = stage_table(good if links is None else links.unionByName(good), "links")
-        known = stage_table(components(links), "known")
+        known = _joined(known, _confirm(pairs, sets, percent))
         if not turn:
             postings = stage_table(_open(_grouped(postings, known, 0), posted, percent, matches), "open")
 
@@ -522,7 +520,13 @@ def _components(
     pairs = stage_table(_cross_pairs(rows, percent, matches), "cross")
     order = F.struct("agree", "a", "b")
     best = _apart(pairs, known).groupBy("low", "high").agg(F.max_by(F.struct("a", "b"), order).alias("pair"))
-    links = stage_table(links.unionByName(_confirm(best.select("pair.*"), sets, percent)), "links")
-    rest = _apart(pairs, stage_table(components(links), "known")).select("a", "b")
-    links = links.unionByName(_confirm(rest, sets, percent))
-    return every, nodes, components(links)
+    known = _joined(known, _confirm(best.select("pair.*"), sets, percent))
+    rest = _apart(pairs, known).select("a", "b")
+    return every, nodes, _joined(known, _confirm(rest, sets, percent))
+
+
+def _joined(known: DataFrame | None, links: DataFrame) -> DataFrame:
+    """The groups of ``known`` after further links; each set's edge to the least of its group stands for the links before."""
+    if known is not None:
+        links = known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links)
+    return stage_table(components(links), "known")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from parcelworks.llm import chat_format, embedding_dedup, queries, token_counts
+from parcelworks.llm import components as star_rounds
 from parcelworks.llm.bpe import Encoder
 from parcelworks.llm.components import components
 from parcelworks.llm.oracle import ORACLE
@@ -33,6 +34,16 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_that_are_stars_take_no_round(spark, monkeypatch):
+    staged = []
+    stage = star_rounds.stage_table
+    monkeypatch.setattr(star_rounds, "stage_table", lambda df, label: staged.append(label) or stage(df, label))
+    edges = [(5, 1), (1, 6), (5, 1), (8, 7), (9, 9)]
+    got = rows(components(spark.createDataFrame(edges, "a long, b long")), "node", "component")
+    assert got == [(1, 1), (5, 1), (6, 1), (7, 7), (8, 7)]
+    assert staged == ["edges"]
+
+
 def _near_vectors(vectors, threshold):
     unit = {}
     for k, (i, v) in enumerate(vectors):
