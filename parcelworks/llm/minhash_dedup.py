@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from parcelworks.llm import blocks, kernel
 from parcelworks.llm.components import components
 from parcelworks.llm.names import sets_aside
-from parcelworks.session import stage_bucketed, stage_table
+from parcelworks.session import in_few_tasks, stage_bucketed, stage_table, to_all
 
 U = np.uint64
 COORDINATES = 64
@@ -183,8 +183,8 @@ def _members(raw: bytes) -> np.ndarray:
     return wide.view(U).ravel()
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose full sets share at least ``percent`` of their union."""
+def _confirm(pairs: DataFrame, sets: DataFrame, percent: int, rows: int | None = None) -> DataFrame:
+    """Pairs (at most ``rows``, if given) whose full sets share at least ``percent`` of their union."""
     left = sets.select(F.col("node").alias("a"), F.col("members").alias("set_a"))
     right = sets.select(F.col("node").alias("b"), F.col("members").alias("set_b"))
 
@@ -198,7 +198,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     # Written, so that their measured size decides how they get to the sets.
-    pairs = stage_table(pairs.select("a", "b"), "pairs")
+    pairs = stage_table(in_few_tasks(pairs.select("a", "b"), rows), "pairs")
     return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a bigint, b bigint")
 
 
@@ -346,17 +346,17 @@ def _postings(nodes: DataFrame, percent: int, matches: int, block_rows: int) ->
     return blocks.each_block(parts, replies, choose, "node bigint, token bigint, reach bigint")
 
 
-def _grouped(postings: DataFrame, known: DataFrame | None, turn: int) -> DataFrame:
+def _grouped(postings: DataFrame, known: DataFrame | None, turn: int, count: int) -> DataFrame:
     """Postings of lists that hold several groups, with the leader of each list and its group, ``main``.
 
     That is the largest group and its member of the widest reach; in later turns any member
-    of it and, in every other turn, of any group.
+    of it and, in every other turn, of any group. ``count``: of all sets.
     """
     if known is None:
         named = postings.withColumn("component", F.col("node")).withColumn("size", F.lit(1).cast("bigint"))
     else:
         sizes = known.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-        named = postings.join(known.join(sizes, "component"), "node", "left")
+        named = postings.join(to_all(known.join(to_all(sizes, count), "component"), count), "node", "left")
         named = named.withColumns({"component": F.coalesce("component", "node"), "size": F.coalesce("size", F.lit(1))})
     any_one = F.xxhash64("node", F.lit(turn))
     if turn % 2:
@@ -376,17 +376,18 @@ def _grouped(postings: DataFrame, known: DataFrame | None, turn: int) -> DataFra
     return named.drop("size").join(lists, "token")
 
 
-def _nearest_leaders(grouped: DataFrame, nodes: DataFrame, matches: int, widest: bool) -> DataFrame:
+def _nearest_leaders(grouped: DataFrame, nodes: DataFrame, matches: int, widest: bool, count: int) -> DataFrame:
     """Each set outside the largest group of a list with one leader, if they look alike.
 
     In the first turn that is the leader of the widest reach, then the one it meets most often.
+    ``count``: of all sets.
     """
     met = grouped.where("component != main").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("n"), F.max("width").alias("width"))
     first = "width" if widest else "n"
     most = met.groupBy("node").agg(F.max_by("leader", F.struct(first, "n", "leader")).alias("leader"))
-    left = nodes.select("node", *_SKETCH).alias("x")
-    right = nodes.select(F.col("node").alias("leader"), *_SKETCH).alias("y")
-    alike = most.join(left, "node").join(right, "leader").where(f"{_agreement('x', 'y')} >= {matches}")
+    left = nodes.select("node", *_SKETCH).join(to_all(most, count), "node").alias("x")
+    right = to_all(nodes.select(F.col("node").alias("leader"), *_SKETCH), count).alias("y")
+    alike = left.join(right, "leader").where(f"{_agreement('x', 'y')} >= {matches}")
     return alike.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
 
 
@@ -409,8 +410,9 @@ def _cross_pairs(rows: DataFrame, percent: int, matches: int) -> DataFrame:
     test = (
         "x.token = y.token and x.component != y.component"
         " and (y.component = y.main or x.node < y.node)"
-        f" and {_fits(percent)} and {_agreement('x', 'y')} >= {matches} and {_possible(percent)}"
-        " and array_min(array_intersect(x.tokens, y.tokens)) = x.token"
+        f" and {_fits(percent)} and {_agreement('x', 'y')} >= {matches}"
+        # Bitmaps come last: this leaves one of the lists in which a pair meets.
+        f" and array_min(array_intersect(x.tokens, y.tokens)) = x.token and {_possible(percent)}"
     )
     return x.join(y, F.expr(test)).select(
         F.least("x.node", "y.node").alias("a"),
@@ -488,45 +490,49 @@ def _components(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """All texts, the distinct sets among them, and the group of each set that has links."""
     every = stage_table(summaries(docs, shingle, doc_id, text, batch_bytes), "summaries")
-    nodes = stage_table(
-        every.groupBy(F.xxhash64("print").alias("node")).agg(
-            F.min(F.struct("doc", "mark")).alias("least"),
-            *[F.any_value(c).alias(c) for c in ("n_shingles", "signature", *_SKETCH)],
-        ),
-        "nodes",
+    nodes = every.groupBy(F.xxhash64("print").alias("node")).agg(
+        F.min(F.struct("doc", "mark")).alias("least"),
+        *[F.any_value(c).alias(c) for c in ("n_shingles", "signature", *_SKETCH)],
     )
+    nodes = stage_table(in_few_tasks(nodes, every.count()), "nodes")
     postings = stage_table(_postings(nodes, percent, matches, block_rows), "postings")
     # Most sets that share postings are like none of those they share them with: they end here.
     alone = postings.withColumn("component", F.col("node"))
     postings = stage_table(_open(alone, nodes, percent, matches), "near")
     lists = postings.groupBy("node").agg(F.collect_list("token").alias("tokens"))
-    posted = stage_table(nodes.join(lists, "node").select("node", "least.*", "n_shingles", "tokens", *_SKETCH), "posted")
+    posted = nodes.join(lists, "node").select("node", "least.*", "n_shingles", "tokens", *_SKETCH)
+    posted = stage_table(in_few_tasks(posted, nodes.count()), "posted")
+    count = posted.count()
     # Every round looks up sets, so they lie in buckets and only pairs travel.
     wanted = stage_table(posted.select("node", "doc", "mark"), "wanted")
     sets = _full_sets(docs, wanted, shingle, doc_id, text, batch_bytes)
-    sets = stage_bucketed(sets, "sets", "node", blocks.block_count(posted.count(), block_rows))
+    sets = stage_bucketed(sets, "sets", "node", blocks.block_count(count, block_rows))
 
     # One round over all lists; then only postings go on that another group may still reach.
     known = None
     for turn in range(_STAR_ROUNDS):
-        pairs = _nearest_leaders(_grouped(postings, known, turn), posted, max(matches, _ALIKE), not turn)
-        known = _joined(known, _confirm(pairs, sets, percent))
+        pairs = _nearest_leaders(_grouped(postings, known, turn, count), posted, max(matches, _ALIKE), not turn, count)
+        known = _joined(known, _confirm(pairs, sets, percent, count), count, count)
         if not turn:
-            postings = stage_table(_open(_grouped(postings, known, 0), posted, percent, matches), "open")
+            postings = stage_table(_open(_grouped(postings, known, 0, count), posted, percent, matches), "open")
 
     judged = posted.select("node", "n_shingles", "tokens", *_SKETCH).join(sets.select("node", "bits"), "node")
-    rows = _grouped(postings, known, 0).drop("leader", "width", "reach").join(judged, "node")
+    rows = _grouped(postings, known, 0, count).drop("leader", "width", "reach").join(judged, "node")
     # The likeliest pair of any two groups first: where it is a link, the others need no look.
     pairs = stage_table(_cross_pairs(rows, percent, matches), "cross")
     order = F.struct("agree", "a", "b")
     best = _apart(pairs, known).groupBy("low", "high").agg(F.max_by(F.struct("a", "b"), order).alias("pair"))
-    known = _joined(known, _confirm(best.select("pair.*"), sets, percent))
+    met = pairs.count()
+    known = _joined(known, _confirm(best.select("pair.*"), sets, percent, met), met, count)
     rest = _apart(pairs, known).select("a", "b")
-    return every, nodes, _joined(known, _confirm(rest, sets, percent))
+    return every, nodes, _joined(known, _confirm(rest, sets, percent), met, count)
+
 
+def _joined(known: DataFrame | None, links: DataFrame, more: int, count: int) -> DataFrame:
+    """The groups of ``known``, of ``count`` sets at most, after up to ``more`` further links.
 
-def _joined(known: DataFrame | None, links: DataFrame) -> DataFrame:
-    """The groups of ``known`` after further links; each set's edge to the least of its group stands for the links before."""
+    Each set's edge to the least of its group stands for the links before.
+    """
     if known is not None:
         links = known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links)
-    return stage_table(components(links), "known")
+    return stage_table(in_few_tasks(components(links, rows=count + more), count), "known")

@@ -15,6 +15,7 @@ from parcelworks.llm import components as star_rounds
 from parcelworks.llm.bpe import Encoder
 from parcelworks.llm.components import components
 from parcelworks.llm.oracle import ORACLE
+from parcelworks.session import stage_table
 from tests.conftest import rows
 from tests.llm import plain
 
@@ -44,6 +45,29 @@ def test_components_that_are_stars_take_no_round(spark, monkeypatch):
     assert staged == ["edges"]
 
 
+def test_rounds_on_few_edges_take_few_tasks(spark, monkeypatch):
+    files = []
+
+    def counted(df, label):
+        staged = stage_table(df, label)
+        files.append(len(staged.inputFiles()))
+        return staged
+
+    monkeypatch.setattr(star_rounds, "stage_table", counted)
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        edges = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+        got = rows(components(edges), "node", "component")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == sorted(((i, 0) for i in range(301)), key=repr)
+    assert len(files) > 2 and set(files[1:]) == {1}
+
+
 def _near_vectors(vectors, threshold):
     unit = {}
     for k, (i, v) in enumerate(vectors):

@@ -5,7 +5,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from parcelworks.session import stage_bucketed, stage_table
+from parcelworks.session import BROADCAST_ROWS, TASK_ROWS, in_few_tasks, stage_bucketed, stage_table, to_all
 from tests.conftest import rows
 
 
@@ -27,3 +27,16 @@ def test_a_staged_table_leaves_no_shuffle_files(spark, stage):
     assert not _shuffle_files(spark) - before
     assert spark.conf.get(setting) == was
     assert rows(staged, "k", "n") == sorted(((k, sum(range(k, 100, 7))) for k in range(7)), key=repr)
+
+
+@pytest.mark.parametrize(("most", "tasks"), [(0, 1), (1, 1), (TASK_ROWS, 1), (TASK_ROWS + 1, 2), (9 * TASK_ROWS, 8), (None, 8)])
+def test_tasks_follow_the_rows(spark, most, tasks):
+    assert in_few_tasks(spark.range(80, numPartitions=8), most).rdd.getNumPartitions() == tasks
+
+
+def test_only_a_few_rows_go_to_every_task(spark):
+    other = spark.range(30).groupBy((F.col("id") % 5).alias("id")).agg(F.count("*").alias("n"))
+    for most, sent in ((5, True), (BROADCAST_ROWS + 1, False)):
+        side = to_all(other, most)
+        assert ("ResolvedHint" in side._jdf.queryExecution().analyzed().toString()) == sent
+        assert rows(spark.range(10).join(side, "id")) == [(i, 6) for i in range(5)]
