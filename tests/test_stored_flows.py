@@ -225,3 +225,46 @@ def test_a_batch_day_and_tag_for_every_status_of_a_line(spark):
          (None, 7, day(4), "Shipped", "W"), ("b", None, None, "Shipped", "W"), ("c", 7, day(4), "Shipped", "W"), (None, None, None, "Shipped", "W")],
         key=repr,
     )
+
+
+def _tables(spark, folder, lines):
+    """Tables of a shop: one order per (key, day, channel) with one line each, as (key, day, segment, quantity, line status, priority)."""
+    spark.createDataFrame([(n, f"Customer {n}", 1, segment) for n, _, segment, *_ in lines], "c_custkey long, c_name string, c_nationkey int, c_mktsegment string").write.parquet(f"{folder}/customer.parquet")
+    spark.createDataFrame([(1, "N", 0)], "n_nationkey int, n_name string, n_regionkey int").write.parquet(f"{folder}/nation.parquet")
+    spark.createDataFrame([(0, "ASIA")], "r_regionkey int, r_name string").write.parquet(f"{folder}/region.parquet")
+    spark.createDataFrame([(1, "fern green", "Brand#2", "SMALL", 8, 90.0), (2, "moss", "Brand#1", "PROMO", 50, 80.0)],
+                          "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").write.parquet(f"{folder}/part.parquet")
+    spark.createDataFrame([(n, n, "F", 2500.0, day, priority) for n, day, _, _, _, priority in lines],
+                          "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string").write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame([(n, 1 + n % 2, 1, 4, quantity, 50.0, "A", status, day) for n, day, _, quantity, status, _ in lines],
+                          "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string, l_linestatus string, l_shipdate timestamp").write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+def test_the_stored_ledger_holds_every_month(spark, tmp_path):
+    at = lambda y, m: dt.datetime(y, m, 3)
+    days = [at(1995, 2), at(1996, 12), at(1997, 3), at(1997, 5), at(1999, 2), at(2001, 7), None]
+    lines = [(n, day, "AUTOMOBILE", 13.0 if n in (1, 4) else 2.0, "O", "1-URGENT") for n, day in enumerate(days, 1)]
+    folder = _tables(spark, tmp_path, lines)
+    entries = queries.QUERIES["ledger_stored"](spark, folder)
+    sold = rows(entries.where("tagging = 'Sales'"), "date", "order_id", "value")
+    assert sold == sorted([(day and day.date(), f"K-{n}", 50.0) for n, day in enumerate(days, 1)], key=repr)
+    # Corrections of February and of May, each for its own month's line; 20 days after the corrected pickup.
+    closed = rows(entries.where("tagging like 'forced%'"), "order_id", "date", "tagging")
+    assert closed == [("K-1", D(1995, 2, 26), "forced_closure_lost"), ("K-4", D(1997, 5, 26), "forced_closure_lost")]
+
+
+def test_corrections_of_the_own_month(spark):
+    """One number in two months, corrected in one; a correction without a month, a line without a date or number."""
+    fact = spark.createDataFrame([("a", D(2024, 5, 1), 1.0), ("a", D(2024, 6, 1), 1.0), ("b", None, 1.0), (None, D(2024, 5, 2), 1.0), ("c", D(2023, 6, 9), 1.0)],
+                                 "suborder_no string, order_date date, selling_price double").withColumns({c: F.lit(None).cast("date") for c in ("pickup_date", "manifested_at")})
+    fixes = spark.createDataFrame([("5", "a", "selling_price", "2", 1), (" 5", "a", "selling_price", "3", 2), ("x", "a", "selling_price", "9", 3), (None, "b", "selling_price", "9", 1),
+                                   ("6", "c", "Selling Price", "4", 1), ("5", "c", "selling_price", "9", 2), ("5", None, "selling_price", "9", 2)],
+                                  "parent_order_month string, suborder_id string, column_name string, change_value_to string, row_no long")
+    got = corrections.apply_corrections(fact, fixes, True)
+    assert got.columns == [*fact.columns, "forced_closure_date"]
+    want = [("a", D(2024, 5, 1), 3.0), ("a", D(2024, 6, 1), 1.0), ("b", None, 1.0), (None, D(2024, 5, 2), 1.0), ("c", D(2023, 6, 9), 4.0)]
+    assert rows(got, "suborder_no", "order_date", "selling_price") == sorted(want, key=repr)
+    for month in (5, 6):
+        one = fact.where(F.month("order_date") == month)
+        assert rows(corrections.apply_corrections(one, corrections.of_month(fixes, month))) == rows(got.where(F.month("order_date") == month))
