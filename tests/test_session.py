@@ -1,11 +1,12 @@
 """Staged tables."""
 
 import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from parcelworks.session import BROADCAST_ROWS, TASK_ROWS, in_few_tasks, stage_bucketed, stage_table, to_all
+from parcelworks.session import BROADCAST_ROWS, TASK_ROWS, drop_staged, in_few_tasks, shared_folder, stage_bucketed, stage_table, to_all
 from tests.conftest import rows
 
 
@@ -40,3 +41,17 @@ def test_only_a_few_rows_go_to_every_task(spark):
         side = to_all(other, most)
         assert ("ResolvedHint" in side._jdf.queryExecution().analyzed().toString()) == sent
         assert rows(spark.range(10).join(side, "id")) == [(i, 6) for i in range(5)]
+
+
+def test_superseded_tables_leave_the_disk_and_others_stay(spark, tmp_path):
+    first, second = (stage_table(spark.range(9), label, "zstd") for label in ("one", "two"))
+    third = stage_table(first.where("id > 5"), "three")
+    files = [{Path(f.removeprefix("file:")) for f in df.inputFiles()} for df in (first, second, third)]
+    assert all(".zstd." in f.name for f in files[0])
+    drop_staged(first, second)
+    assert not any(f.parent.exists() for f in files[0] | files[1]) and all(f.exists() for f in files[2])
+    assert rows(third) == [(6,), (7,), (8,)] and Path(shared_folder(spark)).exists()
+    spark.range(3).write.parquet(f"{tmp_path}/given")
+    with pytest.raises(ValueError, match="not a staged table"):
+        drop_staged(spark.read.parquet(f"{tmp_path}/given"))
+    assert spark.read.parquet(f"{tmp_path}/given").count() == 3

@@ -268,3 +268,25 @@ def test_corrections_of_the_own_month(spark):
     for month in (5, 6):
         one = fact.where(F.month("order_date") == month)
         assert rows(corrections.apply_corrections(one, corrections.of_month(fixes, month))) == rows(got.where(F.month("order_date") == month))
+
+
+@pytest.mark.skipif(not Path(SMALL).exists(), reason="no test tables here")
+@pytest.mark.parametrize(("name", "left", "wide"), [
+    ("ledger_main", ["fact"], 2), ("ledger_totals", ["base", "fact"], 2),
+])
+def test_a_ledger_holds_no_more_copies_of_its_lines_than_it_reads(spark, monkeypatch, tmp_path, name, left, wide):
+    """The lines are written between joins, and older copies go; no more than two shuffles of them are left for the end."""
+    written = []
+    stage = queries.stage_table
+    monkeypatch.setattr("parcelworks.session.shared_folder", lambda _: str(tmp_path))
+    monkeypatch.setattr(queries, "stage_table", lambda df, label, *a: written.append(label) or stage(df, label, *a))
+    df = queries.QUERIES[name](spark, SMALL)
+    assert written[:3] == ["ledger-base", "ledger-costs", "ledger-fact"]
+    assert sorted(p.name.split("-")[1] for p in tmp_path.iterdir()) == left
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = df.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert 0 < sum("__jk" in line and "Exchange hashpartitioning" in line for line in plan.splitlines()) <= wide
