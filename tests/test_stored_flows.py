@@ -272,7 +272,7 @@ def test_corrections_of_the_own_month(spark):
 
 @pytest.mark.skipif(not Path(SMALL).exists(), reason="no test tables here")
 @pytest.mark.parametrize(("name", "left", "wide"), [
-    ("ledger_main", ["fact"], 2), ("ledger_totals", ["base", "fact"], 2),
+    ("ledger_main", ["fact"], 2), ("ledger_totals", ["base", "fact"], 2), ("ledger_enriched", ["entries"], 1),
 ])
 def test_a_ledger_holds_no_more_copies_of_its_lines_than_it_reads(spark, monkeypatch, tmp_path, name, left, wide):
     """The lines are written between joins, and older copies go; no more than two shuffles of them are left for the end."""
