@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelworks.operators.keyed import scattered
+from parcelworks.session import shuffles_end
 
 JOIN_KEY = "join_key"
 
@@ -42,7 +43,8 @@ def store_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int)
     # One task per bucket, so that each bucket is one file.
     keyed = keyed.repartition(buckets, JOIN_KEY)
     writer = keyed.write.mode("overwrite").bucketBy(buckets, JOIN_KEY).sortBy(JOIN_KEY)
-    writer.option("path", path).format("parquet").saveAsTable(table)
+    with shuffles_end(df.sparkSession):
+        writer.option("path", path).option("compression", "zstd").format("parquet").saveAsTable(table)
     return df.sparkSession.table(table)
 
 

@@ -2,6 +2,8 @@
 
 import datetime as dt
 import json
+import time
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -9,9 +11,11 @@ from pyspark.sql import functions as F
 
 from parcelworks.operators import classify
 from parcelworks.operators.keyed import left_join
-from parcelworks.plans import carrier_refresh
+from parcelworks.plans import carrier_refresh, queries
 from parcelworks.sources import bucketed, history, sinks
 
+SMALL = "/root/testdata/sf0.001"
+
 
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
@@ -108,5 +112,32 @@ def test_a_round_of_asking(spark, tmp_path):
     assert history.read_history(spark, root).where(F.col("awb_number") == "C").count() == 1
 
 
+def _shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = [found.apply(i).getName() for i in range(found.size())]
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark, tmp_path):
+    before = _shuffle_files(spark)
+    df = spark.range(50, numPartitions=4).select(F.col("id").cast("string").alias("k"), "id")
+    stored = bucketed.store_bucketed(df, "left_alone", str(tmp_path / "t"), "k", 3)
+    until = time.time() + 10
+    while _shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.1)
+    assert not _shuffle_files(spark) - before and stored.count() == 50
+    spark.sql("drop table left_alone")
+
+
+@pytest.mark.skipif(not Path(SMALL).exists(), reason="no test tables here")
+def test_stored_lines_hold_what_their_status_reads(spark, monkeypatch):
+    held = []
+    store = bucketed.store_bucketed
+    monkeypatch.setattr(bucketed, "store_bucketed", lambda df, *a: held.append(len(df.columns)) or store(df, *a))
+    df = queries.QUERIES["classify_stored"](spark, SMALL)
+    assert held == [6, 5]
+    assert rows(df) == rows(queries.QUERIES["classify_orders"](spark, SMALL))
+
+
 def test_buckets_follow_the_rows():
     assert [bucketed.bucket_count(n) for n in (0, 3_200_000, 3_200_001, 216_000_000)] == [8, 8, 9, 540]
