@@ -290,3 +290,38 @@ def test_a_ledger_holds_no_more_copies_of_its_lines_than_it_reads(spark, monkeyp
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert 0 < sum("__jk" in line and "Exchange hashpartitioning" in line for line in plan.splitlines()) <= wide
+
+
+@pytest.mark.parametrize("staged", [False, True])
+def test_batch_lines_written_between_their_joins_are_the_same(spark, monkeypatch, tmp_path, staged):
+    """Lines that come twice, without a number or batch, and with two statuses."""
+    monkeypatch.setattr("parcelworks.session.shared_folder", lambda _: str(tmp_path))
+    day = lambda n: D(2024, 5, n)
+    given = spark.createDataFrame(
+        [("a", "7", day(1), "Amazon.in", "Own"), ("a", "7", day(1), "Amazon.in", "Own"), (None, " 7", day(4), "Shopify", None), (None, None, day(6), None, "x"), ("b", "x", None, "B2B", "x")],
+        "suborder_no string, batch_id string, order_date date, mp_name string, brand string",
+    )
+    texts = ["client_location", "order_number", "sku", "order_status", "shipping_status", "tracking_number", "message", "courier_aggregator_name",
+             "payment_mode", "shipping_zip_code", "shipping_city", "suborder_quantity", "shipping_customer_name", "mobile_no"]
+    raw = given.withColumns({t: F.lit("1") for t in texts}).withColumn("selling_price", F.lit(2.0))
+    statuses = spark.createDataFrame([("a", "Cancelled"), ("a", "RTO"), ("z", "RTO")], "status_key string, final_status string")
+    found = batches.enrich_batches(raw, statuses, {"1": "W"}, "Own", day(9), True, staged)
+    assert found.columns == [*batches.BATCH_COLUMNS, "shipping_customer_name", "mobile_no"]
+    assert [p.name.startswith("batch-lines-") for p in tmp_path.iterdir()] == [True] * staged
+    want = [("a", 7, day(4), tag, "amz-own", "W") for tag in ("Cancelled", "Shipped") for _ in range(2)]
+    want += [(None, 7, day(4), "Shipped", "web-own", "W"), (None, None, None, "Shipped", None, "W"), ("b", None, None, "Not Shipped", "bulk-order", "W")]
+    assert rows(found, "suborder_no", "batch_id", "batch_date", "tagging", "new_mp_name", "new_wh_name") == sorted(want, key=repr)
+
+
+@pytest.mark.skipif(not Path(SMALL).exists(), reason="no test tables here")
+@pytest.mark.parametrize("name", ["batch_enrich"])
+def test_written_sales_lines_go_once_they_are_read(spark, monkeypatch, tmp_path, name):
+    folder = lambda _: str(tmp_path)
+    monkeypatch.setattr("parcelworks.session.shared_folder", folder)
+    monkeypatch.setattr(queries, "shared_folder", folder)
+    df = queries.QUERIES[name](spark, SMALL)
+    left = {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()}
+    assert not left & {"sales", "statuses", "order-costs", "order-flow", "order-months"}
+    if name.startswith("batch"):
+        assert "batch-lines" in left and all("/batch-lines-" in f for f in df.inputFiles())
+    assert df.count() > 0
