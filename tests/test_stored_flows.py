@@ -314,7 +314,7 @@ def test_batch_lines_written_between_their_joins_are_the_same(spark, monkeypatch
 
 
 @pytest.mark.skipif(not Path(SMALL).exists(), reason="no test tables here")
-@pytest.mark.parametrize("name", ["batch_enrich"])
+@pytest.mark.parametrize("name", ["batch_enrich", "batch_stored_flows", "ledger_stored"])
 def test_written_sales_lines_go_once_they_are_read(spark, monkeypatch, tmp_path, name):
     folder = lambda _: str(tmp_path)
     monkeypatch.setattr("parcelworks.session.shared_folder", folder)
