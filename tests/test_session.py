@@ -55,3 +55,13 @@ def test_superseded_tables_leave_the_disk_and_others_stay(spark, tmp_path):
     with pytest.raises(ValueError, match="not a staged table"):
         drop_staged(spark.read.parquet(f"{tmp_path}/given"))
     assert spark.read.parquet(f"{tmp_path}/given").count() == 3
+
+
+@pytest.mark.parametrize("folder", ["a b%/c", "./a b", "file:{}/d/"])
+def test_staged_tables_are_found_under_any_name_of_the_folder(spark, monkeypatch, tmp_path, folder):
+    here = folder.format(tmp_path).rstrip("/") if folder.startswith("file") else f"{tmp_path}/{folder}"
+    monkeypatch.setattr("parcelworks.session.shared_folder", lambda _: here)
+    kept, gone = stage_table(spark.range(3), "kept"), stage_table(spark.range(3), "gone")
+    drop_staged(gone)
+    left = [p.name for p in Path(here.removeprefix("file:")).iterdir()]
+    assert len(left) == 1 and left[0].startswith("kept-") and kept.count() == 3
